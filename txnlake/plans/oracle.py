@@ -510,6 +510,10 @@ ORDER BY created_at DESC, account_id, reason""", "vflags", "f_cdc")
     s["uuid5_ids"] = with_views(
         f"SELECT {_uuid5_sql(name, config.FLAG_NAMESPACE)} AS event_id, account_id, window_end, reason FROM vflags",
         "vflags")
+    s["cdc_decode"] = with_views(
+        "SELECT seq, account_id, amount, currency, created_at FROM f_cdc WHERE op = 'c'", "f_cdc")
+    # the stream's input is time-ordered per account, where it equals the batch rule
+    s["velocity_stream"] = s["velocity_alerts"]
     return s
 
 

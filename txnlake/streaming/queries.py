@@ -1,3 +1,48 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered queries that go through the CDC record format and the stream.
 
-STREAM_QUERIES: dict = {}
+Both derive their input from the driver's ``events`` table: Spark renders
+the change events as CDC records (JSON files) in the shared checkpoint
+folder, then the batch decoder or the checkpointed stream reads them back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from txnlake.session import prepare, scratch_path
+from txnlake.sources import cdc
+from txnlake.sources import fixtures as fx
+from txnlake.streaming.velocity import read_alerts, start_velocity_stream
+
+
+def write_cdc_files(spark: SparkSession, sf: str, files: int = 4) -> str:
+    """Render the CDC events as JSON record files ordered by offset."""
+    path = scratch_path(spark, "cdc-records")
+    records = cdc.to_records(fx.cdc_events(spark, sf))
+    records.repartitionByRange(files, "offset").sortWithinPartitions("offset") \
+           .write.json(path)
+    return path
+
+
+def q_cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    src = write_cdc_files(spark, sf)
+    decoded = cdc.decode(spark.read.schema(cdc.RECORD_SCHEMA).json(src))
+    return decoded.select("seq", "account_id", "amount", "currency", "created_at")
+
+
+def q_velocity_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Run the stateful stream to completion (availableNow), return its alerts."""
+    prepare(spark)
+    src = write_cdc_files(spark, sf)
+    sink = scratch_path(spark, "velocity-sink")
+    query = start_velocity_stream(spark, src, sink, scratch_path(spark, "velocity-ckpt"))
+    query.awaitTermination()
+    return read_alerts(spark, sink).select("seq", "account_id", "window_start", "window_end",
+                                           "count_5m", "sum_5m", "reason")
+
+
+STREAM_QUERIES = {
+    "cdc_decode": q_cdc_decode,
+    "velocity_stream": q_velocity_stream,
+}
