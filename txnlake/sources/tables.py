@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.operators.incremental import insert_if_absent
+from txnlake.operators.incremental import dedupe_first, insert_if_absent
 
 POINTER = "_CURRENT"
 
@@ -105,8 +105,10 @@ class AppendTable:
         month partitions the batch touches).
         """
         target = existing if existing is not None else self.read()
-        rows = insert_if_absent(batch, target, self.keys, order_by) if target is not None else \
-            (batch if order_by is None else insert_if_absent(batch, batch.limit(0), self.keys, order_by))
+        if target is not None:
+            rows = insert_if_absent(batch, target, self.keys, order_by)
+        else:
+            rows = batch if order_by is None else dedupe_first(batch, self.keys, order_by)
         writer = rows.write.mode("append")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
