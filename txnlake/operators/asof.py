@@ -2,15 +2,21 @@
 
 Semantics: for each fact row, the version of its business key whose
 half-open interval ``[valid_from, valid_to)`` contains the fact time; at
-most one (latest ``valid_from`` wins when intervals overlap).
+most one (on overlapping intervals the open version, which has the latest
+``valid_from``, wins).
 
-Plan: an equi-join on ``(business key, month bucket)`` plus the interval
-residual.  Each version is listed once per calendar month it overlaps, and
-each fact carries the month of its time, so a key with many versions only
-pairs a fact with the versions alive in that month (no key-wide pairing),
-and a hot key's facts are spread over month buckets; AQE's skew-join
-splitting handles what remains.  Which side is broadcast is left to AQE,
-which decides on measured sizes.
+Plan: two equi-joins, no per-key pairing of every fact with every version.
+
+* Closed versions are listed once per calendar month they overlap and
+  joined on ``(business key, month of the fact)`` plus the interval
+  residual, so a fact meets only the versions alive in its month, and a hot
+  key's facts are spread over month buckets.
+* The open (current) version, at most one per key, is joined on the key
+  alone with ``valid_from <= t``.
+
+Neither side needs a horizon scan of the facts.  Which side is broadcast is
+left to AQE, which decides on measured sizes; skewed keys on the fact side
+are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -25,42 +31,45 @@ def month_index(ts: Column) -> Column:
     return (F.year(ts) * 12 + F.month(ts) - 1).cast("int")
 
 
-def expand_by_month(dim: DataFrame, horizon: Column) -> DataFrame:
-    """One row per (version, month it overlaps); open versions end at ``horizon``."""
+def expand_by_month(closed: DataFrame) -> DataFrame:
+    """One row per (closed version, calendar month it overlaps)."""
     start = month_index(F.col("valid_from"))
-    end_ts = F.coalesce(F.col("valid_to"), horizon)
-    end = month_index(end_ts)
-    # inverted or empty intervals match nothing: give them no bucket
+    end = month_index(F.col("valid_to"))
+    # inverted intervals match nothing: give them no bucket
     months = F.when(end >= start, F.sequence(start, end)).otherwise(F.array().cast("array<int>"))
-    return dim.withColumn("_month", F.explode(months))
+    return closed.withColumn("_month", F.explode(months))
 
 
 def asof_lookup(facts: DataFrame, fact_key: Column, fact_ts: str, dim: DataFrame,
-                dim_key: str, take: Sequence[str], prefix: str,
-                how: str = "left", reduce_overlaps: bool = False) -> DataFrame:
-    """Attach ``take`` columns (renamed ``prefix + col``) of the matching version.
+                dim_key: str, take: Sequence[str], prefix: str, how: str = "left") -> DataFrame:
+    """Attach ``take`` columns (renamed ``prefix + col``) of the version valid at ``fact_ts``.
 
-    ``reduce_overlaps=True`` keeps only the latest ``valid_from`` per fact
-    row (needs a unique ``_row`` column on ``facts``); dimensions built by
-    ``scd2_merge`` have disjoint intervals and do not need it.
+    ``how="inner"`` keeps only facts that resolve.
     """
-    horizon = facts.agg(F.max(F.col(fact_ts))).scalar()
-    versions = expand_by_month(
-        dim.select(F.col(dim_key).alias("_dk"), "valid_from", "valid_to", *take), horizon)
-    versions = versions.select("_dk", "_month",
-                               F.col("valid_from").alias(f"{prefix}valid_from"),
-                               F.col("valid_to").alias(f"{prefix}valid_to"),
-                               *[F.col(c).alias(prefix + c) for c in take])
-    keyed = facts.withColumn("_fk", fact_key).withColumn("_fm", month_index(F.col(fact_ts)))
-    vf, vt = F.col(f"{prefix}valid_from"), F.col(f"{prefix}valid_to")
-    cond = ((F.col("_fk") == F.col("_dk")) & (F.col("_fm") == F.col("_month")) &
-            (vf <= F.col(fact_ts)) & (vt.isNull() | (F.col(fact_ts) < vt)))
-    joined = keyed.join(versions, cond, how)
-    if reduce_overlaps:
-        keep = [c for c in joined.columns if c not in ("_dk", "_month")]
-        other = [c for c in keep if c != "_row"]
-        packed = F.max(F.struct(vf.alias("_vf"), *[F.col(c) for c in other if c != f"{prefix}valid_from"]))
-        joined = joined.groupBy("_row").agg(packed.alias("_p")).select(
-            "_row", F.col("_p._vf").alias(f"{prefix}valid_from"),
-            *[F.col(f"_p.{c}").alias(c) for c in other if c != f"{prefix}valid_from"])
-    return joined.drop("_fk", "_fm", "_dk", "_month", f"{prefix}valid_from", f"{prefix}valid_to")
+    base = dim.select(F.col(dim_key).alias("_dk"), F.col("valid_from").alias("_vf"),
+                      F.col("valid_to").alias("_vt"),
+                      *[F.col(c).alias(f"_t_{c}") for c in take])
+    closed = expand_by_month(base.where(F.col("_vt").isNotNull()).withColumnsRenamed(
+        {"_vf": "valid_from", "_vt": "valid_to"})).select(
+        F.col("_dk").alias("_cdk"), F.col("_month").alias("_cm"),
+        F.col("valid_from").alias("_cvf"), F.col("valid_to").alias("_cvt"),
+        *[F.col(f"_t_{c}").alias(f"_c_{c}") for c in take])
+    open_ = base.where(F.col("_vt").isNull()).select(
+        F.col("_dk").alias("_odk"), F.col("_vf").alias("_ovf"),
+        *[F.col(f"_t_{c}").alias(f"_o_{c}") for c in take])
+
+    ts = F.col(fact_ts)
+    keyed = facts.withColumn("_fk", fact_key).withColumn("_fm", month_index(ts))
+    j = keyed.join(closed, (F.col("_fk") == F.col("_cdk")) & (F.col("_fm") == F.col("_cm")) &
+                   (F.col("_cvf") <= ts) & (ts < F.col("_cvt")), "left")
+    j = j.join(open_, (F.col("_fk") == F.col("_odk")) & (F.col("_ovf") <= ts), "left")
+    hit_open = F.col("_odk").isNotNull()
+    out = j.select(*facts.columns,
+                   *[F.when(hit_open, F.col(f"_o_{c}")).otherwise(F.col(f"_c_{c}")).alias(prefix + c)
+                     for c in take],
+                   (hit_open | F.col("_cdk").isNotNull()).alias("_matched"))
+    if how == "inner":
+        out = out.where(F.col("_matched"))
+    elif how != "left":
+        raise ValueError("how must be 'left' or 'inner'")
+    return out.drop("_matched")

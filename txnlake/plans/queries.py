@@ -73,10 +73,9 @@ def fact_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataF
     return acc, cus, mer
 
 
-def fact_df(spark: SparkSession, sf: str, txns: DataFrame | None = None) -> DataFrame:
-    acc, cus, mer = fact_dims(spark, sf)
-    fact, _ = facts_op.build_fact(txns if txns is not None else staged_transactions(spark, sf),
-                                  acc, cus, mer)
+def fact_df(spark: SparkSession, sf: str, dims=None) -> DataFrame:
+    acc, cus, mer = dims if dims is not None else fact_dims(spark, sf)
+    fact, _ = facts_op.build_fact(staged_transactions(spark, sf), acc, cus, mer)
     return fact
 
 
@@ -269,8 +268,9 @@ def q_mart_gmv_daily(spark, sf):
 
 
 def mart_top_df(spark, sf):
-    fact = fact_df(spark, sf)
-    _, _, mer = fact_dims(spark, sf)
+    dims = fact_dims(spark, sf)
+    fact = fact_df(spark, sf, dims)
+    mer = dims[2]
     as_of = fx.transactions(spark, sf).agg(F.max("created_at")).scalar()
     return marts.top_merchants(fact, mer, as_of)
 
