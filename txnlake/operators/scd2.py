@@ -7,8 +7,9 @@ current row and the changes: a change whose tracked attributes differ
 (null-safe, after normalisation) from the state before it closes the open
 version at its ``as_of`` and opens ``version + 1``; an equal change is a
 no-op.  The fold is ``lag`` (change flag) + running count (version) +
-``lead`` (valid_to) over windows partitioned by the business key, and only
-keys that appear in the feed are rewritten.
+``lead`` (valid_to) over windows partitioned by business key and time
+slice, stitched at slice borders; only keys that appear in the feed are
+rewritten.
 """
 
 from __future__ import annotations
@@ -92,12 +93,19 @@ def _feed_rows(changes: DataFrame, spec: Scd2Spec) -> DataFrame:
     )
 
 
-def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec) -> DataFrame:
+def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
+               slice_seconds: int = 30 * 86400) -> DataFrame:
     """Return the full dimension after applying ``changes``.
 
     ``changes`` carries the attribute columns, ``as_of`` and the tie-break
     columns of the spec.  Rows of keys absent from the feed pass through
     untouched; closed history rows are never rewritten.
+
+    Skew: the fold runs over windows partitioned by ``(key, time slice)``
+    instead of the key alone, so one key with a large share of all changes
+    is spread over many tasks.  Slice boundaries are stitched with
+    per-slice summaries (last state, kept count, first kept time), whose
+    number per key is bounded by the time span, not by the row count.
     """
     feed = _feed_rows(changes, spec)
     touched = feed.select(spec.bk).distinct()
@@ -106,8 +114,8 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec) -> DataFr
     untouched_open = open_rows.join(touched, spec.bk, "left_anti")
     touched_open = open_rows.join(touched, spec.bk, "left_semi")
 
-    tb = [F.lit(None).cast(feed.schema[f"_tb{i}"].dataType).alias(f"_tb{i}")
-          for i in range(len(spec.tiebreak))]
+    tbs = [f"_tb{i}" for i in range(len(spec.tiebreak))]
+    tb = [F.lit(None).cast(feed.schema[c].dataType).alias(c) for c in tbs]
     existing = touched_open.select(
         F.col(spec.bk), *[F.col(a) for a in spec.attrs],
         F.col("valid_from").alias("as_of"),
@@ -115,37 +123,58 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec) -> DataFr
         F.col("version").cast("int").alias("_base_version"),
         *tb,
     )
-    rows = existing.unionByName(feed)
-
-    order = [F.col("_src"), F.col("as_of")] + [F.col(f"_tb{i}") for i in range(len(spec.tiebreak))]
-    w = Window.partitionBy(spec.bk).orderBy(*order)
     state = F.struct(*[fn(F.col(a)).alias(a) for a, fn in spec.tracked.items()])
-    prev = F.lag(state).over(w)
-    flagged = rows.withColumn("_state", state).withColumn(
+    # slice ids grow along the fold order (existing current rows come first)
+    slice_id = F.when(F.col("_src") == 0, F.lit(-1).cast("bigint")).otherwise(
+        F.floor(F.unix_seconds(F.col("as_of").cast("timestamp")) / F.lit(slice_seconds)).cast("bigint"))
+    rows = existing.unionByName(feed).withColumn("_state", state).withColumn("_slice", slice_id)
+
+    key = [spec.bk, "_slice"]
+    order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
+    w_local = Window.partitionBy(*key).orderBy(*order)
+    per_key = Window.partitionBy(spec.bk).orderBy("_slice")
+
+    # 1. change flags: previous state is the previous row, across slice borders
+    last = rows.groupBy(*key).agg(
+        F.max(F.struct(*order, F.col("_state"))).alias("_last"))
+    prev_last = last.select(*key, F.lag(F.col("_last._state")).over(per_key).alias("_prev_last"))
+    prev = F.coalesce(F.lag(F.col("_state")).over(w_local), F.col("_prev_last"))
+    flagged = rows.join(prev_last, key).withColumn(
         "_changed", prev.isNull() | ~F.col("_state").eqNullSafe(prev))
-    kept = flagged.where(F.col("_changed"))
-
-    wk = Window.partitionBy(spec.bk).orderBy(*order)
-    running = F.sum(F.col("_src")).over(wk.rowsBetween(Window.unboundedPreceding, 0))
-    base = F.max(F.col("_base_version")).over(Window.partitionBy(spec.bk))
-    next_from = F.lead(F.col("as_of")).over(wk)
+    kept = flagged.where(F.col("_changed")).drop("_prev_last", "_changed")
+
+    # 2. versions and validity across slice borders
+    summary = kept.groupBy(*key).agg(
+        F.sum("_src").alias("_kn"),
+        F.min(F.struct(*order)).getField("as_of").alias("_kfirst"),
+        F.max("_base_version").alias("_kbase"))
+    summary = summary.select(
+        *key,
+        F.coalesce(F.sum("_kn").over(per_key.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_koff"),
+        F.first("_kfirst", ignorenulls=True).over(per_key.rowsBetween(1, Window.unboundedFollowing))
+         .alias("_knext"),
+        F.coalesce(F.max("_kbase").over(Window.partitionBy(spec.bk)), F.lit(0)).alias("_base"))
+    kept = kept.join(summary, key)
+    running = F.sum(F.col("_src")).over(w_local.rowsBetween(Window.unboundedPreceding, 0))
+    next_from = F.coalesce(F.lead(F.col("as_of")).over(w_local), F.col("_knext"))
     merged = kept.select(
         F.col(spec.bk), *[F.col(a) for a in spec.attrs],
         F.col("as_of").alias("valid_from"),
         next_from.alias("valid_to"),
         next_from.isNull().alias("is_current"),
         F.when(F.col("_src") == 0, F.col("_base_version"))
-         .otherwise(F.coalesce(base, F.lit(0)) + running).cast("int").alias("version"),
+         .otherwise(F.col("_base") + F.col("_koff") + running).cast("int").alias("version"),
     )
     keep = spec.columns
     return history.select(*keep).unionByName(untouched_open.select(*keep)) \
                   .unionByName(merged.select(*keep))
 
 
-def build_dim(changes: DataFrame, spec: Scd2Spec) -> DataFrame:
+def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = 30 * 86400) -> DataFrame:
     """First load of a dimension from a feed (no existing rows)."""
     return scd2_merge(empty_dim(changes.sparkSession, spec, _feed_rows(changes, spec)),
-                      changes, spec)
+                      changes, spec, slice_seconds)
 
 
 def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +26,17 @@ def dense_rank_keys(df: DataFrame, order_by: Sequence[str], out_col: str = "sk",
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by)
-                .sortWithinPartitions(*order_by)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    # the range-bound sampling job and the shuffle both read the input: keep
+    # it for the duration so its plan runs once
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = (src.repartitionByRange(n, *order_by)
+                     .sortWithinPartitions(*order_by)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_mid", F.monotonically_increasing_id())
+                     .checkpoint(eager=True))
+    finally:
+        src.unpersist()
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a window over it is tiny by construction
     offsets = counts.select(
