@@ -41,10 +41,12 @@ def _rows(df):
 
 
 @settings(max_examples=4, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000), st.sampled_from([86400, 3 * 86400, 10 ** 9]))
-def test_merge_equals_sequential_model(spark, seed, slice_seconds):
+@given(st.integers(min_value=0, max_value=10_000), st.sampled_from([86400, 3 * 86400, 10 ** 9]),
+       st.sampled_from([0, 25, 10 ** 9]))
+def test_merge_equals_sequential_model(spark, seed, slice_seconds, hot_key_rows):
     feed = _feed(seed)
-    dim = scd2.build_dim(spark.createDataFrame(feed, FEED), scd2.ACCOUNT_DIM, slice_seconds)
+    dim = scd2.build_dim(spark.createDataFrame(feed, FEED), scd2.ACCOUNT_DIM, slice_seconds,
+                         hot_key_rows)
     assert _rows(dim) == upsert_model(feed)
 
 
@@ -52,15 +54,15 @@ def test_hot_key_split_over_slices(spark):
     # one key holds most changes; daily slices must give the same versions
     feed = _feed(3, n=500, keys=2)
     df = spark.createDataFrame(feed, FEED)
-    assert _rows(scd2.build_dim(df, scd2.ACCOUNT_DIM, 86400)) == upsert_model(feed)
+    assert _rows(scd2.build_dim(df, scd2.ACCOUNT_DIM, 86400, hot_key_rows=100)) == upsert_model(feed)
 
 
 def test_incremental_merge_equals_one_shot(spark):
     feed = _feed(7, n=400)
     first = [r for r in feed if r[5] < dt.datetime(2020, 1, 20)]
     second = [r for r in feed if r[5] >= dt.datetime(2020, 1, 20)]
-    d1 = scd2.build_dim(spark.createDataFrame(first, FEED), scd2.ACCOUNT_DIM, 2 * 86400)
-    d2 = scd2.scd2_merge(d1, spark.createDataFrame(second, FEED), scd2.ACCOUNT_DIM, 2 * 86400)
+    d1 = scd2.build_dim(spark.createDataFrame(first, FEED), scd2.ACCOUNT_DIM, 2 * 86400, 20)
+    d2 = scd2.scd2_merge(d1, spark.createDataFrame(second, FEED), scd2.ACCOUNT_DIM, 2 * 86400, 20)
     assert _rows(d2) == upsert_model(feed)
 
 

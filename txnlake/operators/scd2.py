@@ -7,9 +7,9 @@ current row and the changes: a change whose tracked attributes differ
 (null-safe, after normalisation) from the state before it closes the open
 version at its ``as_of`` and opens ``version + 1``; an equal change is a
 no-op.  The fold is ``lag`` (change flag) + running count (version) +
-``lead`` (valid_to) over windows partitioned by business key and time
-slice, stitched at slice borders; only keys that appear in the feed are
-rewritten.
+``lead`` (valid_to) over windows partitioned by the business key (hot
+keys: by key and time slice, stitched at slice borders); only keys that
+appear in the feed are rewritten.
 """
 
 from __future__ import annotations
@@ -93,19 +93,22 @@ def _feed_rows(changes: DataFrame, spec: Scd2Spec) -> DataFrame:
     )
 
 
+HOT_KEY_ROWS = 2_000_000
+
+
 def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
-               slice_seconds: int = 30 * 86400) -> DataFrame:
+               slice_seconds: int = 30 * 86400, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Return the full dimension after applying ``changes``.
 
     ``changes`` carries the attribute columns, ``as_of`` and the tie-break
     columns of the spec.  Rows of keys absent from the feed pass through
     untouched; closed history rows are never rewritten.
 
-    Skew: the fold runs over windows partitioned by ``(key, time slice)``
-    instead of the key alone, so one key with a large share of all changes
-    is spread over many tasks.  Slice boundaries are stitched with
-    per-slice summaries (last state, kept count, first kept time), whose
-    number per key is bounded by the time span, not by the row count.
+    Skew: keys with more than ``hot_key_rows`` rows in this merge (found by
+    a partially aggregated count) are folded over windows partitioned by
+    ``(key, time slice)`` and stitched at slice borders with per-slice
+    summaries, whose number per key is bounded by the time span; all other
+    keys are folded over windows partitioned by the key alone.
     """
     feed = _feed_rows(changes, spec)
     touched = feed.select(spec.bk).distinct()
@@ -124,24 +127,56 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
         *tb,
     )
     state = F.struct(*[fn(F.col(a)).alias(a) for a, fn in spec.tracked.items()])
+    rows = existing.unionByName(feed).withColumn("_state", state)
+    order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
+
+    hot = rows.groupBy(spec.bk).agg(F.count(F.lit(1)).alias("_n")) \
+              .where(F.col("_n") > hot_key_rows).select(spec.bk)
+    merged = _fold_by_key(rows.join(hot, spec.bk, "left_anti"), spec, order).unionByName(
+        _fold_by_slice(rows.join(hot, spec.bk, "left_semi"), spec, order, slice_seconds))
+    keep = spec.columns
+    return history.select(*keep).unionByName(untouched_open.select(*keep)) \
+                  .unionByName(merged.select(*keep))
+
+
+def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Column) -> DataFrame:
+    return kept.select(
+        F.col(spec.bk), *[F.col(a) for a in spec.attrs],
+        F.col("as_of").alias("valid_from"),
+        next_from.alias("valid_to"),
+        next_from.isNull().alias("is_current"),
+        F.when(F.col("_src") == 0, F.col("_base_version")).otherwise(version).cast("int")
+         .alias("version"))
+
+
+def _fold_by_key(rows: DataFrame, spec: Scd2Spec, order: list[Column]) -> DataFrame:
+    w = Window.partitionBy(spec.bk).orderBy(*order)
+    prev = F.lag(F.col("_state")).over(w)
+    kept = rows.withColumn("_changed", prev.isNull() | ~F.col("_state").eqNullSafe(prev)) \
+               .where(F.col("_changed"))
+    running = F.sum(F.col("_src")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    base = F.coalesce(F.max(F.col("_base_version")).over(Window.partitionBy(spec.bk)), F.lit(0))
+    return _versions(kept, spec, F.lead(F.col("as_of")).over(w), base + running)
+
+
+def _fold_by_slice(rows: DataFrame, spec: Scd2Spec, order: list[Column],
+                   slice_seconds: int) -> DataFrame:
     # slice ids grow along the fold order (existing current rows come first)
     slice_id = F.when(F.col("_src") == 0, F.lit(-1).cast("bigint")).otherwise(
-        F.floor(F.unix_seconds(F.col("as_of").cast("timestamp")) / F.lit(slice_seconds)).cast("bigint"))
-    rows = existing.unionByName(feed).withColumn("_state", state).withColumn("_slice", slice_id)
-
+        F.floor(F.unix_seconds(F.col("as_of").cast("timestamp")) / F.lit(slice_seconds))
+        .cast("bigint"))
+    rows = rows.withColumn("_slice", slice_id)
     key = [spec.bk, "_slice"]
-    order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
     w_local = Window.partitionBy(*key).orderBy(*order)
     per_key = Window.partitionBy(spec.bk).orderBy("_slice")
 
-    # 1. change flags: previous state is the previous row, across slice borders
-    last = rows.groupBy(*key).agg(
-        F.max(F.struct(*order, F.col("_state"))).alias("_last"))
+    # 1. change flags: the previous state is the previous row, across slice borders
+    last = rows.groupBy(*key).agg(F.max(F.struct(*order, F.col("_state"))).alias("_last"))
     prev_last = last.select(*key, F.lag(F.col("_last._state")).over(per_key).alias("_prev_last"))
     prev = F.coalesce(F.lag(F.col("_state")).over(w_local), F.col("_prev_last"))
-    flagged = rows.join(prev_last, key).withColumn(
-        "_changed", prev.isNull() | ~F.col("_state").eqNullSafe(prev))
-    kept = flagged.where(F.col("_changed")).drop("_prev_last", "_changed")
+    kept = rows.join(prev_last, key) \
+               .withColumn("_changed", prev.isNull() | ~F.col("_state").eqNullSafe(prev)) \
+               .where(F.col("_changed")).drop("_prev_last", "_changed")
 
     # 2. versions and validity across slice borders
     summary = kept.groupBy(*key).agg(
@@ -158,23 +193,14 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
     kept = kept.join(summary, key)
     running = F.sum(F.col("_src")).over(w_local.rowsBetween(Window.unboundedPreceding, 0))
     next_from = F.coalesce(F.lead(F.col("as_of")).over(w_local), F.col("_knext"))
-    merged = kept.select(
-        F.col(spec.bk), *[F.col(a) for a in spec.attrs],
-        F.col("as_of").alias("valid_from"),
-        next_from.alias("valid_to"),
-        next_from.isNull().alias("is_current"),
-        F.when(F.col("_src") == 0, F.col("_base_version"))
-         .otherwise(F.col("_base") + F.col("_koff") + running).cast("int").alias("version"),
-    )
-    keep = spec.columns
-    return history.select(*keep).unionByName(untouched_open.select(*keep)) \
-                  .unionByName(merged.select(*keep))
+    return _versions(kept, spec, next_from, F.col("_base") + F.col("_koff") + running)
 
 
-def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = 30 * 86400) -> DataFrame:
+def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = 30 * 86400,
+              hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """First load of a dimension from a feed (no existing rows)."""
     return scd2_merge(empty_dim(changes.sparkSession, spec, _feed_rows(changes, spec)),
-                      changes, spec, slice_seconds)
+                      changes, spec, slice_seconds, hot_key_rows)
 
 
 def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -7,6 +7,8 @@ job first, see their docstrings).  Column names equal the oracle SQL's.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from txnlake.operators import ingest, marts, quality, scd2, velocity
 from txnlake.operators.asof import asof_lookup
 from txnlake.operators.surrogate import dense_rank_keys
 from txnlake.plans import params as P
+from txnlake.session import ensure_checkpoint_dir
 from txnlake.sources import fixtures as fx
 
 
@@ -41,19 +44,28 @@ def merchant_candidates_df(txns: DataFrame) -> DataFrame:
         F.min("created_at").alias("as_of"))
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a dimension once (reliable checkpoint in the shared checkpoint
+    folder) so later steps read it instead of re-running its lineage, as
+    they read the stored table in the hourly job."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def dim_customer_df(spark: SparkSession, sf: str) -> DataFrame:
-    first = scd2.build_dim(fx.customer_changes(spark, sf), scd2.CUSTOMER_DIM)
-    return scd2.scd2_merge(first, fx.customer_second_feed(spark, sf), scd2.CUSTOMER_DIM)
+    first = materialise(scd2.build_dim(fx.customer_changes(spark, sf), scd2.CUSTOMER_DIM))
+    return materialise(scd2.scd2_merge(first, fx.customer_second_feed(spark, sf),
+                                       scd2.CUSTOMER_DIM))
 
 
 def dim_account_df(spark: SparkSession, sf: str) -> DataFrame:
     feed = fx.account_snapshots(spark, sf).withColumnRenamed("customer_id", "customer_bk")
-    return scd2.build_dim(feed, scd2.ACCOUNT_DIM)
+    return materialise(scd2.build_dim(feed, scd2.ACCOUNT_DIM))
 
 
 def dim_merchant_df(spark: SparkSession, sf: str) -> DataFrame:
     feed = merchant_candidates_df(fx.transactions(spark, sf))
-    return scd2.build_dim(feed, scd2.MERCHANT_DIM)
+    return materialise(scd2.build_dim(feed, scd2.MERCHANT_DIM))
 
 
 def backdate_first_versions(dim: DataFrame, start: str = P.FIXTURE_START) -> DataFrame:
@@ -67,9 +79,13 @@ def with_sk(dim: DataFrame, spec: scd2.Scd2Spec, sk: str) -> DataFrame:
 
 
 def fact_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    acc = with_sk(backdate_first_versions(dim_account_df(spark, sf)), scd2.ACCOUNT_DIM, "account_sk")
-    cus = with_sk(backdate_first_versions(dim_customer_df(spark, sf)), scd2.CUSTOMER_DIM, "customer_sk")
-    mer = with_sk(backdate_first_versions(dim_merchant_df(spark, sf)), scd2.MERCHANT_DIM, "merchant_sk")
+    """The three keyed dimensions; independent jobs, submitted concurrently."""
+    work = [(dim_account_df, scd2.ACCOUNT_DIM, "account_sk"),
+            (dim_customer_df, scd2.CUSTOMER_DIM, "customer_sk"),
+            (dim_merchant_df, scd2.MERCHANT_DIM, "merchant_sk")]
+    acc, cus, mer = _concurrently(*[(lambda b=b, spec=spec, sk=sk:
+                                     with_sk(backdate_first_versions(b(spark, sf)), spec, sk))
+                                    for b, spec, sk in work])
     return acc, cus, mer
 
 
@@ -185,14 +201,21 @@ def q_dq_scd2_current(spark, sf):
 
 # --- as-of joins and facts --------------------------------------------------------
 
-def _dims_plain(spark, sf):
-    return (backdate_first_versions(dim_account_df(spark, sf)),
-            backdate_first_versions(dim_customer_df(spark, sf)),
-            backdate_first_versions(dim_merchant_df(spark, sf)))
+def _concurrently(*builders):
+    """Run independent builders (each triggers its own Spark jobs) in parallel."""
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        return [f.result() for f in [pool.submit(b) for b in builders]]
+
+
+def _dims_plain(spark, sf, which=("account", "customer", "merchant")):
+    builders = {"account": dim_account_df, "customer": dim_customer_df, "merchant": dim_merchant_df}
+    built = _concurrently(*[(lambda b=builders[w]: backdate_first_versions(b(spark, sf)))
+                            for w in which])
+    return dict(zip(which, built))
 
 
 def q_asof_account(spark, sf):
-    acc, _, _ = _dims_plain(spark, sf)
+    acc = _dims_plain(spark, sf, ("account",))["account"]
     t = staged_transactions(spark, sf).select("id", "account_id", "created_at")
     j = asof_lookup(t, F.col("account_id"), "created_at", acc, "account_bk",
                     ["account_bk", "version"], prefix="a_")
@@ -201,7 +224,8 @@ def q_asof_account(spark, sf):
 
 
 def q_asof_customer(spark, sf):
-    acc, cus, _ = _dims_plain(spark, sf)
+    d = _dims_plain(spark, sf, ("account", "customer"))
+    acc, cus = d["account"], d["customer"]
     t = staged_transactions(spark, sf).select("id", "account_id", "created_at")
     j = asof_lookup(t, F.col("account_id"), "created_at", acc, "account_bk", ["customer_bk"],
                     prefix="a_")
@@ -212,7 +236,7 @@ def q_asof_customer(spark, sf):
 
 
 def q_asof_merchant(spark, sf):
-    _, _, mer = _dims_plain(spark, sf)
+    mer = _dims_plain(spark, sf, ("merchant",))["merchant"]
     t = staged_transactions(spark, sf).select("id", "merchant_name", "created_at")
     j = asof_lookup(t, normalise_name("merchant_name"), "created_at", mer, "merchant_name_norm",
                     ["merchant_name_norm", "version"], prefix="m_")

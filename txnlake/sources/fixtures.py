@@ -19,7 +19,7 @@ EPOCH_FIXTURE = "1995-01-01 00:00:00"
 
 
 # Tables that grow with the data (facts and event streams).
-LARGE_TABLES = {"lineitem", "orders", "events", "customer", "part"}
+LARGE_TABLES = {"lineitem", "orders", "events"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
