@@ -102,3 +102,16 @@ def test_customers_and_accounts(spark):
                                  "seq LONG, customer_id STRING, currency STRING, country STRING")
     out = {r.seq: r.outcome for r in ingest.account_outcomes(areq, customers, acc).collect()}
     assert out == {1: "CREATED", 2: "CONFLICT", 3: "CONFLICT", 4: "UNKNOWN_CUSTOMER", 5: "INVALID"}
+
+
+def test_request_files_roundtrip_and_defaults(spark, tmp_path):
+    from txnlake.sources.requests import read_requests, write_requests
+    reqs = spark.createDataFrame([(1, "x@y.com", "VN", None, None)],
+                                 "seq LONG, email STRING, country STRING, kyc_level SMALLINT, risk_band STRING")
+    write_requests(reqs, str(tmp_path / "c"))
+    back = read_requests(spark, str(tmp_path / "c"), "customers")
+    out = ingest.customer_outcomes(back, spark.createDataFrame([], "id STRING, email STRING"))
+    row = ingest.new_customers(out, "2024-01-01 00:00:00").collect()[0]
+    assert (row.kyc_level, row.risk_band, row.created_at) == (0, "LOW", dt.datetime(2024, 1, 1))
+    touched = ingest.with_updated_at(spark.createDataFrame([row]), "2024-02-01 00:00:00").collect()[0]
+    assert touched.updated_at == dt.datetime(2024, 2, 1)

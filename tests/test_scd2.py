@@ -40,7 +40,7 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(*scd2.ACCOUNT_DIM.columns).collect())
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(st.integers(min_value=0, max_value=10_000), st.sampled_from([86400, 3 * 86400, 10 ** 9]),
        st.sampled_from([0, 25, 10 ** 9]))
 def test_merge_equals_sequential_model(spark, seed, slice_seconds, hot_key_rows):

@@ -201,3 +201,32 @@ def cascade_delete(customers: DataFrame, accounts: DataFrame, transactions: Data
         "transactions": transactions.join(acc_ids, "account_id", "left_semi"),
         "risk_flags": flags.join(acc_ids, "account_id", "left_semi"),
     }
+
+
+def with_updated_at(df: DataFrame, as_of: Column | str) -> DataFrame:
+    """Refresh ``updated_at`` to the time of the update (explicit, never the clock)."""
+    ts = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
+    return df.withColumn("updated_at", ts)
+
+
+def new_customers(outcomes: DataFrame, created_at: Column | str) -> DataFrame:
+    """Customer rows for CREATED requests, with the create defaults applied."""
+    ts = F.lit(created_at).cast("timestamp_ntz") if isinstance(created_at, str) else created_at
+    return outcomes.where(F.col("outcome") == "CREATED").select(
+        uuid5(F.concat(F.lit("customer:"), F.lower("email")), ID_NAMESPACE).alias("id"),
+        "email", "country",
+        F.coalesce(F.col("kyc_level"), F.lit(config.DEFAULT_KYC_LEVEL)).cast("smallint").alias("kyc_level"),
+        F.coalesce(F.col("risk_band"), F.lit(config.DEFAULT_RISK_BAND)).alias("risk_band"),
+        ts.alias("created_at"), ts.alias("updated_at"))
+
+
+def new_accounts(outcomes: DataFrame, created_at: Column | str) -> DataFrame:
+    """Account rows for CREATED requests: status ACTIVE, country default VN."""
+    ts = F.lit(created_at).cast("timestamp_ntz") if isinstance(created_at, str) else created_at
+    return outcomes.where(F.col("outcome") == "CREATED").select(
+        uuid5(F.concat_ws(":", F.lit("account"), "customer_id", "currency", F.col("seq").cast("string")),
+              ID_NAMESPACE).alias("id"),
+        "customer_id", "currency",
+        F.coalesce(F.col("country"), F.lit(config.DEFAULT_ACCOUNT_COUNTRY)).alias("country"),
+        F.lit("ACTIVE").alias("status"), ts.alias("created_at"), ts.alias("updated_at"))
+

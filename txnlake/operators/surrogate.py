@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnlake.session import ensure_checkpoint_dir
+from txnlake.session import ensure_checkpoint_dir, reliable_checkpoint
 
 
 def dense_rank_keys(df: DataFrame, order_by: Sequence[str], out_col: str = "sk",
@@ -30,11 +30,10 @@ def dense_rank_keys(df: DataFrame, order_by: Sequence[str], out_col: str = "sk",
     # it for the duration so its plan runs once
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ranged = (src.repartitionByRange(n, *order_by)
-                     .sortWithinPartitions(*order_by)
-                     .withColumn("_pid", F.spark_partition_id())
-                     .withColumn("_mid", F.monotonically_increasing_id())
-                     .checkpoint(eager=True))
+        ranged = reliable_checkpoint(src.repartitionByRange(n, *order_by)
+                                        .sortWithinPartitions(*order_by)
+                                        .withColumn("_pid", F.spark_partition_id())
+                                        .withColumn("_mid", F.monotonically_increasing_id()))
     finally:
         src.unpersist()
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -22,7 +22,7 @@ from txnlake.operators import ingest, marts, quality, scd2, velocity
 from txnlake.operators.asof import asof_lookup
 from txnlake.operators.surrogate import dense_rank_keys
 from txnlake.plans import params as P
-from txnlake.session import ensure_checkpoint_dir
+from txnlake.session import reliable_checkpoint
 from txnlake.sources import fixtures as fx
 
 
@@ -48,8 +48,7 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write a dimension once (reliable checkpoint in the shared checkpoint
     folder) so later steps read it instead of re-running its lineage, as
     they read the stored table in the hourly job."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return reliable_checkpoint(df)
 
 
 def dim_customer_df(spark: SparkSession, sf: str) -> DataFrame:

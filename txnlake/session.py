@@ -74,3 +74,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def reliable_checkpoint(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    The rows are kept in memory/disk while the checkpoint is written, so the
+    plan runs once (an eager reliable checkpoint otherwise runs it twice:
+    once to count, once to write the files).
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
+
