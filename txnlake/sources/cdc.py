@@ -28,17 +28,6 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
 ])
 
-# Fields read from a transaction row image; everything arrives as text
-# (decimals are rendered as strings by the capture connector).
-ROW_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("account_id", T.StringType()),
-    T.StructField("amount", T.StringType()),
-    T.StructField("currency", T.StringType()),
-    T.StructField("created_at", T.StringType()),
-    T.StructField("__op", T.StringType()),
-])
-
 DECODED_COLUMNS = ["seq", "id", "account_id", "amount", "currency", "created_at", "op"]
 
 
@@ -72,28 +61,32 @@ def decode(records: DataFrame) -> DataFrame:
     account or amount, amounts that are not decimals.  A missing currency
     defaults to VND (an explicit null does not); a missing event time falls
     back to the processing time.
+
+    Each object is parsed once into ``map<string,string>`` (nested values
+    come back as JSON text), which gives both the field values and whether
+    a key is present; the envelope's payload is parsed a second time only
+    when it is an object.
     """
+    as_map = "map<string,string>"
     value = F.col("value").cast("string")
-    text = F.trim(value)
-    is_object = text.startswith("{") & F.get_json_object(text, "$").isNotNull()
-    payload_text = F.get_json_object(text, "$.payload")
-    row_text = F.when(F.coalesce(F.trim(payload_text).startswith("{"), F.lit(False)), payload_text) \
-                .otherwise(text)
-    r = records.where(value.isNotNull() & is_object).select(
-        "*", row_text.alias("_row_text"))
-    r = r.select("*", F.from_json("_row_text", ROW_SCHEMA).alias("_row"),
-                 F.json_object_keys("_row_text").alias("_keys"))
-    op = F.coalesce(header(F.col("headers"), "op", "__op"), F.col("_row.__op"))
-    amount_text = F.col("_row.amount")
-    amount = F.expr("try_cast(_row.amount AS DECIMAL(20,6))")
-    currency = F.when(F.array_contains(F.col("_keys"), "currency"), F.col("_row.currency")) \
+    r = records.where(value.isNotNull()).select("*", F.from_json(value, as_map).alias("_root"))
+    payload = F.col("_root").getItem("payload")
+    is_envelope = F.coalesce(F.ltrim(payload).startswith("{"), F.lit(False))
+    r = r.where(F.col("_root").isNotNull()).select(
+        "*", F.when(is_envelope, F.from_json(payload, as_map)).otherwise(F.col("_root")).alias("_row"))
+    row = F.col("_row")
+    op = F.coalesce(header(F.col("headers"), "op", "__op"), row.getItem("__op"))
+    amount_text = row.getItem("amount")
+    amount = F.expr("try_cast(_row['amount'] AS DECIMAL(20,6))")
+    currency = F.when(F.map_contains_key(row, "currency"), row.getItem("currency")) \
                 .otherwise(F.lit(config.DEFAULT_CURRENCY))
-    parsed = F.expr("try_cast(_row.created_at AS TIMESTAMP)")
-    created = F.when(F.col("_row.created_at").isNull(), F.current_timestamp()).otherwise(parsed)
-    out = r.select(
+    created_text = row.getItem("created_at")
+    parsed = F.expr("try_cast(_row['created_at'] AS TIMESTAMP)")
+    created = F.when(created_text.isNull(), F.current_timestamp()).otherwise(parsed)
+    out = r.where(F.col("_row").isNotNull()).select(
         F.col("offset").alias("seq"),
-        F.col("_row.id").alias("id"),
-        F.col("_row.account_id").alias("account_id"),
+        row.getItem("id").alias("id"),
+        row.getItem("account_id").alias("account_id"),
         amount.alias("amount"),
         currency.alias("currency"),
         created.cast("timestamp_ntz").alias("created_at"),

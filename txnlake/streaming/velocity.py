@@ -94,12 +94,17 @@ def _write_batch(sink: str, cfg: config.VelocityConfig):
         try:
             hits = batch_velocity.alerts(batch, cfg)
             hits.write.mode("overwrite").parquet(f"{sink}/alerts/batch_id={batch_id}")
-            new_flags = batch_velocity.flags(hits).withColumn("batch_id", F.lit(batch_id))
+            new_flags = batch_velocity.flags(hits).withColumn("batch_id", F.lit(batch_id)) \
+                                                  .withColumn("window_date", F.to_date("window_end"))
             flags_path = f"{sink}/flags"
             if path_exists(batch.sparkSession, flags_path):
-                stored = batch.sparkSession.read.parquet(flags_path).select("event_id")
+                # the flag id contains window_end, so only the dates this batch
+                # touches can hold a duplicate: read just those partitions
+                days = [r[0] for r in new_flags.select("window_date").distinct().collect()]
+                stored = batch.sparkSession.read.parquet(flags_path) \
+                              .where(F.col("window_date").isin(days)).select("event_id")
                 new_flags = new_flags.join(stored, "event_id", "left_anti")
-            new_flags.write.mode("append").parquet(flags_path)
+            new_flags.write.mode("append").partitionBy("window_date").parquet(flags_path)
         finally:
             batch.unpersist()
     return write
