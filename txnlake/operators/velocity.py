@@ -34,12 +34,16 @@ def trailing_window(events: DataFrame, cfg: config.VelocityConfig = config.Veloc
     w_us = cfg.window_seconds * 1_000_000
     s_us = cfg.slice_seconds * 1_000_000
     us = epoch_micros(ts)
-    base = events.withColumn("_us", us).withColumn("_slice", F.floor(F.col("_us") / F.lit(s_us)))
-    own = base.withColumn("_own", F.lit(True))
-    halo = (base.where(F.col("_us") - F.col("_slice") * F.lit(s_us) >= F.lit(s_us - w_us))
-                .withColumn("_slice", F.col("_slice") + 1)
-                .withColumn("_own", F.lit(False)))
-    rows = own.unionByName(halo)
+    base = events.withColumn("_us", us).withColumn("_home", F.floor(F.col("_us") / F.lit(s_us)))
+    # one scan: every row goes to its own slice; rows in the last W seconds
+    # of a slice are also copied (as context only) into the next slice
+    home = F.struct(F.col("_home").alias("slice"), F.lit(True).alias("own"))
+    halo = F.struct((F.col("_home") + 1).alias("slice"), F.lit(False).alias("own"))
+    in_halo = F.col("_us") - F.col("_home") * F.lit(s_us) >= F.lit(s_us - w_us)
+    rows = base.withColumn("_copy", F.explode(F.when(in_halo, F.array(home, halo))
+                                              .otherwise(F.array(home)))) \
+               .withColumn("_slice", F.col("_copy.slice")).withColumn("_own", F.col("_copy.own")) \
+               .drop("_copy", "_home")
 
     frame = Window.partitionBy(key, "_slice").orderBy("_us").rangeBetween(-w_us, 0)
     later_ties = Window.partitionBy(key, "_slice", "_us").orderBy(seq) \
