@@ -51,20 +51,24 @@ def materialise(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
-def dim_customer_df(spark: SparkSession, sf: str) -> DataFrame:
+def _stored(df: DataFrame, store: bool) -> DataFrame:
+    return materialise(df) if store else df
+
+
+def dim_customer_df(spark: SparkSession, sf: str, store: bool = True) -> DataFrame:
     first = materialise(scd2.build_dim(fx.customer_changes(spark, sf), scd2.CUSTOMER_DIM))
-    return materialise(scd2.scd2_merge(first, fx.customer_second_feed(spark, sf),
-                                       scd2.CUSTOMER_DIM))
+    return _stored(scd2.scd2_merge(first, fx.customer_second_feed(spark, sf),
+                                   scd2.CUSTOMER_DIM), store)
 
 
-def dim_account_df(spark: SparkSession, sf: str) -> DataFrame:
+def dim_account_df(spark: SparkSession, sf: str, store: bool = True) -> DataFrame:
     feed = fx.account_snapshots(spark, sf).withColumnRenamed("customer_id", "customer_bk")
-    return materialise(scd2.build_dim(feed, scd2.ACCOUNT_DIM))
+    return _stored(scd2.build_dim(feed, scd2.ACCOUNT_DIM), store)
 
 
-def dim_merchant_df(spark: SparkSession, sf: str) -> DataFrame:
+def dim_merchant_df(spark: SparkSession, sf: str, store: bool = True) -> DataFrame:
     feed = merchant_candidates_df(fx.transactions(spark, sf))
-    return materialise(scd2.build_dim(feed, scd2.MERCHANT_DIM))
+    return _stored(scd2.build_dim(feed, scd2.MERCHANT_DIM), store)
 
 
 def backdate_first_versions(dim: DataFrame, start: str = P.FIXTURE_START) -> DataFrame:
@@ -82,8 +86,10 @@ def fact_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataF
     work = [(dim_account_df, scd2.ACCOUNT_DIM, "account_sk"),
             (dim_customer_df, scd2.CUSTOMER_DIM, "customer_sk"),
             (dim_merchant_df, scd2.MERCHANT_DIM, "merchant_sk")]
+    # key assignment checkpoints the dimension itself: no separate store
     acc, cus, mer = _concurrently(*[(lambda b=b, spec=spec, sk=sk:
-                                     with_sk(backdate_first_versions(b(spark, sf)), spec, sk))
+                                     with_sk(backdate_first_versions(b(spark, sf, store=False)),
+                                             spec, sk))
                                     for b, spec, sk in work])
     return acc, cus, mer
 
@@ -187,14 +193,12 @@ def q_surrogate_keys(spark, sf):
 
 
 def q_dq_scd2_current(spark, sf):
-    parts = [
-        scd2.current_violations(dim_customer_df(spark, sf), scd2.CUSTOMER_DIM)
-        .select(F.lit("dim_customer").alias("dim"), "violations"),
-        scd2.current_violations(dim_account_df(spark, sf), scd2.ACCOUNT_DIM)
-        .select(F.lit("dim_account").alias("dim"), "violations"),
-        scd2.current_violations(dim_merchant_df(spark, sf), scd2.MERCHANT_DIM)
-        .select(F.lit("dim_merchant").alias("dim"), "violations"),
-    ]
+    specs = [("dim_customer", dim_customer_df, scd2.CUSTOMER_DIM),
+             ("dim_account", dim_account_df, scd2.ACCOUNT_DIM),
+             ("dim_merchant", dim_merchant_df, scd2.MERCHANT_DIM)]
+    dims = _concurrently(*[(lambda b=b: b(spark, sf)) for _, b, _ in specs])
+    parts = [scd2.current_violations(d, spec).select(F.lit(name).alias("dim"), "violations")
+             for (name, _, spec), d in zip(specs, dims)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
