@@ -41,3 +41,36 @@ def test_hourly_job_is_incremental_and_idempotent(spark, sf_small):
         assert d.select(sk).distinct().count() == d.count()
     gmv = VersionedTable(spark, f"{root}/cur/mv_gmv_daily").read()
     assert gmv.agg(F.sum("tx_count")).collect()[0][0] == fact.count()
+
+
+def test_bootstrap_demo_row(spark):
+    """One current row per dimension and a fact row built from their keys."""
+    import datetime as dt
+    from txnlake.operators import facts, scd2
+    from txnlake.operators.surrogate import dense_rank_keys
+    t0 = dt.datetime(2024, 1, 1)
+    cust = scd2.build_dim(spark.createDataFrame(
+        [("C1", "demo@example.com", "VN", 1, "LOW", t0)],
+        "id STRING, email STRING, country STRING, kyc_level INT, risk_band STRING, as_of TIMESTAMP_NTZ"),
+        scd2.CUSTOMER_DIM)
+    acc = scd2.build_dim(spark.createDataFrame(
+        [("AA", "C1", "VND", "VN", "ACTIVE", t0, 1)],
+        "id STRING, customer_bk STRING, currency STRING, country STRING, status STRING, as_of TIMESTAMP_NTZ, seq LONG"),
+        scd2.ACCOUNT_DIM)
+    mer = scd2.build_dim(spark.createDataFrame(
+        [("Starbucks Phu Nhuan", "coffee", "VN", t0)],
+        "merchant_name STRING, merchant_category STRING, country STRING, as_of TIMESTAMP_NTZ"),
+        scd2.MERCHANT_DIM)
+    keyed = [dense_rank_keys(d, [s.bk, "version"], out_col=sk) for d, s, sk in
+             [(acc, scd2.ACCOUNT_DIM, "account_sk"), (cust, scd2.CUSTOMER_DIM, "customer_sk"),
+              (mer, scd2.MERCHANT_DIM, "merchant_sk")]]
+    txn = spark.createDataFrame(
+        [("T11", "AA", "PAYMENT", "PENDING", "250000.00", "VND", " starbucks phu nhuan", "coffee", "VN",
+          dt.datetime(2024, 1, 2, 3, 4, 5), None)],
+        "id STRING, account_id STRING, type STRING, status STRING, amount STRING, currency STRING, "
+        "merchant_name STRING, merchant_category STRING, country STRING, created_at TIMESTAMP_NTZ, "
+        "settled_at TIMESTAMP_NTZ").withColumn("amount", F.col("amount").cast("decimal(20,6)"))
+    fact, unresolved = facts.build_fact(txn, *keyed)
+    row = fact.collect()[0]
+    assert (row.customer_sk, row.account_sk, row.merchant_sk) == (1, 1, 1)
+    assert row.created_date == dt.date(2024, 1, 2) and unresolved.count() == 0

@@ -52,3 +52,18 @@ def test_serving_limits(spark):
     flags = spark.createDataFrame([], "account_id STRING, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, count_5m LONG, sum_5m DECIMAL(38,6), reason STRING, created_at TIMESTAMP_NTZ")
     with pytest.raises(ValueError):
         marts.serve_risk_flags(flags, 25)
+
+
+def test_top_merchants_current_vs_any_version(spark):
+    from decimal import Decimal
+    fact = spark.createDataFrame(
+        [(1, Decimal("10"), "VND", dt.datetime(2024, 1, 9)), (2, Decimal("5"), "USD", dt.datetime(2024, 1, 9)),
+         (3, Decimal("7"), "VND", dt.datetime(2023, 1, 1))],
+        "merchant_sk LONG, amount DECIMAL(20,6), currency STRING, created_at TIMESTAMP_NTZ")
+    dim = spark.createDataFrame([(1, "cafe", False), (2, "cafe", True), (3, "shop", True)],
+                                "merchant_sk LONG, merchant_name_norm STRING, is_current BOOLEAN")
+    as_of = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    cur = [tuple(r) for r in marts.top_merchants(fact, dim, as_of).collect()]
+    assert cur == [("cafe", 1, Decimal("5.000000"))]       # spend under version 1 drops out
+    by_name = sorted(tuple(r) for r in marts.top_merchants(fact, dim, as_of, by="name").collect())
+    assert by_name == [("cafe", "USD", 1, Decimal("5.000000")), ("cafe", "VND", 1, Decimal("10.000000"))]
