@@ -126,17 +126,22 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
         F.col("version").cast("int").alias("_base_version"),
         *tb,
     )
+    merged = _fold(existing.unionByName(feed), spec, slice_seconds, hot_key_rows)
+    keep = spec.columns
+    return history.select(*keep).unionByName(untouched_open.select(*keep)) \
+                  .unionByName(merged.select(*keep))
+
+
+def _fold(rows: DataFrame, spec: Scd2Spec, slice_seconds: int, hot_key_rows: int) -> DataFrame:
+    """Fold feed rows (plus the touched current rows) into versions."""
+    tbs = [f"_tb{i}" for i in range(len(spec.tiebreak))]
     state = F.struct(*[fn(F.col(a)).alias(a) for a, fn in spec.tracked.items()])
-    rows = existing.unionByName(feed).withColumn("_state", state)
+    rows = rows.withColumn("_state", state)
     order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
-
     hot = rows.groupBy(spec.bk).agg(F.count(F.lit(1)).alias("_n")) \
               .where(F.col("_n") > hot_key_rows).select(spec.bk)
-    merged = _fold_by_key(rows.join(hot, spec.bk, "left_anti"), spec, order).unionByName(
+    return _fold_by_key(rows.join(hot, spec.bk, "left_anti"), spec, order).unionByName(
         _fold_by_slice(rows.join(hot, spec.bk, "left_semi"), spec, order, slice_seconds))
-    keep = spec.columns
-    return history.select(*keep).unionByName(untouched_open.select(*keep)) \
-                  .unionByName(merged.select(*keep))
 
 
 def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Column) -> DataFrame:
@@ -198,9 +203,9 @@ def _fold_by_slice(rows: DataFrame, spec: Scd2Spec, order: list[Column],
 
 def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = 30 * 86400,
               hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """First load of a dimension from a feed (no existing rows)."""
-    return scd2_merge(empty_dim(changes.sparkSession, spec, _feed_rows(changes, spec)),
-                      changes, spec, slice_seconds, hot_key_rows)
+    """First load of a dimension from a feed (no existing rows to merge with)."""
+    return _fold(_feed_rows(changes, spec), spec, slice_seconds, hot_key_rows) \
+        .select(*spec.columns)
 
 
 def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
