@@ -260,11 +260,11 @@ def q_fact_load(spark, sf):
 
 def q_fact_insert_if_absent(spark, sf):
     acc, cus, mer = fact_dims(spark, sf)
-    stg = staged_transactions(spark, sf)
-    run1, _ = facts_op.build_fact(stg.where(F.col("created_at") <= _ts(P.FACT_FIRST_UNTIL)),
-                                  acc, cus, mer)
-    run2, _ = facts_op.build_fact(stg.where(F.col("created_at") > _ts(P.FACT_SECOND_FROM)),
-                                  acc, cus, mer)
+    # both runs resolve against the same dimensions: resolve once, then cut
+    # the two overlapping batches (their plans share every exchange)
+    fact, _ = facts_op.build_fact(staged_transactions(spark, sf), acc, cus, mer)
+    run1 = fact.where(F.col("created_at") <= _ts(P.FACT_FIRST_UNTIL))
+    run2 = fact.where(F.col("created_at") > _ts(P.FACT_SECOND_FROM))
     existing = facts_op.with_month(run1)
     added = facts_op.new_fact_rows(run2, existing)
     return existing.select(*facts_op.FACT_KEY).unionByName(added.select(*facts_op.FACT_KEY))
