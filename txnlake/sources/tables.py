@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,24 +96,33 @@ class AppendTable:
         self.partition_by = partition_by
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path) if path_exists(self.spark, self.path) else None
+        if not path_exists(self.spark, self.path):
+            return None
+        return self.spark.read.parquet(self.path)
 
     def insert_if_absent(self, batch: DataFrame, order_by: list[str] | None = None,
-                         existing: DataFrame | None = None) -> None:
+                         existing: DataFrame | None = None) -> int:
         """Append rows whose key is not stored yet (first copy wins in the batch).
 
         ``existing`` may narrow what the anti-join reads (e.g. only the
-        month partitions the batch touches).
+        month partitions the batch touches).  Returns the number of rows
+        appended (counted on the batch, never on the whole table).
         """
         target = existing if existing is not None else self.read()
         if target is not None:
             rows = insert_if_absent(batch, target, self.keys, order_by)
         else:
             rows = batch if order_by is None else dedupe_first(batch, self.keys, order_by)
-        writer = rows.write.mode("append")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = rows.count()
+            writer = rows.write.mode("append")
+            if self.partition_by:
+                writer = writer.partitionBy(*self.partition_by)
+            writer.parquet(self.path)
+            return n
+        finally:
+            rows.unpersist()
 
 
 class WatermarkTable:
