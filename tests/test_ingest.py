@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from txnlake.operators import ingest

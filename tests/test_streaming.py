@@ -2,11 +2,9 @@
 
 import datetime as dt
 import json
-import os
 import tempfile
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from txnlake.sources import cdc
 from txnlake.streaming.velocity import read_alerts, read_flags, start_velocity_stream

@@ -5,7 +5,6 @@ import random
 from collections import deque
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from txnlake import config
 from txnlake.operators import velocity
