@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from txnlake import config
 from txnlake.functions.hashing import request_hash
 from txnlake.functions.scalar import (decimal_text, empty_if_null, month_start, next_month,
-                                      normalise_name, uuid5, utc_date)
+                                      normalise_name, utc_date)
 from txnlake.operators import facts as facts_op
 from txnlake.operators import incremental as inc
 from txnlake.operators import ingest, marts, quality, scd2, velocity
