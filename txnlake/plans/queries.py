@@ -67,7 +67,9 @@ def dim_account_df(spark: SparkSession, sf: str, store: bool = True) -> DataFram
 
 
 def dim_merchant_df(spark: SparkSession, sf: str, store: bool = True) -> DataFrame:
-    feed = merchant_candidates_df(fx.transactions(spark, sf))
+    # the feed is an aggregate of the transaction join, read three times by the
+    # fold (hot-key count, per-key and per-slice branches): store it once
+    feed = materialise(merchant_candidates_df(fx.transactions(spark, sf)))
     return _stored(scd2.build_dim(feed, scd2.MERCHANT_DIM), store)
 
 
