@@ -67,3 +67,23 @@ def test_top_merchants_current_vs_any_version(spark):
     assert cur == [("cafe", 1, Decimal("5.000000"))]       # spend under version 1 drops out
     by_name = sorted(tuple(r) for r in marts.top_merchants(fact, dim, as_of, by="name").collect())
     assert by_name == [("cafe", "USD", 1, Decimal("5.000000")), ("cafe", "VND", 1, Decimal("10.000000"))]
+
+
+def test_lookback_rereads_are_removed_by_insert_if_absent(spark):
+    from txnlake.operators.incremental import incremental, next_watermark
+    src = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 1, 10, 0)), ("b", dt.datetime(2024, 1, 1, 11, 0)),
+         ("late", dt.datetime(2024, 1, 1, 10, 55))],   # committed after the first run read 11:00
+        "id STRING, created_at TIMESTAMP_NTZ")
+    path = tempfile.mkdtemp(prefix="lb-") + "/t"
+    table = AppendTable(spark, path, ["id"])
+    first = src.where(F.col("id") != "late")
+    assert table.insert_if_absent(incremental(first, "2024-01-01 00:00:00"), ["created_at"]) == 2
+    wm = first.agg(next_watermark(first, "2024-01-01 00:00:00")).collect()[0][0]
+    assert wm == dt.datetime(2024, 1, 1, 11, 0)
+    # without a margin the late row is missed; with a 10-minute lookback it is
+    # read, and the re-read copy of "b" is not appended twice
+    assert incremental(src, wm).count() == 0
+    again = incremental(src, wm, lookback="10 minutes")
+    assert table.insert_if_absent(again, ["created_at"]) == 1
+    assert sorted(r.id for r in table.read().collect()) == ["a", "b", "late"]
