@@ -91,3 +91,32 @@ def reliable_checkpoint(df):
     finally:
         kept.unpersist()
 
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``txnlake`` importable by every Python worker (idempotent).
+
+    Stateful stream operators unpickle their processor class in Python
+    workers: executors get the package as a zip through ``addPyFile``; the
+    driver-side worker that validates state schemas gets the package root
+    through the workers' ``PYTHONPATH``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_txnlake_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    archive = os.path.join(tempfile.mkdtemp(prefix="txnlake-pkg-"), "txnlake.zip")
+    with zipfile.ZipFile(archive, "w") as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    sc._txnlake_shipped = True
+

@@ -24,6 +24,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from txnlake import config
 from txnlake.functions.scalar import micros_to_ts
+from txnlake.session import ship_package
 from txnlake.operators import velocity as batch_velocity
 from txnlake.sources import cdc
 from txnlake.sources.tables import path_exists
@@ -114,6 +115,7 @@ def start_velocity_stream(spark: SparkSession, source_dir: str, sink_dir: str, c
                           cfg: config.VelocityConfig = config.VelocityConfig(),
                           available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the CDC -> velocity -> alerts/flags stream; returns the query."""
+    ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     reader = spark.readStream.schema(cdc.RECORD_SCHEMA)
     if max_files_per_trigger:
