@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txnlake.llm.decontam import op2_decontamination
 from txnlake.llm.packing import op1_best_fit_packing
 from txnlake.llm.sharding import op5_sharding
 from txnlake.llm.toxicity import op3_toxicity
@@ -9,6 +10,7 @@ from txnlake.llm.token_store import op8_token_ids
 from txnlake.llm.url_filter import op10_url_filters
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op5_sharding": op5_sharding,
     "op3_toxicity": op3_toxicity,
