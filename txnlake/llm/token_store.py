@@ -20,7 +20,7 @@ The library's work is done once per distinct chunk (about a word): its ids
 are kept in a bounded table in the worker process.
 
 Defined cases: null text is an empty text (only the end id); rows with a null
-doc_id come first; equal doc_ids are kept as rows, ordered by size and frame;
+doc_id come first; equal doc_ids are kept as rows, ordered by size and a hash of the frame;
 an empty table gives no shard.  Extra columns are ignored.  Special strings
 inside a text are ordinary text.
 """
@@ -109,9 +109,11 @@ class Encoder:
         plain = [c for c in chunks if _WORD(c)]
         for chunk, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
             known[chunk] = np.array(e.ids, "<u4").tobytes()
-        for at in range(0, len(plain), 256):
-            part = plain[at:at + 256]
-            ids = np.array(self._ids("\n".join(part)), "<u4")
+        parts = [plain[at:at + 256] for at in range(0, len(plain), 256)]
+        joined = self.tokenizer.encode_batch_fast(["\n".join(p) for p in parts],
+                                                  add_special_tokens=False)
+        for part, e in zip(parts, joined):
+            ids = np.array(e.ids, "<u4")
             raw, cut = ids.tobytes(), (4 * np.flatnonzero(ids == self.newline)).tolist()
             for chunk, start, stop in zip(part, [-4, *cut], [*cut, len(raw)], strict=True):
                 known[chunk] = raw[start + 4:stop]
@@ -227,8 +229,9 @@ def write_shards(encoded: DataFrame, folder: str, dictionary: bytes, shards: int
         yield pd.DataFrame({"shard": [shard], "path": [f"{folder}/shard-{shard:06d}"],
                             "n_docs": [len(index)], "n_ids": [n_ids]})
 
-    ranged = (encoded.repartitionByRange(shards, "doc_id", "n_tokens", "frame")
-              .sortWithinPartitions("doc_id", "n_tokens", "frame"))
+    order = ["doc_id", "n_tokens", "tie"]  # no frame goes into the range sample
+    ranged = (encoded.withColumn("tie", F.xxhash64("frame")).repartitionByRange(shards, *order)
+              .sortWithinPartitions(*order).drop("tie"))
     files = store(ranged.mapInPandas(
         run, "shard long, path string, n_docs long, n_ids long"), "op8-manifest")
     # one row per file: a window over them is small by construction
