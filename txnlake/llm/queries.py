@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from txnlake.llm.decontam import op2_decontamination
+from txnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from txnlake.llm.packing import op1_best_fit_packing
 from txnlake.llm.sharding import op5_sharding
 from txnlake.llm.toxicity import op3_toxicity
@@ -10,6 +11,7 @@ from txnlake.llm.token_store import op8_token_ids
 from txnlake.llm.url_filter import op10_url_filters
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
     "op2_decontamination": op2_decontamination,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op5_sharding": op5_sharding,
@@ -18,4 +20,6 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
+}
