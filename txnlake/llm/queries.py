@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from txnlake.llm.decontam import op2_decontamination
 from txnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
+from txnlake.llm.minhash import op7_near_duplicates
 from txnlake.llm.packing import op1_best_fit_packing
 from txnlake.llm.sharding import op5_sharding
 from txnlake.llm.toxicity import op3_toxicity
@@ -11,6 +12,7 @@ from txnlake.llm.token_store import op8_token_ids
 from txnlake.llm.url_filter import op10_url_filters
 
 QUERIES = {
+    "op7_near_duplicates": op7_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op2_decontamination": op2_decontamination,
     "op1_best_fit_packing": op1_best_fit_packing,
