@@ -9,9 +9,11 @@ from txnlake.llm.packing import op1_best_fit_packing
 from txnlake.llm.sharding import op5_sharding
 from txnlake.llm.toxicity import op3_toxicity
 from txnlake.llm.token_store import op8_token_ids
+from txnlake.llm.topk import OP6_SQL, op6_top_k
 from txnlake.llm.url_filter import op10_url_filters
 
 QUERIES = {
+    "op6_top_k": op6_top_k,
     "op7_near_duplicates": op7_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -24,4 +26,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
+    "op6_top_k": OP6_SQL,
 }
