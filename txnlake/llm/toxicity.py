@@ -21,6 +21,7 @@ pass through unless they carry an output name, which is then replaced.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -94,11 +95,10 @@ def fit(texts: list[str], labels: list[int], min_docs: int = 4, min_g: float = 1
     if not len(y) or y.min() == y.max():
         return BagModel({}, 40.0 if len(y) and y[0] else -40.0, empty)
 
-    bags = [[Counter(f for w in s.lower().split() for f in features(w)) for s in sentences(t)]
-            for t, _ in full]
+    cut = functools.lru_cache(100_000)(features)
     seen = (Counter(), Counter())
-    for bag, (_, label) in zip(bags, full):
-        seen[int(label)].update(set().union(*bag))
+    for text, label in full:
+        seen[int(label)].update({f for w in set(text.lower().split()) for f in cut(w)})
     n1, n0 = y.sum(), len(y) - y.sum()
     every = sorted(seen[0].keys() | seen[1].keys())
     counts = np.array([[seen[1][f], seen[0][f]] for f in every], float).reshape(-1, 2)
@@ -106,14 +106,14 @@ def fit(texts: list[str], labels: list[int], min_docs: int = 4, min_g: float = 1
     g = 2 * (counts * np.log(np.maximum(counts, 1e-9) / expected)).sum(1)
     names = [f for f, x, c in zip(every, g, counts.sum(1)) if x >= min_g and c >= min_docs]
     index = {f: k for k, f in enumerate(names)}
+    del seen, every, counts, expected, g
     doc_of, row, col, count = [], [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            for f, c in s.items():
-                if f in index:
-                    row.append(len(doc_of))
-                    col.append(index[f])
-                    count.append(c)
+    for d, (text, _) in enumerate(full):
+        for sentence in sentences(text):
+            bag = Counter(index[f] for w in sentence.lower().split() for f in cut(w) if f in index)
+            row += [len(doc_of)] * len(bag)
+            col += bag.keys()
+            count += bag.values()
             doc_of.append(d)
     doc_of, row, col = np.array(doc_of), np.array(row, int), np.array(col, int)
     count = np.array(count, float)
