@@ -7,12 +7,14 @@ from txnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from txnlake.llm.minhash import op7_near_duplicates
 from txnlake.llm.packing import op1_best_fit_packing
 from txnlake.llm.sharding import op5_sharding
-from txnlake.llm.toxicity import op3_toxicity
+from txnlake.llm.suffix_dedup import op9_suffix_dedup
 from txnlake.llm.token_store import op8_token_ids
 from txnlake.llm.topk import OP6_SQL, op6_top_k
+from txnlake.llm.toxicity import op3_toxicity
 from txnlake.llm.url_filter import op10_url_filters
 
 QUERIES = {
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op6_top_k": op6_top_k,
     "op7_near_duplicates": op7_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
