@@ -33,6 +33,37 @@ def test_replay_and_conflict(spark):
     # k3: the failed request 6 rolled back, so 7 (first valid) claims the key
 
 
+def test_stored_keys_and_empty_keys(spark):
+    accounts = spark.createDataFrame([("A1", "C1", "VND", "VN", "ACTIVE")], ACC)
+    first = ingest.classify_requests(spark.createDataFrame(
+        [_req(1, "k1", "123.45"), _req(2, "", "1.00"), _req(3, None, "1.00")], REQ), accounts)
+    assert {r.seq: (r.outcome, r.code) for r in first.collect()} == {
+        1: ("NEW", 201), 2: ("MISSING_KEY", 400), 3: ("MISSING_KEY", 400)}
+    stored = ingest.idempotency_records(first)
+    assert [(r.idem_key, r.response_code) for r in stored.collect()] == [("k1", 201)]
+    again = ingest.classify_requests(spark.createDataFrame(
+        [_req(1, "k1", "123.45"), _req(2, "k1", "200.00"), _req(3, "k2", "5")], REQ), accounts,
+        stored=stored)
+    got = {r.seq: (r.outcome, r.code, r.transaction_id) for r in again.collect()}
+    known = first.where("seq = 1").first().transaction_id
+    assert got[1] == ("REPLAY", 201, known) and got[2][:2] == ("CONFLICT", 409)
+    assert got[3][:2] == ("NEW", 201)
+
+
+def test_bad_request_input_is_not_defaulted(spark, tmp_path):
+    from txnlake.sources.requests import read_requests
+    p = tmp_path / "in.json"
+    p.write_text('{"seq": 1, "email": "a@x.com", "country": "VN", "kyc_level": "abc"}\nnot json\n'
+                 '{"seq": 2, "email": "b@x.com", "country": "VN", "kyc_level": 9}\n'
+                 '{"seq": 3, "email": "c@x.com", "country": "VN"}')
+    rows = read_requests(spark, str(p), "customers")
+    assert [r.seq for r in rows.collect() if r._corrupt_record] == [None]
+    out = ingest.customer_outcomes(rows.where("seq is not null"),
+                                   spark.createDataFrame([], "id STRING, email STRING"))
+    assert {r.seq: (r.outcome, r.code) for r in out.collect()} == {
+        1: ("INVALID", 422), 2: ("INVALID", 400), 3: ("CREATED", 201)}
+
+
 def sequential_model(requests, accounts):
     """Per-request handler order: validate, key, lookup, domain checks, claim."""
     acc = {a["id"]: a["currency"] for a in accounts}

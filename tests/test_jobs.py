@@ -43,6 +43,53 @@ def test_hourly_job_is_incremental_and_idempotent(spark, sf_small):
     assert gmv.agg(F.sum("tx_count")).collect()[0][0] == fact.count()
 
 
+def test_failed_gate_leaves_nothing_behind(spark, sf_small):
+    """A batch that fails the gate fails again on the next run and reaches no table."""
+    import pytest
+    from txnlake.operators.quality import DataQualityError
+    from txnlake.sources.tables import path_exists
+    root = tempfile.mkdtemp(prefix="wh-")
+    sources = _sources(spark, sf_small, "1996-01-01")
+    bad = dict(sources, customers=sources["customers"].withColumn(
+        "country", F.when(F.col("id") == "1", "v1").otherwise(F.col("country"))))
+    for hour in (0, 1):
+        with pytest.raises(DataQualityError):
+            jobs.run_hourly(spark, root, bad, f"2001-12-01 0{hour}:00:00")
+        assert not path_exists(spark, f"{root}/stg/customers")
+        assert VersionedTable(spark, f"{root}/cur/dim_customer").read() is None
+    fine = jobs.run_hourly(spark, root, sources, "2001-12-01 02:00:00")
+    assert fine.staged["customers"] > 0
+
+
+def test_rows_committed_after_the_extract_are_staged_next_time(spark, tmp_path):
+    """The watermark comes from the stored batch, not from a second read of the source."""
+    from txnlake.sources.tables import WatermarkTable
+    src, root = str(tmp_path / "src"), str(tmp_path / "wh")
+    row = lambda i, at, n: spark.createDataFrame([(i, {"k": n})], "id STRING, payload MAP<STRING, INT>") \
+        .withColumn("created_at", F.lit(at).cast("timestamp_ntz"))
+    row("a", "2024-01-01 00:00:00", 1).write.parquet(src)
+    wm = WatermarkTable(spark, f"{root}/meta/watermarks")
+    source = lambda: spark.read.parquet(src)
+    batch = jobs._extract(spark, root, wm, "outbox", source(), "2024-02-01 00:00:00")
+    row("b", "2024-01-02 00:00:00", 2).write.mode("append").parquet(src)
+    assert jobs._append(spark, root, wm, "outbox", batch) == 1
+    again = jobs._extract(spark, root, wm, "outbox", source(), "2024-02-01 01:00:00")
+    assert jobs._append(spark, root, wm, "outbox", again) == 1
+    stored = spark.read.parquet(f"{root}/stg/outbox").orderBy("id").collect()
+    assert [(r.id, r.payload) for r in stored] == [("a", '{"k":1}'), ("b", '{"k":2}')]
+
+
+def test_a_lost_flip_leaves_the_previous_version(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), keep=2)
+    table.overwrite(spark.range(1))
+    table.write(spark.range(2))  # a crash before the flip
+    assert table.read().count() == 1
+    for n in (3, 4, 5):
+        table.overwrite(spark.range(n))
+        assert table.read().count() == n
+    assert len(table._pointers()) == 2
+
+
 def test_bootstrap_demo_row(spark):
     """One current row per dimension and a fact row built from their keys."""
     import datetime as dt

@@ -41,12 +41,10 @@ def _rows(df):
 
 
 @settings(max_examples=3, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000), st.sampled_from([86400, 3 * 86400, 10 ** 9]),
-       st.sampled_from([0, 25, 10 ** 9]))
-def test_merge_equals_sequential_model(spark, seed, slice_seconds, hot_key_rows):
+@given(st.integers(min_value=0, max_value=10_000), st.sampled_from([86400, 3 * 86400, 10 ** 9]))
+def test_merge_equals_sequential_model(spark, seed, slice_seconds):
     feed = _feed(seed)
-    dim = scd2.build_dim(spark.createDataFrame(feed, FEED), scd2.ACCOUNT_DIM, slice_seconds,
-                         hot_key_rows)
+    dim = scd2.build_dim(spark.createDataFrame(feed, FEED), scd2.ACCOUNT_DIM, slice_seconds)
     assert _rows(dim) == upsert_model(feed)
 
 
@@ -54,15 +52,15 @@ def test_hot_key_split_over_slices(spark):
     # one key holds most changes; daily slices must give the same versions
     feed = _feed(3, n=500, keys=2)
     df = spark.createDataFrame(feed, FEED)
-    assert _rows(scd2.build_dim(df, scd2.ACCOUNT_DIM, 86400, hot_key_rows=100)) == upsert_model(feed)
+    assert _rows(scd2.build_dim(df, scd2.ACCOUNT_DIM, 86400)) == upsert_model(feed)
 
 
 def test_incremental_merge_equals_one_shot(spark):
     feed = _feed(7, n=400)
     first = [r for r in feed if r[5] < dt.datetime(2020, 1, 20)]
     second = [r for r in feed if r[5] >= dt.datetime(2020, 1, 20)]
-    d1 = scd2.build_dim(spark.createDataFrame(first, FEED), scd2.ACCOUNT_DIM, 2 * 86400, 20)
-    d2 = scd2.scd2_merge(d1, spark.createDataFrame(second, FEED), scd2.ACCOUNT_DIM, 2 * 86400, 20)
+    d1 = scd2.build_dim(spark.createDataFrame(first, FEED), scd2.ACCOUNT_DIM, 2 * 86400)
+    d2 = scd2.scd2_merge(d1, spark.createDataFrame(second, FEED), scd2.ACCOUNT_DIM, 2 * 86400)
     assert _rows(d2) == upsert_model(feed)
 
 
@@ -94,3 +92,31 @@ def test_dense_keys_equal_row_number(spark):
     got = sorted((r.bk, r.version, r.sk) for r in dense_rank_keys(df, ["bk", "version"], partitions=7).collect())
     want = [(b, v, i + 1) for i, (b, v) in enumerate(sorted(rows))]
     assert got == want
+
+
+def test_change_without_time_happens_at_run_time(spark):
+    t = dt.datetime(2021, 1, 1)
+    rows = [("A1", "C", "USD", "VN", "ACTIVE", t, 0), ("A1", "C", "USD", "VN", "CLOSED", None, 1),
+            ("A2", "C", "USD", "VN", "ACTIVE", None, 2)]
+    now = F.lit("2022-05-05 00:00:00").cast("timestamp_ntz")
+    dim = scd2.build_dim(spark.createDataFrame(rows, FEED), scd2.ACCOUNT_DIM, now=now)
+    want = [r[:5] + (r[5] or dt.datetime(2022, 5, 5), r[6]) for r in rows]
+    assert _rows(dim) == upsert_model(want)
+
+
+def test_overlapping_intervals_are_reported_and_resolved_once(spark):
+    from txnlake.operators.asof import asof_lookup
+    y = lambda n: dt.datetime(n, 1, 1)
+    dim = spark.createDataFrame(
+        [("A1", 1, y(1990), y(2000)), ("A1", 2, y(2000), None), ("A1", 3, y(1995), y(1997)),
+         ("A2", 1, y(1990), None)],
+        "account_bk STRING, version INT, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ")
+    assert scd2.interval_violations(dim, scd2.ACCOUNT_DIM).collect()[0].violations == 1
+    facts = spark.createDataFrame([(n, k, y(n)) for n in (1985, 1992, 1996, 1998, 2005)
+                                   for k in ("A1", "A2", "A3", None)],
+                                  "id INT, account_id STRING, created_at TIMESTAMP_NTZ")
+    got = asof_lookup(facts, F.col("account_id"), "created_at", dim, "account_bk", ["version"], "v_")
+    assert got.count() == 20
+    assert {(r.id, r.v_version) for r in got.where("account_id = 'A1'").collect()} == {
+        (1985, None), (1992, 1), (1996, 3), (1998, 1), (2005, 2)}
+    assert {r.v_version for r in got.where("account_id = 'A3' or account_id is null").collect()} == {None}

@@ -1,4 +1,4 @@
-"""Stream: decode guards, stream = deque model (also out of order), restart."""
+"""Stream: decode guards, stream = window model (also out of order), restart."""
 
 import datetime as dt
 import json
@@ -8,7 +8,7 @@ from decimal import Decimal
 
 from txnlake.sources import cdc
 from txnlake.streaming.velocity import read_alerts, read_flags, start_velocity_stream
-from tests.test_velocity import SCHEMA, _events, deque_model
+from tests.test_velocity import SCHEMA, _events, fast_model
 
 
 def _write_records(spark, rows, path):
@@ -51,7 +51,7 @@ def _run(spark, src, sink, ckpt, files_per_trigger=None):
     q.awaitTermination()
 
 
-def test_stream_equals_deque_out_of_order_and_restart(spark):
+def test_stream_equals_model_out_of_order_and_restart(spark):
     rows = _events(500, 4, seed=21, ordered=False, span_s=1800)
     base = tempfile.mkdtemp(prefix="velo-")
     src, sink, ckpt = f"{base}/src", f"{base}/sink", f"{base}/ckpt"
@@ -64,7 +64,7 @@ def test_stream_equals_deque_out_of_order_and_restart(spark):
         _write_records(spark, c, src)
     _run(spark, src, sink, ckpt, files_per_trigger=1)
 
-    model = deque_model(rows)
+    model = fast_model(rows)
     alerts = read_alerts(spark, sink).collect()
     want_hits = {s for s, (n, t) in model.items()
                  if n >= 5 or t >= (Decimal(2000000) if rows[s][4] == "VND" else Decimal(100))}

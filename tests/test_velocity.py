@@ -1,32 +1,62 @@
-"""Velocity rule: goldens, batch = deque model, skew slicing, stream = deque."""
+"""Velocity rule: goldens, batch = window model, skew slicing."""
 
 import datetime as dt
 import random
-from collections import deque
 from decimal import Decimal
 
+import pytest
 
 from txnlake import config
 from txnlake.operators import velocity
+from txnlake.streaming.velocity import window_totals
 
 SCHEMA = "seq LONG, id STRING, account_id STRING, amount DECIMAL(20,6), currency STRING, created_at TIMESTAMP_NTZ, op STRING"
 
 
-def deque_model(events, window_s=300):
-    """Sequential reference: per-account deque with front eviction."""
-    windows, out = {}, {}
-    for seq, _id, acct, amount, cur, ts, _op in sorted(events, key=lambda e: e[0]):
-        dq = windows.setdefault(acct, deque())
-        dq.append((ts, amount))
-        cutoff = ts - dt.timedelta(seconds=window_s)
-        while dq and dq[0][0] < cutoff:
-            dq.popleft()
-        n = sum(1 for t, _ in dq if t >= cutoff)
-        s = sum((a for t, a in dq if t >= cutoff), Decimal(0))
-        out[seq] = (n, s)
+def window_model(events, window_s=300):
+    """From the definition: an entry is gone once it and all before it were too old for a later arrival."""
+    width, out = dt.timedelta(seconds=window_s), {}
+    by_account = {}
+    for e in sorted(events, key=lambda e: e[0]):
+        by_account.setdefault(e[2], []).append((e[0], e[5], e[3]))
+    for entries in by_account.values():
+        for k, (seq, now, _) in enumerate(entries):
+            # entry i has left if some arrival j <= k found entries 0..i too old
+            gone = [any(all(t < entries[j][1] - width for _, t, _ in entries[:i + 1])
+                        for j in range(i, k + 1)) for i in range(k + 1)]
+            inside = [a for (_, t, a), g in zip(entries, gone) if not g and t >= now - width]
+            out[seq] = (len(inside), sum(inside, Decimal(0)))
     return out
 
 
+def fast_model(events, window_s=300):
+    """The same, through the stream's window function (itself tested against the definition)."""
+    out = {}
+    for account in {e[2] for e in events}:
+        mine = sorted((e for e in events if e[2] == account), key=lambda e: e[0])
+        times = [int((e[5] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) for e in mine]
+        n, s, _ = window_totals(times, [int(e[3].scaleb(6)) for e in mine], 0, window_s * 1_000_000)
+        out |= {e[0]: (a, Decimal(b).scaleb(-6)) for e, a, b in zip(mine, n, s)}
+    return out
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_window_totals_equal_the_definition(ordered):
+    for seed in range(6):
+        rows = _events(60, 2, seed=seed, ordered=ordered, span_s=900)
+        assert fast_model(rows) == window_model(rows)
+
+
+def test_window_totals_go_on_from_held_entries():
+    rows = _events(120, 1, seed=4, ordered=False, span_s=900)
+    t = [int((e[5] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) for e in rows]
+    a = [int(e[3].scaleb(6)) for e in rows]
+    whole = window_totals(t, a, 0, 300_000_000)
+    n1, s1, front = window_totals(t[:50], a[:50], 0, 300_000_000)
+    n2, s2, _ = window_totals(t[front:], a[front:], 50 - front, 300_000_000)
+    assert (n1 + n2, s1 + s2) == whole[:2]
+
+
 def _events(n, accounts, seed, ordered=True, span_s=3600):
     rnd = random.Random(seed)
     base = dt.datetime(2024, 1, 1)
@@ -56,11 +86,11 @@ def test_six_payments_golden(spark):
     assert flags[0].window_end == dt.datetime(2024, 3, 1, 10, 5)
 
 
-def test_batch_equals_deque_on_ordered_input(spark):
+def test_batch_equals_model_on_ordered_input(spark):
     rows = _events(600, 7, seed=11)
     got = {r.seq: (r.count_5m, r.sum_5m) for r in
            velocity.trailing_window(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got == deque_model(rows)
+    assert got == fast_model(rows)
 
 
 def test_time_slices_do_not_change_results(spark):
@@ -70,7 +100,7 @@ def test_time_slices_do_not_change_results(spark):
     large = config.VelocityConfig(slice_seconds=10 ** 7)
     a = {r.seq: (r.count_5m, r.sum_5m) for r in velocity.trailing_window(df, small).collect()}
     b = {r.seq: (r.count_5m, r.sum_5m) for r in velocity.trailing_window(df, large).collect()}
-    assert a == b == deque_model(rows)
+    assert a == b == fast_model(rows)
 
 
 def test_ties_count_only_earlier_arrivals(spark):

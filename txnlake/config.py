@@ -51,6 +51,8 @@ class VelocityConfig:
     # Length of the time slice used to split one account's events into
     # independent window groups (skew control).  Must be >= window_seconds.
     slice_seconds: int = 3600
+    # Time to live of an idle account's stream state (None: kept for ever).
+    idle_ttl_seconds: int | None = None
 
     def __post_init__(self) -> None:
         if self.window_seconds <= 0:

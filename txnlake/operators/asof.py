@@ -1,22 +1,21 @@
 """As-of (point-in-time) lookup of SCD2 versions.
 
-Semantics: for each fact row, the version of its business key whose
-half-open interval ``[valid_from, valid_to)`` contains the fact time; at
-most one (on overlapping intervals the open version, which has the latest
-``valid_from``, wins).
+Semantics: for each fact row, the version of its business key with the
+latest ``valid_from`` among those whose half-open interval
+``[valid_from, valid_to)`` contains the fact time; exactly one, also where
+intervals overlap (ties: the higher version).
 
-Plan: two equi-joins, no per-key pairing of every fact with every version.
+Plan: two equi-joins with a unique right side each, so a fact can't be
+multiplied.
 
-* Closed versions are listed once per calendar month they overlap and
-  joined on ``(business key, month of the fact)`` plus the interval
-  residual, so a fact meets only the versions alive in its month, and a hot
-  key's facts are spread over month buckets.
-* The open (current) version, at most one per key, is joined on the key
-  alone with ``valid_from <= t``.
+* Closed versions are gathered per ``(business key, calendar month)`` they
+  overlap; a fact meets the one row of its key and month and picks the latest
+  version of that list, and a hot key's facts are spread over its months.
+* Open versions are gathered per key.
 
-Neither side needs a horizon scan of the facts.  Which side is broadcast is
-left to AQE, which decides on measured sizes; skewed keys on the fact side
-are split by AQE's skew-join handling.
+The later of both hits wins.  No side is hinted for broadcast here: the month
+lists are materialised by an aggregation first, so what AQE measures is their
+real size.  Skewed keys on the fact side are split by AQE.
 """
 
 from __future__ import annotations
@@ -46,30 +45,27 @@ def asof_lookup(facts: DataFrame, fact_key: Column, fact_ts: str, dim: DataFrame
 
     ``how="inner"`` keeps only facts that resolve.
     """
-    base = dim.select(F.col(dim_key).alias("_dk"), F.col("valid_from").alias("_vf"),
-                      F.col("valid_to").alias("_vt"),
-                      *[F.col(c).alias(f"_t_{c}") for c in take])
-    closed = expand_by_month(base.where(F.col("_vt").isNotNull()).withColumnsRenamed(
-        {"_vf": "valid_from", "_vt": "valid_to"})).select(
-        F.col("_dk").alias("_cdk"), F.col("_month").alias("_cm"),
-        F.col("valid_from").alias("_cvf"), F.col("valid_to").alias("_cvt"),
-        *[F.col(f"_t_{c}").alias(f"_c_{c}") for c in take])
-    open_ = base.where(F.col("_vt").isNull()).select(
-        F.col("_dk").alias("_odk"), F.col("_vf").alias("_ovf"),
-        *[F.col(f"_t_{c}").alias(f"_o_{c}") for c in take])
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    order = F.col("version") if "version" in dim.columns else F.lit(0)
+    version = F.struct(F.col("valid_from").alias("vf"), order.alias("vn"),
+                       F.col("valid_to").alias("vt"),
+                       *[F.col(c).alias(f"t{i}") for i, c in enumerate(take)]).alias("_v")
+    closed = expand_by_month(dim.where(F.col("valid_to").isNotNull()))
+    lists = closed.select(F.col(dim_key).alias("_cdk"), F.col("_month").alias("_cm"), version) \
+                  .groupBy("_cdk", "_cm").agg(F.collect_list("_v").alias("_closed"))
+    open_ = dim.where(F.col("valid_to").isNull()).select(F.col(dim_key).alias("_odk"), version) \
+               .groupBy("_odk").agg(F.collect_list("_v").alias("_open"))
 
     ts = F.col(fact_ts)
     keyed = facts.withColumn("_fk", fact_key).withColumn("_fm", month_index(ts))
-    j = keyed.join(closed, (F.col("_fk") == F.col("_cdk")) & (F.col("_fm") == F.col("_cm")) &
-                   (F.col("_cvf") <= ts) & (ts < F.col("_cvt")), "left")
-    j = j.join(open_, (F.col("_fk") == F.col("_odk")) & (F.col("_ovf") <= ts), "left")
-    hit_open = F.col("_odk").isNotNull()
-    out = j.select(*facts.columns,
-                   *[F.when(hit_open, F.col(f"_o_{c}")).otherwise(F.col(f"_c_{c}")).alias(prefix + c)
-                     for c in take],
-                   (hit_open | F.col("_cdk").isNotNull()).alias("_matched"))
+    j = keyed.join(lists, (F.col("_fk") == F.col("_cdk")) & (F.col("_fm") == F.col("_cm")), "left")
+    j = j.join(open_, F.col("_fk") == F.col("_odk"), "left")
+    best_closed = F.array_max(F.filter("_closed", lambda v: (v["vf"] <= ts) & (ts < v["vt"])))
+    best_open = F.array_max(F.filter("_open", lambda v: v["vf"] <= ts))
+    out = j.select(*[j[c] for c in facts.columns],
+                   F.greatest(best_closed, best_open).alias("_hit"))
     if how == "inner":
-        out = out.where(F.col("_matched"))
-    elif how != "left":
-        raise ValueError("how must be 'left' or 'inner'")
-    return out.drop("_matched")
+        out = out.where(F.col("_hit").isNotNull())
+    return out.select(*facts.columns, *[F.col(f"_hit.t{i}").alias(prefix + c)
+                                        for i, c in enumerate(take)])

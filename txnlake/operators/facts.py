@@ -45,14 +45,19 @@ def build_fact(txns: DataFrame, dim_account: DataFrame, dim_customer: DataFrame,
     a NULL into a required column); unresolved rows go to a side output and
     are retried by the next run.
     """
-    resolved = with_created_date(resolve_keys(txns, dim_account, dim_customer, dim_merchant))
+    return split_resolved(with_created_date(
+        resolve_keys(txns, dim_account, dim_customer, dim_merchant)), txns.columns)
+
+
+def split_resolved(resolved: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Cut rows with resolved keys into ``(fact rows, unresolved rows with columns)``."""
     ok = (F.col("account_sk").isNotNull() & F.col("customer_sk").isNotNull() &
           F.col("merchant_sk").isNotNull())
     fact = resolved.where(ok).select(
         F.col("id").alias("transaction_bk"), "customer_sk", "account_sk", "merchant_sk",
         "type", "status", "amount", "currency", "country", "created_at", "settled_at",
         "created_date")
-    unresolved = resolved.where(~ok).select(*txns.columns)
+    unresolved = resolved.where(~ok).select(*columns)
     return fact, unresolved
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _lit_ts(value) -> Column:
@@ -52,10 +53,12 @@ def next_watermark(df: DataFrame, current, cols: Sequence[str] = ("created_at",)
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Keep one row per key: the first by ``order_by`` (then all other columns).
 
-    Expressed as ``min(struct(order..., rest...))`` per key, so the work is
-    a hash aggregate with map-side partial aggregation: a key with millions
-    of copies is reduced inside each map task before the shuffle instead of
-    being gathered into one window partition.
+    Expressed as ``min(struct(order..., rest...))`` per key: an aggregate
+    with map-side partial aggregation (a sort aggregate, as the buffer is a
+    struct), so a key with millions of copies is reduced inside each map task
+    before the shuffle instead of being gathered into one window partition.
+    All columns of ``df`` travel through it: select the needed ones first.
+    Map columns can't be compared, see ``json_columns``.
     """
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
@@ -72,3 +75,24 @@ def insert_if_absent(new: DataFrame, target: DataFrame, keys: Sequence[str],
     keys = list(keys)
     batch = dedupe_first(new, keys, order_by or []) if order_by is not None else new
     return batch.join(target.select(*keys), on=keys, how="left_anti")
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind.fields)
+
+
+def json_columns(df: DataFrame) -> DataFrame:
+    """Columns that are or hold maps become JSON text; null stays null."""
+    return df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name) if _has_map(f.dataType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def same_columns(batch: DataFrame, stored: DataFrame, table: str) -> None:
+    """Raise if an append would bring unknown columns or lack stored ones."""
+    new, old = set(batch.columns), set(stored.columns)
+    if new != old:
+        raise ValueError(f"{table}: unknown columns {sorted(new - old)}, missing {sorted(old - new)}")

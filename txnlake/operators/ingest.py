@@ -62,24 +62,40 @@ def _domain_reason() -> Column:
              .otherwise(F.lit("OK")))
 
 
+#: Arrival order of keys that earlier batches have stored: before any request.
+STORED_SEQ = -(1 << 62)
+
+
 def classify_requests(requests: DataFrame, accounts: DataFrame,
-                      endpoint: str = config.TRANSACTION_ENDPOINT) -> DataFrame:
+                      endpoint: str = config.TRANSACTION_ENDPOINT,
+                      stored: DataFrame | None = None) -> DataFrame:
     """Outcome and response code of every create-transaction request.
 
-    INVALID 422 (field validation) -> MISSING_KEY 400 -> for a known key:
-    REPLAY 201 (same hash as the claimer) / CONFLICT 409 -> UNKNOWN_ACCOUNT
-    or CURRENCY_MISMATCH 400 -> NEW 201.
+    INVALID 422 (field validation) -> MISSING_KEY 400 (null or empty) -> for a
+    known key: REPLAY 201 (same hash as the claimer) / CONFLICT 409 ->
+    UNKNOWN_ACCOUNT or CURRENCY_MISMATCH 400 -> NEW 201.
+
+    ``stored`` holds the ``idempotency_records`` of earlier batches: their
+    keys are claimed already.
     """
     r = transaction_reasons(requests, accounts).withColumn(
         "request_hash", request_hash(endpoint, TRANSACTION_BODY))
-    claimable = (F.col("reason") == "OK") & F.col("idem_key").isNotNull()
+    has_key = F.coalesce(F.col("idem_key"), F.lit("")) != ""
     # first fully valid request per key; partial aggregation keeps a hot key cheap
-    claims = r.where(claimable).groupBy("idem_key").agg(
-        F.min(F.struct(F.col("seq").alias("seq"), F.col("request_hash").alias("hash"))).alias("_c"))
-    j = r.join(claims, "idem_key", "left")
+    claimed = r.where((F.col("reason") == "OK") & has_key).select(
+        F.col("idem_key").alias("_key"), F.col("seq"), F.col("request_hash").alias("hash"))
+    if stored is not None:
+        claimed = claimed.unionByName(stored.where(F.col("endpoint") == endpoint).select(
+            F.col("idem_key").alias("_key"), F.lit(STORED_SEQ).alias("seq"),
+            F.col("request_hash").alias("hash")))
+    claims = claimed.groupBy("_key").agg(F.min(F.struct("seq", "hash")).alias("_c"))
+    # rows without a key join nothing; a key of their own spreads them over the tasks
+    own = F.concat(F.lit("\x00"), F.col("seq").cast("string"))
+    j = r.withColumn("_key", F.when(has_key, F.col("idem_key")).otherwise(own)) \
+         .join(claims, "_key", "left")
     claim_seq, claim_hash = F.col("_c.seq"), F.col("_c.hash")
     outcome = (F.when(F.col("reason") == "INVALID", F.lit("INVALID"))
-                .when(F.col("idem_key").isNull(), F.lit("MISSING_KEY"))
+                .when(~has_key, F.lit("MISSING_KEY"))
                 .when(claim_seq.isNull() | (F.col("seq") < claim_seq), F.col("reason"))
                 .when(F.col("seq") == claim_seq, F.lit("NEW"))
                 .when(F.col("request_hash") == claim_hash, F.lit("REPLAY"))
@@ -88,9 +104,8 @@ def classify_requests(requests: DataFrame, accounts: DataFrame,
              .when(outcome == "CONFLICT", 409).otherwise(400))
     return j.withColumn("outcome", outcome).withColumn("code", code.cast("int")) \
             .withColumn("transaction_id", F.when(
-                F.col("idem_key").isNotNull() & claim_seq.isNotNull(),
-                transaction_id(endpoint, F.col("idem_key")))) \
-            .drop("_c", "_acc", "_acc_cur")
+                has_key & claim_seq.isNotNull(), transaction_id(endpoint, F.col("idem_key")))) \
+            .drop("_c", "_key", "_acc", "_acc_cur")
 
 
 def transaction_id(endpoint: str, key: Column) -> Column:
@@ -132,20 +147,25 @@ def outbox_events(new_txns: DataFrame) -> DataFrame:
 
 
 def customer_outcomes(requests: DataFrame, existing: DataFrame) -> DataFrame:
-    """CREATED 201 / CONFLICT 409 (email taken, case-insensitive) / INVALID 400.
+    """CREATED 201 / CONFLICT 409 (email taken, case-insensitive) / INVALID.
 
+    INVALID is 422 for a malformed field (email, country, a KYC level that is
+    not a number) and 400 for a value that is not allowed (KYC level, risk band).
     Row checks come first (a rejected row never takes its email); among
     valid rows the first per ``lower(email)`` wins unless the email exists.
     """
-    kyc = F.coalesce(F.col("kyc_level"), F.lit(config.DEFAULT_KYC_LEVEL))
+    number = F.expr("try_cast(kyc_level AS INT)")
+    kyc = F.coalesce(number, F.lit(config.DEFAULT_KYC_LEVEL))
+    not_a_number = F.col("kyc_level").isNotNull() & number.isNull()
     band = F.coalesce(F.col("risk_band"), F.lit(config.DEFAULT_RISK_BAND))
     errors = _errors([
         ("email", F.col("email").isNull() | ~full_match("email", EMAIL_PATTERN)),
         ("country", F.col("country").isNull() | ~full_match("country", config.COUNTRY_PATTERN)),
-        ("kyc_level", ~kyc.between(0, 3)),
+        ("kyc_level", not_a_number | ~kyc.between(0, 3)),
         ("risk_band", ~band.isin(*config.RISK_BANDS)),
     ])
-    r = requests.withColumn("errors", errors).withColumn("_email", F.lower("email"))
+    r = requests.withColumn("errors", errors).withColumn("_email", F.coalesce(F.lower("email"), F.concat(
+        F.lit("\x00"), F.col("seq").cast("string"))))
     taken = existing.select(F.lower("email").alias("_email")).distinct() \
                     .withColumn("_taken", F.lit(True))
     first = r.where(F.col("errors") == "").groupBy("_email").agg(F.min("seq").alias("_first"))
@@ -154,12 +174,15 @@ def customer_outcomes(requests: DataFrame, existing: DataFrame) -> DataFrame:
                 .when(F.coalesce(F.col("_taken"), F.lit(False)) | (F.col("seq") != F.col("_first")),
                       F.lit("CONFLICT"))
                 .otherwise(F.lit("CREATED")))
-    code = F.when(outcome == "CREATED", 201).when(outcome == "CONFLICT", 409).otherwise(400)
+    malformed = F.col("errors").rlike("email|country") | not_a_number
+    code = (F.when(outcome == "CREATED", 201).when(outcome == "CONFLICT", 409)
+             .when(malformed, 422).otherwise(400))
     return j.select(*requests.columns, "errors", outcome.alias("outcome"), code.cast("int").alias("code"))
 
 
 def account_outcomes(requests: DataFrame, customers: DataFrame, existing: DataFrame) -> DataFrame:
-    """CREATED 201 / CONFLICT 409 (open account per customer+currency) / INVALID 400.
+    """CREATED 201 / CONFLICT 409 (open account per customer+currency) / INVALID 422 /
+    UNKNOWN_CUSTOMER 400.
 
     Field checks, then the customer must exist, then at most one open
     (status <> CLOSED) account per (customer, currency): existing open
@@ -184,7 +207,8 @@ def account_outcomes(requests: DataFrame, customers: DataFrame, existing: DataFr
                 .when(F.coalesce(F.col("_open"), F.lit(False)) | (F.col("seq") != F.col("_first")),
                       F.lit("CONFLICT"))
                 .otherwise(F.lit("CREATED")))
-    code = F.when(outcome == "CREATED", 201).when(outcome == "CONFLICT", 409).otherwise(400)
+    code = F.when(outcome == "CREATED", 201).when(outcome == "CONFLICT", 409) \
+            .when(outcome == "INVALID", 422).otherwise(400)
     return j.select(*requests.columns, "errors", outcome.alias("outcome"),
                     code.cast("int").alias("code"))
 
@@ -215,7 +239,7 @@ def new_customers(outcomes: DataFrame, created_at: Column | str) -> DataFrame:
     return outcomes.where(F.col("outcome") == "CREATED").select(
         uuid5(F.concat(F.lit("customer:"), F.lower("email")), ID_NAMESPACE).alias("id"),
         "email", "country",
-        F.coalesce(F.col("kyc_level"), F.lit(config.DEFAULT_KYC_LEVEL)).cast("smallint").alias("kyc_level"),
+        F.coalesce(F.expr("try_cast(kyc_level AS INT)"), F.lit(config.DEFAULT_KYC_LEVEL)).cast("smallint").alias("kyc_level"),
         F.coalesce(F.col("risk_band"), F.lit(config.DEFAULT_RISK_BAND)).alias("risk_band"),
         ts.alias("created_at"), ts.alias("updated_at"))
 

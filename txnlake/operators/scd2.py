@@ -7,9 +7,10 @@ current row and the changes: a change whose tracked attributes differ
 (null-safe, after normalisation) from the state before it closes the open
 version at its ``as_of`` and opens ``version + 1``; an equal change is a
 no-op.  The fold is ``lag`` (change flag) + running count (version) +
-``lead`` (valid_to) over windows partitioned by the business key (hot
-keys: by key and time slice, stitched at slice borders); only keys that
-appear in the feed are rewritten.
+``lead`` (valid_to) over windows partitioned by the business key and a time
+slice, stitched at slice borders with per-slice summaries; every key is
+folded the same way, so no key's changes have to meet in one task.  Only
+keys that appear in the feed are rewritten.
 """
 
 from __future__ import annotations
@@ -81,36 +82,40 @@ def empty_dim(spark, spec: Scd2Spec, like: DataFrame) -> DataFrame:
     return like.select(*cols).where(F.lit(False))
 
 
-def _feed_rows(changes: DataFrame, spec: Scd2Spec) -> DataFrame:
+def _feed_rows(changes: DataFrame, spec: Scd2Spec, now: Column | None = None) -> DataFrame:
     tb = [F.col(c).alias(f"_tb{i}") for i, c in enumerate(spec.tiebreak)]
     return changes.select(
         spec.feed_key(changes).alias(spec.bk),
         *[F.col(a) for a in spec.attrs],
-        F.col("as_of"),
+        F.coalesce(F.col("as_of"), now if now is not None else run_time()).alias("as_of"),
         F.lit(1).alias("_src"),
         F.lit(None).cast("int").alias("_base_version"),
         *tb,
     )
 
 
-HOT_KEY_ROWS = 2_000_000
+SLICE_SECONDS = 30 * 86400
+
+
+def run_time() -> Column:
+    return F.current_timestamp().cast("timestamp_ntz")
 
 
 def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
-               slice_seconds: int = 30 * 86400, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+               slice_seconds: int = SLICE_SECONDS, now: Column | None = None) -> DataFrame:
     """Return the full dimension after applying ``changes``.
 
     ``changes`` carries the attribute columns, ``as_of`` and the tie-break
     columns of the spec.  Rows of keys absent from the feed pass through
     untouched; closed history rows are never rewritten.
 
-    Skew: keys with more than ``hot_key_rows`` rows in this merge (found by
-    a partially aggregated count) are folded over windows partitioned by
-    ``(key, time slice)`` and stitched at slice borders with per-slice
-    summaries, whose number per key is bounded by the time span; all other
-    keys are folded over windows partitioned by the key alone.
+    A change without ``as_of`` happened at run time (``now``).
+
+    Skew: the fold's windows are partitioned by ``(key, time slice)``; the
+    stitching works on per-slice summaries, whose number per key is bounded
+    by the time span.
     """
-    feed = _feed_rows(changes, spec)
+    feed = _feed_rows(changes, spec, now)
     touched = feed.select(spec.bk).distinct()
     open_rows = current.where(F.col("is_current"))
     history = current.where(~F.col("is_current"))
@@ -126,22 +131,18 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
         F.col("version").cast("int").alias("_base_version"),
         *tb,
     )
-    merged = _fold(existing.unionByName(feed), spec, slice_seconds, hot_key_rows)
+    merged = _fold(existing.unionByName(feed), spec, slice_seconds)
     keep = spec.columns
     return history.select(*keep).unionByName(untouched_open.select(*keep)) \
                   .unionByName(merged.select(*keep))
 
 
-def _fold(rows: DataFrame, spec: Scd2Spec, slice_seconds: int, hot_key_rows: int) -> DataFrame:
+def _fold(rows: DataFrame, spec: Scd2Spec, slice_seconds: int) -> DataFrame:
     """Fold feed rows (plus the touched current rows) into versions."""
     tbs = [f"_tb{i}" for i in range(len(spec.tiebreak))]
     state = F.struct(*[fn(F.col(a)).alias(a) for a, fn in spec.tracked.items()])
-    rows = rows.withColumn("_state", state)
     order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
-    hot = rows.groupBy(spec.bk).agg(F.count(F.lit(1)).alias("_n")) \
-              .where(F.col("_n") > hot_key_rows).select(spec.bk)
-    return _fold_by_key(rows.join(hot, spec.bk, "left_anti"), spec, order).unionByName(
-        _fold_by_slice(rows.join(hot, spec.bk, "left_semi"), spec, order, slice_seconds))
+    return _fold_by_slice(rows.withColumn("_state", state), spec, order, slice_seconds)
 
 
 def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Column) -> DataFrame:
@@ -154,20 +155,10 @@ def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Colum
          .alias("version"))
 
 
-def _fold_by_key(rows: DataFrame, spec: Scd2Spec, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(spec.bk).orderBy(*order)
-    prev = F.lag(F.col("_state")).over(w)
-    kept = rows.withColumn("_changed", prev.isNull() | ~F.col("_state").eqNullSafe(prev)) \
-               .where(F.col("_changed"))
-    running = F.sum(F.col("_src")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    base = F.coalesce(F.max(F.col("_base_version")).over(Window.partitionBy(spec.bk)), F.lit(0))
-    return _versions(kept, spec, F.lead(F.col("as_of")).over(w), base + running)
-
-
 def _fold_by_slice(rows: DataFrame, spec: Scd2Spec, order: list[Column],
                    slice_seconds: int) -> DataFrame:
     # slice ids grow along the fold order (existing current rows come first)
-    slice_id = F.when(F.col("_src") == 0, F.lit(-1).cast("bigint")).otherwise(
+    slice_id = F.when(F.col("_src") == 0, F.lit(-(1 << 62)).cast("bigint")).otherwise(
         F.floor(F.unix_seconds(F.col("as_of").cast("timestamp")) / F.lit(slice_seconds))
         .cast("bigint"))
     rows = rows.withColumn("_slice", slice_id)
@@ -201,11 +192,10 @@ def _fold_by_slice(rows: DataFrame, spec: Scd2Spec, order: list[Column],
     return _versions(kept, spec, next_from, F.col("_base") + F.col("_koff") + running)
 
 
-def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = 30 * 86400,
-              hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = SLICE_SECONDS,
+              now: Column | None = None) -> DataFrame:
     """First load of a dimension from a feed (no existing rows to merge with)."""
-    return _fold(_feed_rows(changes, spec), spec, slice_seconds, hot_key_rows) \
-        .select(*spec.columns)
+    return _fold(_feed_rows(changes, spec, now), spec, slice_seconds).select(*spec.columns)
 
 
 def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -228,7 +218,23 @@ def current_violations(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
                        .cast("bigint").alias("violations"))
 
 
-def interval_violations(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """Versions whose interval is inverted (valid_from > valid_to)."""
-    return dim.agg(F.count(F.when(F.col("valid_to") < F.col("valid_from"), 1))
-                   .cast("bigint").alias("violations"))
+def interval_violations(dim: DataFrame, spec: Scd2Spec, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Versions that are inverted (valid_to before valid_from) or overlap an earlier version.
+
+    A version overlaps if some version that starts before it (ties by version)
+    ends after its start.  The greatest end so far is a running maximum within
+    (key, time slice) plus the maximum of the key's earlier slices.
+    """
+    end = F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp_ntz"))
+    rows = dim.select(spec.bk, "valid_from", "version", end.alias("_end"), F.floor(
+        F.unix_seconds(F.col("valid_from").cast("timestamp")) / F.lit(slice_seconds)).alias("_slice"))
+    key = [spec.bk, "_slice"]
+    before = Window.unboundedPreceding, -1
+    earlier = rows.groupBy(*key).agg(F.max("_end").alias("_e")).select(*key, F.max("_e").over(
+        Window.partitionBy(spec.bk).orderBy("_slice").rowsBetween(*before)).alias("_slices"))
+    within = F.max("_end").over(
+        Window.partitionBy(*key).orderBy("valid_from", "version").rowsBetween(*before))
+    reached = rows.withColumn("_within", within).join(earlier, key)
+    bad = (F.col("_end") < F.col("valid_from")) | F.coalesce(
+        F.greatest("_within", "_slices") > F.col("valid_from"), F.lit(False))
+    return reached.agg(F.count(F.when(bad, 1)).cast("bigint").alias("violations"))

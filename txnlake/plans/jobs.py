@@ -10,9 +10,14 @@ Warehouse layout below ``root`` (a folder on the shared file system):
     cur/mv_gmv_daily/v.../       marts: touched days recomputed, new version + pointer flip
     cur/mv_top_merchants/v.../
     meta/watermarks/v.../        (table_name, last_loaded_at)
+    meta/batch/<table>/v.../     what this run extracted, stored once
 
 Every step is idempotent: re-running an hour appends nothing twice, and a
-failed run leaves the previous versions readable.
+failed run leaves the previous versions readable.  The extract is stored
+before anything looks at it, so validation, append and watermark see the same
+rows, whatever the source commits meanwhile.  It is validated before it is
+appended: a batch that fails the gate reaches neither staging nor a
+watermark, and the next run extracts and judges it again.
 """
 
 from __future__ import annotations
@@ -27,13 +32,14 @@ from txnlake.operators import facts as facts_op
 from txnlake.operators import incremental as inc
 from txnlake.operators import marts, quality, scd2
 from txnlake.operators.surrogate import dense_rank_keys
-from txnlake.sources.tables import AppendTable, VersionedTable, WatermarkTable
+from txnlake.sources.tables import AppendTable, VersionedTable, WatermarkTable, path_exists
 
 STAGED = {
     # table -> (primary key, change columns for the dimension feed)
     "customers": ("id", ["created_at", "updated_at"]),
     "accounts": ("id", ["created_at", "updated_at"]),
     "transactions": ("id", ["created_at"]),
+    "outbox": ("id", ["created_at"]),
 }
 
 
@@ -45,20 +51,39 @@ class HourlyResult:
     watermarks: dict[str, _dt.datetime]
 
 
-def _stage(spark: SparkSession, root: str, wm: WatermarkTable, name: str, source: DataFrame,
-           run_ts: str) -> tuple[int, DataFrame]:
-    """Extract above the watermark, insert-if-absent into staging, advance.
+def _extract(spark: SparkSession, root: str, wm: WatermarkTable, name: str, source: DataFrame,
+             run_ts: str) -> DataFrame:
+    """Store the rows above the watermark once; map columns become JSON text."""
+    since = wm.get(f"stg.{name}")
+    rows = inc.json_columns(inc.incremental(source, since, ["created_at"])).withColumn(
+        "loaded_at", F.lit(run_ts).cast("timestamp_ntz"))
+    batch = VersionedTable(spark, f"{root}/meta/batch/{name}")
+    batch.overwrite(rows)
+    return batch.read()
+
 
-    Returns the number of rows appended and the extracted batch (for the
-    quality checks, which look at what this run brought in)."""
+def _append(spark: SparkSession, root: str, wm: WatermarkTable, name: str, batch: DataFrame) -> int:
+    """Insert-if-absent into staging, then advance the watermark to the batch's maximum."""
     pk, _ = STAGED[name]
-    since = wm.get(f"stg.{name}")
-    batch = inc.incremental(source, since, ["created_at"]) \
-               .withColumn("loaded_at", F.lit(run_ts).cast("timestamp_ntz"))
-    appended = AppendTable(spark, f"{root}/stg/{name}", [pk]).insert_if_absent(
-        batch, order_by=["created_at"])
-    wm.set_from(f"stg.{name}", batch.agg(inc.next_watermark(batch, since)))
-    return appended, batch
+    path = f"{root}/stg/{name}"
+    if path_exists(spark, path):
+        inc.same_columns(batch, spark.read.parquet(path), f"stg.{name}")
+    appended = AppendTable(spark, path, [pk]).insert_if_absent(batch, order_by=["created_at"])
+    wm.set_from(f"stg.{name}", batch.agg(inc.next_watermark(batch, wm.get(f"stg.{name}"))))
+    return appended
+
+
+def _validate(batches: dict[str, DataFrame], accounts: DataFrame, run_ts: str) -> None:
+    """The suites on what this run extracted (first copies), before it is staged."""
+    first = {n: inc.dedupe_first(b, ["id"], ["created_at"]) for n, b in batches.items()
+             if n != "outbox"}
+    quality.gate(quality.run_suite(first["customers"], quality.CUSTOMER_SUITE), "stg.customers")
+    quality.gate(quality.run_suite(first["accounts"], quality.ACCOUNT_SUITE), "stg.accounts")
+    quality.gate(quality.run_suite(first["transactions"], quality.transaction_suite(run_ts)),
+                 "stg.transactions")
+    orphans = quality.fk_orphans(first["transactions"], "account_id", accounts, "id")
+    if orphans.collect()[0].orphans:
+        raise quality.DataQualityError("stg.transactions: account_id without account")
 
 
 def _with_stable_keys(new_dim: DataFrame, old_dim: DataFrame | None, spec: scd2.Scd2Spec,
@@ -80,32 +105,31 @@ def _load_dim(spark: SparkSession, root: str, spec: scd2.Scd2Spec, sk: str,
     old = table.read()
     current = old.drop(sk) if old is not None else scd2.empty_dim(spark, spec, changes)
     merged = scd2.scd2_merge(current.select(*spec.columns), changes, spec)
-    table.overwrite(_with_stable_keys(merged, old, spec, sk))
+    version = table.write(_with_stable_keys(merged, old, spec, sk))
+    found = scd2.interval_violations(spark.read.parquet(f"{table.root}/{version}"), spec).first()
+    if found.violations:
+        raise quality.DataQualityError(
+            f"{spec.name}: {found.violations} inverted or overlapping versions")
+    table.flip(version)
     return table.read()
 
 
 def run_hourly(spark: SparkSession, root: str, sources: dict[str, DataFrame],
                run_ts: str, validate: bool = True) -> HourlyResult:
     """One scheduled run.  ``sources`` holds the OLTP extracts
-    (``customers``, ``accounts``, ``transactions``); ``run_ts`` is the run
-    time (``NOW()``) as an explicit value."""
+    (``customers``, ``accounts``, ``transactions`` and optionally
+    ``outbox``); ``run_ts`` is the run time (``NOW()``) as an explicit value."""
     root = root.rstrip("/")
     wm = WatermarkTable(spark, f"{root}/meta/watermarks")
-    loaded = {name: _stage(spark, root, wm, name, sources[name], run_ts) for name in STAGED}
-    staged = {name: n for name, (n, _) in loaded.items()}
-    stg = {name: spark.read.parquet(f"{root}/stg/{name}") for name in STAGED}
-
+    batches = {name: _extract(spark, root, wm, name, sources[name], run_ts)
+               for name in STAGED if name in sources}
     if validate:
-        # suites run on what this run extracted; keys are unique in staging by construction
-        batches = {name: b for name, (_, b) in loaded.items()}
-        quality.gate(quality.run_suite(batches["customers"], quality.CUSTOMER_SUITE), "stg.customers")
-        quality.gate(quality.run_suite(batches["accounts"], quality.ACCOUNT_SUITE), "stg.accounts")
-        quality.gate(quality.run_suite(stg["transactions"].join(
-            batches["transactions"].select("id"), "id", "left_semi"),
-            quality.transaction_suite(run_ts)), "stg.transactions")
-        orphans = quality.fk_orphans(batches["transactions"], "account_id", stg["accounts"], "id")
-        if orphans.collect()[0].orphans:
-            raise quality.DataQualityError("stg.transactions: account_id without account")
+        known = batches["accounts"].select("id")
+        if path_exists(spark, f"{root}/stg/accounts"):
+            known = known.union(spark.read.parquet(f"{root}/stg/accounts").select("id"))
+        _validate(batches, known.distinct(), run_ts)
+    staged = {name: _append(spark, root, wm, name, b) for name, b in batches.items()}
+    stg = {name: spark.read.parquet(f"{root}/stg/{name}") for name in batches}
 
     # dimensions (change feeds above each dimension's own watermark)
     def changed(name: str, dim: str, cols: list[str]) -> DataFrame:
@@ -144,8 +168,11 @@ def run_hourly(spark: SparkSession, root: str, sources: dict[str, DataFrame],
     pending = pending_table.read()
     if pending is not None:
         batch = batch.unionByName(pending.select(*txn_cols)).dropDuplicates(["id"])
-    fact, unresolved = facts_op.build_fact(batch, dims["dim_account"], dims["dim_customer"],
-                                           dims["dim_merchant"])
+    # resolved once and stored; the fact rows and the rejects are cut from it
+    resolved_table = VersionedTable(spark, f"{root}/meta/batch/resolved", keep=1)
+    resolved_table.overwrite(facts_op.with_created_date(facts_op.resolve_keys(
+        batch, dims["dim_account"], dims["dim_customer"], dims["dim_merchant"])))
+    fact, unresolved = facts_op.split_resolved(resolved_table.read(), txn_cols)
     fact_path = f"{root}/cur/fact_transactions"
     fact_table = AppendTable(spark, fact_path, facts_op.FACT_KEY, partition_by=["created_month"])
     existing = fact_table.read()
@@ -153,10 +180,12 @@ def run_hourly(spark: SparkSession, root: str, sources: dict[str, DataFrame],
     rows = rows.persist()
     try:
         appended = rows.count()
-        touched_days = [r[0] for r in rows.select("created_date").distinct().collect()]
+        days = VersionedTable(spark, f"{root}/meta/batch/days", keep=1)
+        days.overwrite(rows.select("created_month", F.col("created_date").alias("day_utc")).distinct())
         rows.write.mode("append").partitionBy("created_month").parquet(fact_path)
     finally:
         rows.unpersist()
+    touched = days.read()
     pending_table.overwrite(unresolved)
     unresolved_n = pending_table.read().count()
     wm.set_from("cur.fact_transactions", stg["transactions"].agg(
@@ -169,11 +198,12 @@ def run_hourly(spark: SparkSession, root: str, sources: dict[str, DataFrame],
     previous = gmv_table.read()
     if previous is None:
         gmv_table.overwrite(marts.gmv_daily(fact_all))
-    elif touched_days:
-        months = sorted({d.strftime("%Y-%m") for d in touched_days})
-        fresh = marts.gmv_daily(fact_all.where(F.col("created_month").isin(months))
-                                        .where(F.col("created_date").isin(touched_days)))
-        gmv_table.overwrite(previous.where(~F.col("day_utc").isin(touched_days)).unionByName(fresh))
+    elif appended:
+        # semi-joins on the touched months and days: the month prunes the fact's partitions
+        fresh = marts.gmv_daily(fact_all.join(touched.select("created_month").distinct(),
+                                              "created_month", "left_semi")
+                                .join(touched, fact_all.created_date == touched.day_utc, "left_semi"))
+        gmv_table.overwrite(previous.join(touched, "day_utc", "left_anti").unionByName(fresh))
     # top merchants read the last 7 days only: add the month predicate so
     # the scan prunes partitions (the month cannot be derived from created_at)
     as_of = F.lit(run_ts).cast("timestamp_ntz")

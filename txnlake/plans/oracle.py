@@ -454,7 +454,7 @@ SELECT count(*) AS orphans FROM f_requests r LEFT JOIN f_accounts a ON a.id = r.
 SELECT seq, CASE WHEN errors <> '' THEN 'INVALID'
   WHEN lower(email) IN (SELECT le FROM taken) OR seq <> (SELECT fseq FROM firsts WHERE le = lower(email)) THEN 'CONFLICT'
   ELSE 'CREATED' END AS outcome,
-  CAST(CASE WHEN errors <> '' THEN 400
+  CAST(CASE WHEN errors LIKE '%email%' OR errors LIKE '%country%' THEN 422 WHEN errors <> '' THEN 400
   WHEN lower(email) IN (SELECT le FROM taken) OR seq <> (SELECT fseq FROM firsts WHERE le = lower(email)) THEN 409
   ELSE 201 END AS INTEGER) AS code
 FROM r""", "f_customer_requests", "f_customers").replace("\n, r AS", ", r AS", 1)
@@ -471,7 +471,8 @@ FROM r""", "f_customer_requests", "f_customers").replace("\n, r AS", ", r AS", 1
     WHEN EXISTS (SELECT 1 FROM open_acc x WHERE x.customer_id = r.customer_id AND x.currency = r.currency)
       OR r.seq <> f.fseq THEN 'CONFLICT' ELSE 'CREATED' END AS outcome
   FROM r LEFT JOIN firsts f ON f.customer_id = r.customer_id AND f.currency = r.currency)
-SELECT seq, outcome, CAST(CASE outcome WHEN 'CREATED' THEN 201 WHEN 'CONFLICT' THEN 409 ELSE 400 END AS INTEGER) AS code
+SELECT seq, outcome, CAST(CASE outcome WHEN 'CREATED' THEN 201 WHEN 'CONFLICT' THEN 409 WHEN 'INVALID' THEN 422
+  ELSE 400 END AS INTEGER) AS code
 FROM o""", "f_account_requests", "f_customers", "f_accounts").replace("\n, r AS", ", r AS", 1)
     s["ingest_transactions"] = with_views("SELECT seq, reason FROM req_reason", "req_reason")
     s["ingest_idempotency"] = with_views("""
@@ -514,6 +515,34 @@ ORDER BY created_at DESC, account_id, reason""", "vflags", "f_cdc")
         "SELECT seq, account_id, amount, currency, created_at FROM f_cdc WHERE op = 'c'", "f_cdc")
     # the stream's input is time-ordered per account, where it equals the batch rule
     s["velocity_stream"] = s["velocity_alerts"]
+    s["velocity_messages"] = with_views(f"""
+SELECT account_id AS key, {_uuid5_sql(name, config.FLAG_NAMESPACE)} AS event_id, account_id,
+  strftime(window_start, '%Y-%m-%dT%H:%M:%S+00:00') AS window_start,
+  strftime(window_end, '%Y-%m-%dT%H:%M:%S+00:00') AS window_end,
+  count_5m, CAST(sum_5m AS VARCHAR) AS sum_5m, reason, id AS tx_example
+FROM valerts""", "valerts")
+    # versions with late changes: every version again, 200 days earlier and closed after 300
+    late = """late AS (
+  SELECT account_bk, version, valid_from, valid_to FROM dim_account_b
+  UNION ALL
+  SELECT account_bk, version + 1000, valid_from - INTERVAL 200 DAY, valid_from + INTERVAL 100 DAY
+  FROM dim_account_b)"""
+    s["asof_late_changes"] = with_views(f"""
+, {late}
+SELECT t.id, (SELECT l.version FROM late l WHERE l.account_bk = t.account_id AND l.valid_from <= t.created_at
+    AND (l.valid_to IS NULL OR t.created_at < l.valid_to)
+    ORDER BY l.valid_from DESC, l.version DESC LIMIT 1) AS account_version
+FROM stg t""", "stg", "dim_account_b").replace("\n, late AS", ", late AS", 1)
+    s["dq_interval_overlaps"] = with_views(f"""
+, {late},
+ o AS (SELECT *, max(coalesce(valid_to, TIMESTAMP '9999-12-31')) OVER (PARTITION BY account_bk
+    ORDER BY valid_from, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM late)
+SELECT count(*) FILTER (valid_to < valid_from OR reached > valid_from) AS violations FROM o""",
+        "dim_account_b").replace("\n, late AS", ", late AS", 1)
+    s["ingest_idempotency_two_batches"] = s["ingest_idempotency"]
+    s["idempotency_records"] = with_views("""
+SELECT 'POST /v1/transactions' AS endpoint, idem_key, CAST(201 AS INTEGER) AS response_code
+FROM req_class WHERE outcome = 'NEW'""", "req_class")
     return s
 
 

@@ -228,6 +228,26 @@ def q_asof_account(spark, sf):
                     F.col("a_version").alias("account_version"))
 
 
+def _late_versions(spark, sf):
+    """Account versions plus late changes that overlap them (each version again, 200 days earlier)."""
+    acc = _dims_plain(spark, sf, ("account",))["account"].select(
+        "account_bk", "version", "valid_from", "valid_to")
+    late = acc.select("account_bk", (F.col("version") + 1000).alias("version"),
+                      (F.col("valid_from") - F.expr("INTERVAL 200 DAY")).alias("valid_from"),
+                      (F.col("valid_from") + F.expr("INTERVAL 100 DAY")).alias("valid_to"))
+    return acc.unionByName(late)
+
+
+def q_asof_late_changes(spark, sf):
+    t = staged_transactions(spark, sf).select("id", "account_id", "created_at")
+    return asof_lookup(t, F.col("account_id"), "created_at", _late_versions(spark, sf), "account_bk",
+                       ["version"], prefix="account_").select("id", "account_version")
+
+
+def q_dq_interval_overlaps(spark, sf):
+    return scd2.interval_violations(_late_versions(spark, sf), scd2.ACCOUNT_DIM)
+
+
 def q_asof_customer(spark, sf):
     d = _dims_plain(spark, sf, ("account", "customer"))
     acc, cus = d["account"], d["customer"]
@@ -398,6 +418,21 @@ def q_ingest_idempotency(spark, sf):
     return classified_df(spark, sf).select("seq", "idem_key", "outcome", "code")
 
 
+def q_ingest_idempotency_two_batches(spark, sf):
+    """Two batches by arrival; the second knows the first one's keys from its records."""
+    reqs, acc = fx.transaction_requests(spark, sf), fx.accounts(spark, sf)
+    half = reqs.agg(F.max("seq") / 2).scalar()
+    first = ingest.classify_requests(reqs.where(F.col("seq") <= half), acc)
+    second = ingest.classify_requests(reqs.where(F.col("seq") > half), acc,
+                                      stored=ingest.idempotency_records(first))
+    return first.unionByName(second).select("seq", "idem_key", "outcome", "code")
+
+
+def q_idempotency_records(spark, sf):
+    return ingest.idempotency_records(classified_df(spark, sf)).select(
+        "endpoint", "idem_key", F.col("response_code").cast("int").alias("response_code"))
+
+
 def q_request_hash(spark, sf):
     r = fx.transaction_requests(spark, sf)
     return r.select("seq", request_hash(config.TRANSACTION_ENDPOINT, ingest.TRANSACTION_BODY)
@@ -511,6 +546,10 @@ QUERIES = {
     "ingest_accounts": q_ingest_accounts,
     "ingest_transactions": q_ingest_transactions,
     "ingest_idempotency": q_ingest_idempotency,
+    "ingest_idempotency_two_batches": q_ingest_idempotency_two_batches,
+    "idempotency_records": q_idempotency_records,
+    "asof_late_changes": q_asof_late_changes,
+    "dq_interval_overlaps": q_dq_interval_overlaps,
     "request_hash": q_request_hash,
     "outbox_events": q_outbox_events,
     "outbox_latest": q_outbox_latest,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -58,7 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="txnlake-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
@@ -72,10 +77,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}{name}-{uuid.uuid4().hex}"
 
 
-def local_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-
-
 def reliable_checkpoint(df):
     """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
 

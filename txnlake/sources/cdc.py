@@ -53,14 +53,20 @@ def header(headers: Column, *names: str) -> Column:
     return F.when(F.size(hit) > 0, hit[0]["value"].cast("string"))
 
 
+def sequence() -> Column:
+    """Arrival order over all partitions: (partition, offset) as one number."""
+    return (F.shiftleft(F.coalesce(F.col("partition"), F.lit(0)).cast("bigint"), 44)
+            + F.col("offset"))
+
+
 def decode(records: DataFrame) -> DataFrame:
     """Records -> create events ready for the velocity rule.
 
     Drops: null values, values that are not JSON objects, operations other
-    than create (``op``/``__op`` header or ``__op`` field), rows without
+    than create (``op``/``__op`` header or ``__op`` field; an empty one is a create), rows without
     account or amount, amounts that are not decimals.  A missing currency
-    defaults to VND (an explicit null does not); a missing event time falls
-    back to the processing time.
+    defaults to VND (an explicit null does not); a missing or empty event time
+    falls back to the processing time.
 
     Each object is parsed once into ``map<string,string>`` (nested values
     come back as JSON text), which gives both the field values and whether
@@ -82,9 +88,9 @@ def decode(records: DataFrame) -> DataFrame:
                 .otherwise(F.lit(config.DEFAULT_CURRENCY))
     created_text = row.getItem("created_at")
     parsed = F.expr("try_cast(_row['created_at'] AS TIMESTAMP)")
-    created = F.when(created_text.isNull(), F.current_timestamp()).otherwise(parsed)
+    created = F.when(F.coalesce(created_text, F.lit("")) == "", F.current_timestamp()).otherwise(parsed)
     out = r.where(F.col("_row").isNotNull()).select(
-        F.col("offset").alias("seq"),
+        sequence().alias("seq"),
         row.getItem("id").alias("id"),
         row.getItem("account_id").alias("account_id"),
         amount.alias("amount"),
@@ -93,7 +99,7 @@ def decode(records: DataFrame) -> DataFrame:
         op.alias("op"),
         amount_text.alias("_amount_text"),
     )
-    keep = ((F.col("op").isNull() | (F.col("op") == "c")) &
+    keep = (F.coalesce(F.col("op"), F.lit("")).isin("", "c") &
             F.col("account_id").isNotNull() & (F.col("account_id") != "") &
             F.col("_amount_text").isNotNull() & (F.col("_amount_text") != "") &
             F.col("amount").isNotNull() & F.col("created_at").isNotNull())

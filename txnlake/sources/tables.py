@@ -2,8 +2,8 @@
 append and the watermark table.
 
 Parquet has no MERGE here, so a table rewrite goes to a new version folder
-and a small pointer file is flipped afterwards; readers resolve the pointer
-and never see a half-written version, and a path being read is never
+and a new numbered pointer is added afterwards; readers resolve the highest
+pointer and never see a half-written version, and a path being read is never
 overwritten.  File-system calls go through Hadoop's ``FileSystem`` so the
 same code works on HDFS/object stores and on local disk.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators.incremental import dedupe_first, insert_if_absent
 
-POINTER = "_CURRENT"
+POINTERS = "_pointers"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,59 +33,59 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return None if line is None else str(line).strip()
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file atomically: temp file, then rename over the target."""
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    return [str(f.getPath().getName()) for f in fs.listStatus(p)] if fs.exists(p) else []
 
 
 class VersionedTable:
-    """A table whose full rewrites land in fresh version folders."""
+    """A table whose full rewrites land in fresh version folders.
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    Pointers are never replaced: a flip creates the empty file
+    ``_pointers/<number>=<version>``, and readers take the highest number.  A
+    crash at any point leaves the previous pointer in force.  The last
+    ``keep`` versions stay readable; older ones are removed after a flip.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
+
+    def _pointers(self) -> list[str]:
+        return sorted(n for n in _names(self.spark, f"{self.root}/{POINTERS}") if "=" in n)
 
     def current_path(self) -> str | None:
-        version = _read_text(self.spark, f"{self.root}/{POINTER}")
-        return f"{self.root}/{version}" if version else None
+        pointers = self._pointers()
+        return f"{self.root}/{pointers[-1].split('=', 1)[1]}" if pointers else None
 
     def read(self) -> DataFrame | None:
         path = self.current_path()
         return self.spark.read.parquet(path) if path else None
 
-    def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write a version that no reader sees before ``flip``."""
         version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{version}")
-        _write_text(self.spark, f"{self.root}/{POINTER}", version)
         return version
 
+    def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        version = self.write(df, partition_by)
+        self.flip(version)
+        return version
+
+    def flip(self, version: str) -> None:
+        pointers = self._pointers()
+        number = int(pointers[-1].split("=", 1)[0]) + 1 if pointers else 1
+        fs, p = _fs(self.spark, f"{self.root}/{POINTERS}/{number:012d}={version}")
+        fs.create(p, False).close()
+        for old in [*pointers, p.getName()][:-self.keep]:
+            for gone in (f"{POINTERS}/{old}", old.split("=", 1)[1]):
+                fs.delete(_fs(self.spark, f"{self.root}/{gone}")[1], True)
+
 
 class AppendTable:
     """Append-only table with insert-if-absent on a key."""

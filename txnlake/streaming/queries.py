@@ -8,19 +8,18 @@ folder, then the batch decoder or the checkpointed stream reads them back.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnlake.session import prepare, scratch_path
 from txnlake.sources import cdc
 from txnlake.sources import fixtures as fx
-from txnlake.streaming.velocity import read_alerts, start_velocity_stream
+from txnlake.streaming.velocity import read_alerts, read_messages, start_velocity_stream
 
 
-def write_cdc_files(spark: SparkSession, sf: str, files: int = 4) -> str:
-    """Render the CDC events as JSON record files ordered by offset."""
+def write_cdc_files(spark: SparkSession, sf: str) -> str:
+    """Render the CDC events as JSON record files, with the parallelism of the input."""
     path = scratch_path(spark, "cdc-records")
-    records = cdc.to_records(fx.cdc_events(spark, sf))
-    records.repartitionByRange(files, "offset").sortWithinPartitions("offset") \
-           .write.json(path)
+    cdc.to_records(fx.cdc_events(spark, sf)).write.json(path)
     return path
 
 
@@ -42,7 +41,22 @@ def q_velocity_stream(spark: SparkSession, sf: str) -> DataFrame:
                                            "count_5m", "sum_5m", "reason")
 
 
+def q_velocity_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert messages of the stream, key and fields of the JSON value."""
+    prepare(spark)
+    src = write_cdc_files(spark, sf)
+    sink = scratch_path(spark, "velocity-sink")
+    start_velocity_stream(spark, src, sink, scratch_path(spark, "velocity-ckpt")).awaitTermination()
+    body = F.from_json("value", "event_id string, account_id string, window struct<start: string, "
+                       "end: string>, count_5m bigint, sum_5m string, reason string, tx_example string")
+    return read_messages(spark, sink).select("key", body.alias("b")).select(
+        "key", "b.event_id", "b.account_id", F.col("b.window.start").alias("window_start"),
+        F.col("b.window.end").alias("window_end"), "b.count_5m", "b.sum_5m", "b.reason",
+        "b.tx_example")
+
+
 STREAM_QUERIES = {
+    "velocity_messages": q_velocity_messages,
     "cdc_decode": q_cdc_decode,
     "velocity_stream": q_velocity_stream,
 }

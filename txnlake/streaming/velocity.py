@@ -1,22 +1,34 @@
 """Velocity rule as a checkpointed stateful stream.
 
-State per account is the trailing window as a list of ``(event micros,
-amount)`` kept in the RocksDB state store (checkpointed, survives restarts
-and executor loss).  Events of a micro-batch are applied in arrival
-(``seq``) order with the exact keyed-deque semantics: append, evict from
-the front while older than ``t - W``, then count/sum the entries at or
-after ``t - W`` (later-dated entries count too).  Rule, bucket labels and
-flag ids are the batch functions applied to the operator's output; flags
-are written insert-if-absent per micro-batch and alerts per batch id, so a
+The window of an account is defined by arrival: after event k (time t_k) the
+entries that arrived earlier and are older than ``t_k - W`` leave from the
+front, up to the first entry that is not; k's count and sum are over the
+entries still held whose time is ``t_k - W`` or later (later-dated ones count,
+too).  So event k looks at an index range [front_k, k], whose left end only
+moves on, and at the times from a cutoff up.
+
+Input in time order, the normal case, needs no inner look-up: the range is
+exactly the window, and its sum is a difference of two running totals.  For
+input out of time order the held entries are kept in a Fenwick tree over the
+ranks of their times: an arrival adds, a departure subtracts, and the total
+from a cutoff up is read in O(log n).  Either way a micro-batch costs time in
+proportion to its events, whatever the window holds.
+
+State per account is the held entries ``(event micros, amount)`` in the
+RocksDB state store (checkpointed, survives restarts and executor loss),
+optionally with a time to live for idle accounts.  Rule, bucket labels and
+flag ids are the batch functions applied to the operator's output; flags are
+written insert-if-absent per micro-batch and alerts per batch id, so a
 replayed batch rewrites the same rows.
 """
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from decimal import Decimal
+from itertools import accumulate, takewhile
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,57 +47,115 @@ OUTPUT_SCHEMA = ("seq LONG, id STRING, account_id STRING, currency STRING, amoun
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+class RankedTotals:
+    """Fenwick tree: count and amount of held entries by the rank of their time."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.counts = [0] * (size + 1)
+        self.totals = [0] * (size + 1)
+        self.held = 0
+        self.amount = 0
+
+    def change(self, rank: int, count: int, amount: int) -> None:
+        self.held += count
+        self.amount += amount
+        node = rank + 1
+        while node <= self.size:
+            self.counts[node] += count
+            self.totals[node] += amount
+            node += node & -node
+
+    def from_rank(self, rank: int) -> tuple[int, int]:
+        """Count and amount of the entries at ``rank`` or above."""
+        n, total, node = self.held, self.amount, rank
+        while node > 0:
+            n -= self.counts[node]
+            total -= self.totals[node]
+            node -= node & -node
+        return n, total
+
+
+def window_totals(times: Sequence[int], amounts: Sequence[int], known: int,
+                  width: int) -> tuple[list[int], list[int], int]:
+    """Counts and amounts for the entries from index ``known`` on, and the final front.
+
+    ``times`` and ``amounts`` are in arrival order, the first ``known`` held from before.
+    """
+    t = np.asarray(times, dtype=np.int64)
+    cut = t[known:] - width
+    if len(t) < 2 or bool((t[1:] >= t[:-1]).all()):
+        front = np.searchsorted(t, cut, "left")
+        running = [0, *accumulate(amounts)]
+        last = range(known + 1, len(t) + 1)
+        return ([e - f for e, f in zip(last, front.tolist())],
+                [running[e] - running[f] for e, f in zip(last, front.tolist())],
+                int(front[-1]) if len(front) else 0)
+    order = np.unique(t)
+    rank = np.searchsorted(order, t).tolist()
+    floor = np.searchsorted(order, cut, "left").tolist()
+    tree = RankedTotals(len(order))
+    for k in range(known):
+        tree.change(rank[k], 1, amounts[k])
+    counts, sums, front = [], [], 0
+    for k, low in enumerate(floor, known):
+        tree.change(rank[k], 1, amounts[k])
+        for gone in takewhile(lambda i, low=low: rank[i] < low, range(front, k)):
+            tree.change(rank[gone], -1, -amounts[gone])
+            front = gone + 1
+        n, total = tree.from_rank(low)
+        counts.append(n)
+        sums.append(total)
+    return counts, sums, front
+
+
 class TrailingWindowProcessor(StatefulProcessor):
-    """Keyed trailing window (count, sum) with front eviction."""
+    """Keyed trailing window (count, sum)."""
 
-    def __init__(self, window_seconds: int) -> None:
-        self.window_us = window_seconds * 1_000_000
+    def __init__(self, window_seconds: int, idle_ttl_seconds: int | None = None) -> None:
+        self.width = window_seconds * 1_000_000
+        self.ttl_ms = idle_ttl_seconds * 1000 if idle_ttl_seconds else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.entries = handle.getListState("window", STATE_SCHEMA)
+        self.entries = handle.getListState("window", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable") \
-                  .reset_index(drop=True)
-        window: deque[tuple[int, Decimal]] = deque()
-        if self.entries.exists():
-            window.extend((int(t), Decimal(a)) for t, a in self.entries.get())
-        counts, sums = [], []
-        for ts, amount in zip(batch["ts_us"].tolist(), batch["amount"].tolist()):
-            window.append((int(ts), Decimal(amount)))
-            cutoff = int(ts) - self.window_us
-            while window and window[0][0] < cutoff:
-                window.popleft()
-            n, total = 0, Decimal(0)
-            for t, a in window:
-                if t >= cutoff:
-                    n += 1
-                    total += a
-            counts.append(n)
-            sums.append(total)
-        if window:
-            self.entries.put([(t, str(a)) for t, a in window])
-        else:
-            self.entries.clear()
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable",
+                                                                     ignore_index=True)
+        held = list(self.entries.get()) if self.entries.exists() else []
+        times = [int(t) for t, _ in held] + batch["ts_us"].astype("int64").tolist()
+        amounts = [_micros(Decimal(a)) for _, a in held] + [_micros(a) for a in batch["amount"]]
+        counts, sums, front = window_totals(times, amounts, len(held), self.width)
+        self.entries.put([(t, str(_decimal(a))) for t, a in zip(times[front:], amounts[front:])])
         yield pd.DataFrame({
             "seq": batch["seq"].astype("int64"), "id": batch["id"],
             "account_id": batch["account_id"], "currency": batch["currency"],
             "amount": batch["amount"], "ts_us": batch["ts_us"].astype("int64"),
-            "count_5m": pd.Series(counts, dtype="int64"), "sum_5m": sums,
+            "count_5m": pd.Series(counts, dtype="int64"), "sum_5m": [_decimal(x) for x in sums],
         })
 
     def close(self) -> None:
         pass
 
 
+def _micros(amount: Decimal) -> int:
+    """An amount with at most six decimals as a whole number of millionths."""
+    return int(amount.scaleb(6))
+
+
+def _decimal(micros: int) -> Decimal:
+    return Decimal(micros).scaleb(-6)
+
+
 def trailing_window_stream(events: DataFrame, cfg: config.VelocityConfig = config.VelocityConfig()
                            ) -> DataFrame:
     """Decoded events (stream or batch) -> events with ``count_5m``/``sum_5m``."""
     prepared = cdc.with_event_micros(events).select(
         "seq", "id", "account_id", "currency", "amount", "ts_us")
     out = prepared.groupBy("account_id").transformWithStateInPandas(
-        statefulProcessor=TrailingWindowProcessor(cfg.window_seconds),
-        outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="None")
+        statefulProcessor=TrailingWindowProcessor(cfg.window_seconds, cfg.idle_ttl_seconds),
+        outputStructType=OUTPUT_SCHEMA, outputMode="Append",
+        timeMode="ProcessingTime" if cfg.idle_ttl_seconds else "None")
     return out.withColumn("created_at", micros_to_ts(F.col("ts_us"))).drop("ts_us")
 
 
@@ -95,16 +165,16 @@ def _write_batch(sink: str, cfg: config.VelocityConfig):
         try:
             hits = batch_velocity.alerts(batch, cfg)
             hits.write.mode("overwrite").parquet(f"{sink}/alerts/batch_id={batch_id}")
+            batch_velocity.alert_messages(hits).write.mode("overwrite").parquet(
+                f"{sink}/messages/batch_id={batch_id}")
             new_flags = batch_velocity.flags(hits).withColumn("batch_id", F.lit(batch_id)) \
                                                   .withColumn("window_date", F.to_date("window_end"))
             flags_path = f"{sink}/flags"
             if path_exists(batch.sparkSession, flags_path):
-                # the flag id contains window_end, so only the dates this batch
-                # touches can hold a duplicate: read just those partitions
-                days = [r[0] for r in new_flags.select("window_date").distinct().collect()]
-                stored = batch.sparkSession.read.parquet(flags_path) \
-                              .where(F.col("window_date").isin(days)).select("event_id")
-                new_flags = new_flags.join(stored, "event_id", "left_anti")
+                # the flag id contains window_end, so only the dates this batch touches can
+                # hold a duplicate: the date in the join key prunes the stored partitions
+                stored = batch.sparkSession.read.parquet(flags_path).select("window_date", "event_id")
+                new_flags = new_flags.join(stored, ["window_date", "event_id"], "left_anti")
             new_flags.write.mode("append").partitionBy("window_date").parquet(flags_path)
         finally:
             batch.unpersist()
@@ -133,5 +203,10 @@ def read_alerts(spark: SparkSession, sink_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sink_dir}/alerts")
 
 
+def read_messages(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The alert topic's records: key (account) and JSON value."""
+    return spark.read.parquet(f"{sink_dir}/messages")
+
+
 def read_flags(spark: SparkSession, sink_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sink_dir}/flags")
