@@ -95,9 +95,10 @@ def later_copies(docs: DataFrame, min_bytes: int) -> DataFrame:
         due = due.withColumn("at", F.col("pos") + F.col("need") - depth).join(ends, [*_DOC, "at"])
         key = ["need", "rank", "tail"]
         place = F.struct(*_DOC, "pos")
-        first = due.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        found.append(due.join(first.where("n > 1").drop("n"), key).where(place > F.col("first"))
-                     .select(*_DOC, "pos", "need"))
+        # stored, so that the join below has exchanges of its own, which skew-join splitting divides
+        first = store(due.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                      .where("n > 1").drop("n"), f"op4-first-{depth}")
+        found.append(due.join(first, key).where(place > F.col("first")).select(*_DOC, "pos", "need"))
         if suffixes.where(F.col("need") >= 2 * depth).isEmpty():
             break
         pairs = suffixes.withColumnRenamed("rank", "a").join(
