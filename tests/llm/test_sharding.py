@@ -25,11 +25,13 @@ class Listed(sharding.Borders):
 
     def __init__(self, borders, rows):
         self.list, self.total, self.rows, self.reads = borders, borders[-1], rows, 0
+        self.width = self.total
         self.read([(0, self.total)])
 
     def read(self, spans):
         self.reads += 1
-        width = max(1, -(-sum(b - a + 1 for a, b in spans) // self.rows))
+        width = self.width = max(1, min(-(-sum(b - a + 1 for a, b in spans) // self.rows),
+                                        self.width // 2))
         buckets = defaultdict(list)
         for x in self.list:
             if any(a <= x <= b for a, b in spans):

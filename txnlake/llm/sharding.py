@@ -58,11 +58,16 @@ class Borders:
     def __init__(self, table: DataFrame, total: int, summary_rows: int):
         self.table, self.total, self.rows = table, total, summary_rows
         self.exact: dict[tuple[int, bool], int] = {}
+        self.width = total
         self.read([(0, total)])
 
     def read(self, spans: list[tuple[int, int]]) -> None:
-        """Summarise the borders in ``spans`` (sorted, apart) in about ``summary_rows`` buckets."""
-        width = max(1, -(-sum(b - a + 1 for a, b in spans) // self.rows))
+        """Summarise the borders in ``spans`` (sorted, apart) in about ``summary_rows`` buckets.
+
+        Buckets are at most half as wide as before, so reading on comes to an end.
+        """
+        width = self.width = max(1, min(-(-sum(b - a + 1 for a, b in spans) // self.rows),
+                                        self.width // 2))
         near = F.lit(False)
         for a, b in spans:
             near = near | F.col("border").between(a, b)
@@ -129,6 +134,7 @@ def least_capacity(borders: Borders, largest: int, shards: int) -> int:
             break
         early, late = _greedy(borders, low, shards, 0), _greedy(borders, high, shards, 1)
         late += [total] * (len(early) - len(late))
+        early += early[-1:] * (len(late) - len(early))  # where no step was sure
         spans: list[tuple[int, int]] = []
         for a, b in zip(early, late):
             a, b = min(a, b), max(a, b)
