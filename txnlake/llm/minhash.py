@@ -12,11 +12,14 @@ signature therefore cost about two points per shingle.
 
 Texts that agree on a band of ``rows`` registers meet in a bucket.  Equal texts are
 merged first.  In a bucket of at most ``small`` texts all pairs are
-candidates; a larger one is worked off in rounds of stars: some texts of
-components other than the first one's are leaders and are compared with every text
-outside their component, until the bucket is one component or every text has led.
-No bucket is gathered, dropped or cut, and its pairs are not
-listed.  Candidates are verified by exact multiset overlap.
+candidates; a larger one is worked off in rounds of stars.  Its pivot, the
+text that shares most with others, is compared with every text first; then
+more and more of the texts outside the pivot's component are leaders and are
+compared with the texts outside their own, until the bucket is one component
+or every such text has led.  Weighted Jaccard distance is a metric, so two
+texts whose similarities to the pivot differ by more than 1 - 0.8 need no
+comparison, and no pair is compared twice.  No bucket is gathered, dropped or
+cut.  Candidates are verified by exact multiset overlap.
 
 A pair at similarity 0.8 misses all 24 bands of 4 with probability 3e-6.
 
@@ -170,11 +173,12 @@ def overlap(a: bytes, b: bytes) -> float:
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """x, y, bag_x, bag_y -> the pairs that reach the similarity."""
+    """x, y, bag_x, bag_y -> x, y, similarity."""
     for batch in batches:
-        ok = [overlap(a.as_buffer(), b.as_buffer()) >= SIMILARITY
-              for a, b in zip(batch.column(2), batch.column(3))]
-        yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+        found = [overlap(a.as_buffer(), b.as_buffer())
+                 for a, b in zip(batch.column(2), batch.column(3))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1),
+                                          pa.array(found, pa.float64())], names=["x", "y", "j"])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -208,12 +212,10 @@ def _small_pairs(buckets: DataFrame, counts: DataFrame, small: int) -> DataFrame
 
 def near_classes(docs: DataFrame, small: int = 8, leaders: int = 8) -> tuple[DataFrame, DataFrame]:
     """(texts with node/th/first, (node, root) of the texts in classes of several texts)."""
-    spark = docs.sparkSession
     texts = _texts(docs)
     rows = texts.select("node", "n", F.explode("bands").alias("key"))
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = store(rows.join(counts, "key"), "op7-buckets")
-    large = buckets.where(f"size > {small}").select("key", "node", "n")
 
     members = buckets.select("node").distinct()
     bags = store(
@@ -227,40 +229,59 @@ def near_classes(docs: DataFrame, small: int = 8, leaders: int = 8) -> tuple[Dat
     def verified(pairs: DataFrame) -> DataFrame:
         withx = pairs.join(bags.select(F.col("node").alias("x"), F.col("bag").alias("bx")), "x")
         both = withx.join(bags.select(F.col("node").alias("y"), F.col("bag").alias("by")), "y")
-        return both.select("x", "y", "bx", "by").mapInArrow(verify, "x long, y long")
+        return both.select("x", "y", "bx", "by").mapInArrow(verify, "x long, y long, j double")
 
     few = buckets.where(f"size <= {small}")
-    links = store(verified(_small_pairs(few.select("key", "node", "n"),
-                                        few.select("key", "size").distinct(), small)), "op7-links")
+    tested = store(verified(_small_pairs(few.select("key", "node", "n"),
+                                         few.select("key", "size").distinct(), small)), "op7-tested")
+    large = buckets.where(f"size > {small}").select("key", "node", "n", "size")
+    if large.isEmpty():
+        return texts, _roots(tested)
+
+    # the pivot of a bucket: the text with the most company, over all its buckets
+    company = large.groupBy("node").agg(F.sum("size").alias("company"))
+    pivots = store(large.join(company, "node").groupBy("key").agg(
+        F.max(F.struct("company", F.negative("node").alias("least"), F.col("n").alias("pivot_n")))
+        .alias("p")).select("key", F.negative("p.least").alias("pivot"), "p.pivot_n"), "op7-pivots")
+    large = large.select("key", "node", "n").join(pivots, "key")
+    star = large.where("node <> pivot").select(
+        F.least("node", "pivot").alias("x"), F.greatest("node", "pivot").alias("y")).distinct()
+    tested = store(tested.union(verified(star.join(tested, ["x", "y"], "left_anti"))), "op7-tested")
+    large = store(large.withColumns({"x": F.least("node", "pivot"), "y": F.greatest("node", "pivot")})
+                  .join(tested, ["x", "y"], "left")
+                  .select("key", "node", "n", "pivot", F.coalesce("j", F.lit(1.0)).alias("near")),
+                  "op7-large")
+
     led = None
-    while not large.isEmpty():
-        roots = _roots(links)
-        state = (large.join(roots, "node", "left")
-                 .withColumn("root", F.coalesce("root", "node")))
-        # buckets that are one component are done
-        spread = state.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                          F.min("node").alias("least"))
-        open_ = store(state.join(spread.where("lo < hi"), "key"), "op7-open")
-        fresh = open_ if led is None else open_.join(led, ["key", "node"], "left_anti")
-        # the first component's texts need not lead: every other one meets them
+    while True:
+        roots = _roots(tested)
+        state = (large.join(roots.select("node", "root"), "node", "left")
+                 .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")),
+                       "pivot", "left")
+                 .withColumn("root", F.coalesce("root", "node"))
+                 .withColumn("main", F.coalesce("main", "pivot")))
+        unfinished = state.where("root <> main").select("key").distinct()
+        state = store(state.join(unfinished, "key", "left_semi"), "op7-open")
+        fresh = state.where("root <> main")
+        if led is not None:
+            fresh = fresh.join(led, ["key", "node"], "left_anti")
         # row_number <= k is limited before the shuffle, bucket by bucket
-        chosen = fresh.where("root <> lo or node = least").select(
-            "key", F.col("node").alias("lead_node"), F.col("root").alias("lead_root"),
-            F.col("n").alias("lead_n"), F.row_number().over(
-                Window.partitionBy("key").orderBy("node")).alias("turn"))
-        chosen = store(chosen.where(F.col("turn") <= (1 if led is None else leaders)).drop("turn"),
-                       "op7-leaders")
+        chosen = fresh.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "root", "n", "near")],
+                              F.row_number().over(Window.partitionBy("key").orderBy("node")).alias("turn"))
+        chosen = store(chosen.where(F.col("turn") <= leaders).drop("turn"), "op7-leaders")
         if chosen.isEmpty():
-            break
-        pairs = (open_.join(chosen, "key").where("root <> lead_root and node <> lead_node")
+            return texts, roots
+        leaders *= 8
+        pairs = (state.join(chosen, "key").where("root <> lead_root")
+                 .where(F.abs(F.col("near") - F.col("lead_near")) <= 1 - SIMILARITY + 1e-9)
                  .where(_near_sizes("n", "lead_n"))
                  .select(F.least("node", "lead_node").alias("x"),
                          F.greatest("node", "lead_node").alias("y")).distinct())
-        links = store(links.union(verified(pairs)).distinct(), "op7-links")
+        tested = store(tested.union(verified(pairs.join(tested, ["x", "y"], "left_anti"))),
+                       "op7-tested")
         now = chosen.select("key", F.col("lead_node").alias("node"))
         led = store(now if led is None else led.union(now), "op7-led")
-        large = open_.select("key", "node", "n")
-    return texts, _roots(links)
+        large = state.select("key", "node", "n", "pivot", "near")
 
 
 def _id(name: str) -> Column:
@@ -268,8 +289,10 @@ def _id(name: str) -> Column:
     return F.coalesce(name, F.lit(-(1 << 63))).alias("doc_id")
 
 
-def _roots(links: DataFrame) -> DataFrame:
-    return components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), "op7")
+def _roots(tested: DataFrame) -> DataFrame:
+    links = tested.where(F.col("j") >= SIMILARITY)
+    return store(components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), "op7"),
+                 "op7-roots")
 
 
 def with_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
