@@ -84,7 +84,7 @@ def serve_risk_flags(flags: DataFrame, hours: int = 1, as_of: Column | None = No
     if as_of is None:
         as_of = F.current_timestamp().cast("timestamp_ntz")
     return (flags.where(F.col("created_at") >= as_of - F.make_dt_interval(hours=F.lit(hours)))
-                 .select("account_id", "window_start", "window_end", "count_5m",
+                 .select("event_id", "account_id", "window_start", "window_end", "count_5m",
                          decimal_text("sum_5m").alias("sum_5m"), "reason", "created_at")
                  .orderBy(F.col("created_at").desc(), "account_id", "reason"))
 

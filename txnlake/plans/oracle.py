@@ -503,11 +503,11 @@ UNION ALL SELECT 'risk_flags', count(*) FROM vflags WHERE account_id IN (SELECT
 SELECT account_id, window_end, reason FROM vflags
 WHERE account_id IN (SELECT id FROM f_accounts WHERE CAST(customer_id AS BIGINT) % 4 IN (0, 1))""",
         "vflags", "f_accounts")
+    name = "account_id || ':' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00:' || reason"
     s["serve_risk_flags"] = with_views(f"""
-SELECT account_id, window_start, window_end, count_5m, CAST(sum_5m AS VARCHAR) AS sum_5m, reason, created_at
+SELECT {_uuid5_sql(name, config.FLAG_NAMESPACE)} AS event_id, account_id, window_start, window_end, count_5m, CAST(sum_5m AS VARCHAR) AS sum_5m, reason, created_at
 FROM vflags WHERE created_at >= (SELECT max(created_at) FROM f_cdc) - INTERVAL {P.SERVE_FLAG_HOURS} HOUR
 ORDER BY created_at DESC, account_id, reason""", "vflags", "f_cdc")
-    name = "account_id || ':' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00:' || reason"
     s["uuid5_ids"] = with_views(
         f"SELECT {_uuid5_sql(name, config.FLAG_NAMESPACE)} AS event_id, account_id, window_end, reason FROM vflags",
         "vflags")

@@ -32,9 +32,14 @@ def _ts(s: str):
 
 # --- shared building blocks --------------------------------------------------
 
-def staged_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    """Staging copy: first copy per transaction id (insert-if-absent into empty)."""
+def staged_transactions(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Staging copy: first copy per transaction id (insert-if-absent into empty).
+
+    With ``columns`` only these (and the id and arrival order) go through the dedupe.
+    """
     raw = fx.transactions(spark, sf)
+    if columns:
+        raw = raw.select(*dict.fromkeys(["id", *fx.TRANSACTION_ARRIVAL_ORDER, *columns]))
     return inc.dedupe_first(raw, ["id"], fx.TRANSACTION_ARRIVAL_ORDER)
 
 
@@ -221,7 +226,7 @@ def _dims_plain(spark, sf, which=("account", "customer", "merchant")):
 
 def q_asof_account(spark, sf):
     acc = _dims_plain(spark, sf, ("account",))["account"]
-    t = staged_transactions(spark, sf).select("id", "account_id", "created_at")
+    t = staged_transactions(spark, sf, "account_id", "created_at").select("id", "account_id", "created_at")
     j = asof_lookup(t, F.col("account_id"), "created_at", acc, "account_bk",
                     ["account_bk", "version"], prefix="a_")
     return j.select("id", F.col("a_account_bk").alias("account_bk"),
@@ -239,7 +244,7 @@ def _late_versions(spark, sf):
 
 
 def q_asof_late_changes(spark, sf):
-    t = staged_transactions(spark, sf).select("id", "account_id", "created_at")
+    t = staged_transactions(spark, sf, "account_id", "created_at").select("id", "account_id", "created_at")
     return asof_lookup(t, F.col("account_id"), "created_at", _late_versions(spark, sf), "account_bk",
                        ["version"], prefix="account_").select("id", "account_version")
 
@@ -251,7 +256,7 @@ def q_dq_interval_overlaps(spark, sf):
 def q_asof_customer(spark, sf):
     d = _dims_plain(spark, sf, ("account", "customer"))
     acc, cus = d["account"], d["customer"]
-    t = staged_transactions(spark, sf).select("id", "account_id", "created_at")
+    t = staged_transactions(spark, sf, "account_id", "created_at").select("id", "account_id", "created_at")
     j = asof_lookup(t, F.col("account_id"), "created_at", acc, "account_bk", ["customer_bk"],
                     prefix="a_")
     j = asof_lookup(j, F.col("a_customer_bk"), "created_at", cus, "customer_bk",
@@ -262,7 +267,7 @@ def q_asof_customer(spark, sf):
 
 def q_asof_merchant(spark, sf):
     mer = _dims_plain(spark, sf, ("merchant",))["merchant"]
-    t = staged_transactions(spark, sf).select("id", "merchant_name", "created_at")
+    t = staged_transactions(spark, sf, "merchant_name", "created_at").select("id", "merchant_name", "created_at")
     j = asof_lookup(t, normalise_name("merchant_name"), "created_at", mer, "merchant_name_norm",
                     ["merchant_name_norm", "version"], prefix="m_")
     return j.select("id", F.col("m_merchant_name_norm").alias("merchant_name_norm"),
@@ -295,7 +300,7 @@ def q_fact_insert_if_absent(spark, sf):
 def q_cross_current_keys(spark, sf):
     """Current keys of each transaction's account, its customer and its merchant."""
     acc, cus, mer = fact_dims(spark, sf)
-    t = staged_transactions(spark, sf).select("id", "account_id", "merchant_name")
+    t = staged_transactions(spark, sf, "account_id", "merchant_name").select("id", "account_id", "merchant_name")
     a = acc.where("is_current").select(F.col("account_bk").alias("account_id"), "account_sk",
                                        "customer_bk")
     c = cus.where("is_current").select("customer_bk", "customer_sk")
@@ -309,7 +314,7 @@ def q_cross_current_keys(spark, sf):
 # --- marts and serving ----------------------------------------------------------------
 
 def mart_gmv_df(spark, sf):
-    return marts.gmv_daily(staged_transactions(spark, sf))
+    return marts.gmv_daily(staged_transactions(spark, sf, "created_at", "currency", "amount"))
 
 
 def q_mart_gmv_daily(spark, sf):
