@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from txnlake.plans.oracle import ORACLE_SQL
 
 TABLES = ["customer", "orders", "lineitem", "part", "supplier", "events", "nation", "region"]
-KEYS = sorted(E.oracle_sql())
+KEYS = sorted(ORACLE_SQL)
 
 
 def _norm(v):

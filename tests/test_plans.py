@@ -4,17 +4,19 @@ pushed-down watermark predicates, pruned scans."""
 import pytest
 
 import __spark_entry__ as E
+from txnlake.plans.queries import QUERIES
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - {"velocity_stream", "cdc_decode"}))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cartesian_or_nested_loop_join(spark, sf_small, key):
     plan = _plan(E.queries()[key](spark, sf_small))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    assert "RoundRobinPartitioning" not in plan
 
 
 def test_watermark_predicate_reaches_the_scan(spark, sf_small):
