@@ -8,12 +8,15 @@ this equals the keyed deque of the streaming path exactly; the streaming
 operator (``txnlake.streaming.velocity``) is the definition for input that
 arrives out of time order.
 
-Skew: partitioning a range window by account alone would put a hot account
-(say, a third of all events) into one task.  Events are therefore grouped
-by ``(account, time slice)``; each slice also receives a read-only copy of
-the previous slice's last ``W`` seconds (a halo), so every event still sees
-its whole trailing window.  No row is dropped or capped; a row is copied at
-most once.
+Every event enters the window at its time and leaves it just after ``t + W``,
+so count and sum are running totals over entries (+) and departures (-) in
+time order: linear work, whatever a window or a group of equal times holds.
+
+Skew: running totals by account alone would put a hot account (say, a third
+of all events) into one task.  They are taken within ``(account, time
+slice)``; what earlier slices leave over is added from per-slice totals,
+whose number per account is bounded by the time span.  No row is dropped or
+capped; each is doubled once.
 """
 
 from __future__ import annotations
@@ -33,33 +36,25 @@ def trailing_window(events: DataFrame, cfg: config.VelocityConfig = config.Veloc
     """Add ``count_5m`` and ``sum_5m`` (trailing window) to every event."""
     w_us = cfg.window_seconds * 1_000_000
     s_us = cfg.slice_seconds * 1_000_000
-    us = epoch_micros(ts)
-    base = events.withColumn("_us", us).withColumn("_home", F.floor(F.col("_us") / F.lit(s_us)))
-    # one scan: every row goes to its own slice; rows in the last W seconds
-    # of a slice are also copied (as context only) into the next slice
-    home = F.struct(F.col("_home").alias("slice"), F.lit(True).alias("own"))
-    halo = F.struct((F.col("_home") + 1).alias("slice"), F.lit(False).alias("own"))
-    in_halo = F.col("_us") - F.col("_home") * F.lit(s_us) >= F.lit(s_us - w_us)
-    rows = base.withColumn("_copy", F.explode(F.when(in_halo, F.array(home, halo))
-                                              .otherwise(F.array(home)))) \
-               .withColumn("_slice", F.col("_copy.slice")).withColumn("_own", F.col("_copy.own")) \
-               .drop("_copy", "_home")
-
-    frame = Window.partitionBy(key, "_slice").orderBy("_us").rangeBetween(-w_us, 0)
-    later_ties = Window.partitionBy(key, "_slice", "_us").orderBy(seq) \
-                       .rowsBetween(1, Window.unboundedFollowing)
-    counted = rows.select(
-        "*",
-        F.count(F.lit(1)).over(frame).alias("_n"),
-        F.sum(amount).over(frame).alias("_s"),
-        F.count(F.lit(1)).over(later_ties).alias("_tn"),
-        F.sum(amount).over(later_ties).alias("_ts"),
-    ).where(F.col("_own"))
-    return counted.select(
-        *events.columns,
-        (F.col("_n") - F.col("_tn")).alias("count_5m"),
-        (F.col("_s") - F.coalesce(F.col("_ts"), F.lit(0))).cast(SUM_TYPE).alias("sum_5m"),
-    )
+    base = events.withColumn("_us", epoch_micros(ts))
+    enters = F.struct(F.col("_us").alias("at"), F.lit(1).alias("sign"))
+    leaves = F.struct((F.col("_us") + w_us + 1).alias("at"), F.lit(-1).alias("sign"))
+    steps = base.withColumn("_step", F.explode(F.array(enters, leaves))) \
+                .withColumn("_slice", F.floor(F.col("_step.at") / F.lit(s_us))) \
+                .withColumn("_amount", F.col("_step.sign") * F.col(amount))
+    totals = steps.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_of")).agg(
+        F.sum("_step.sign").alias("_n"), F.sum("_amount").alias("_s"))
+    earlier = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select("_key", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_cn"),
+                            F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_cs"))
+    # departures come before entries at the same time; equal times in arrival order
+    so_far = Window.partitionBy(key, "_slice").orderBy("_step.at", "_step.sign", seq) \
+                   .rowsBetween(Window.unboundedPreceding, 0)
+    counted = steps.withColumn("_rn", F.sum("_step.sign").over(so_far)) \
+                   .withColumn("_rs", F.sum("_amount").over(so_far)).where(F.col("_step.sign") == 1)
+    joined = counted.join(carried, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")))
+    return joined.select(*events.columns, (F.col("_rn") + F.col("_cn")).alias("count_5m"),
+                         (F.col("_rs") + F.col("_cs")).cast(SUM_TYPE).alias("sum_5m"))
 
 
 def reason(count_col, sum_col, currency_col, cfg: config.VelocityConfig):
