@@ -11,8 +11,12 @@ from txnlake.session import prepare, scratch_path, ship_package
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Pin session settings and make the package importable in Python workers."""
+    """Pin session settings and make the package importable in Python workers.
+
+    Arrow batches are bounded by bytes, as rows may hold whole texts.
+    """
     prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
     ship_package(spark)
     return spark
 
