@@ -37,6 +37,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(rows: int) -> int:
+    """Partitions of a narrow table of so many rows: small tables needn't be dealt out."""
+    return max(1, -(-rows // 100_000))
+
+
 def one_thread() -> None:
     """One thread per Python worker: Spark already fills the cores with tasks."""
     for name in ("RAYON_NUM_THREADS", "OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):

@@ -12,11 +12,11 @@ signature therefore cost about two points per shingle.
 
 Texts that agree on a band of ``rows`` registers meet in a bucket.  Equal texts are
 merged first.  In a bucket of at most ``small`` texts all pairs are
-candidates; a larger one is worked off in rounds of stars.  Its pivot, the
+candidates; a larger one is worked off in three rounds of stars.  Its pivot, the
 text that shares most with others, is compared with every text first; then
-more and more of the texts outside the pivot's component are leaders and are
-compared with the texts outside their own, until the bucket is one component
-or every such text has led.  Weighted Jaccard distance is a metric, so two
+a few of the texts outside the pivot's component are leaders and are compared
+with the texts outside their own component; at last all that are still
+outside lead.  Weighted Jaccard distance is a metric, so two
 texts whose similarities to the pivot differ by more than 1 - 0.8 need no
 comparison, and no pair is compared twice.  No bucket is gathered, dropped or
 cut.  Candidates are verified by exact multiset overlap.
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import read_table, ready, store, text_digest
+from txnlake.llm.common import parts_for, read_table, ready, store, text_digest
 from txnlake.llm.components import components
 from txnlake.llm.sharding import ranked, with_border
 
@@ -210,7 +210,7 @@ def _small_pairs(buckets: DataFrame, counts: DataFrame, small: int) -> DataFrame
     return pairs.where(_near_sizes("nx", "ny")).select("x", "y").distinct()
 
 
-def near_classes(docs: DataFrame, small: int = 8, leaders: int = 8) -> tuple[DataFrame, DataFrame]:
+def near_classes(docs: DataFrame, small: int = 8, leaders: int = 16) -> tuple[DataFrame, DataFrame]:
     """(texts with node/th/first, (node, root) of the texts in classes of several texts)."""
     texts = _texts(docs)
     rows = texts.select("node", "n", F.explode("bands").alias("key"))
@@ -252,36 +252,40 @@ def near_classes(docs: DataFrame, small: int = 8, leaders: int = 8) -> tuple[Dat
                   .select("key", "node", "n", "pivot", F.coalesce("j", F.lit(1.0)).alias("near")),
                   "op7-large")
 
+    parts = parts_for(large.count())
     led = None
     while True:
         roots = _roots(tested)
-        state = (large.join(roots.select("node", "root"), "node", "left")
+        state = (large.join(roots.select("node", "root"), "node", "left").coalesce(parts)
                  .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")),
                        "pivot", "left")
                  .withColumn("root", F.coalesce("root", "node"))
-                 .withColumn("main", F.coalesce("main", "pivot")))
-        unfinished = state.where("root <> main").select("key").distinct()
-        state = store(state.join(unfinished, "key", "left_semi"), "op7-open")
-        fresh = state.where("root <> main")
+                 .withColumn("main", F.coalesce("main", "pivot")).coalesce(parts))
+        state = store(state, "op7-state")
+        fresh = state.where("root <> main")  # in buckets that are one component already, nobody
         if led is not None:
             fresh = fresh.join(led, ["key", "node"], "left_anti")
-        # row_number <= k is limited before the shuffle, bucket by bucket
-        chosen = fresh.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "root", "n", "near")],
-                              F.row_number().over(Window.partitionBy("key").orderBy("node")).alias("turn"))
-        chosen = store(chosen.where(F.col("turn") <= leaders).drop("turn"), "op7-leaders")
-        if chosen.isEmpty():
+        chosen = fresh.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "root", "n", "near")])
+        last = led is not None
+        if not last:
+            # a few leaders first, as they connect many others; row_number <= k is limited
+            # before the shuffle, bucket by bucket
+            chosen = chosen.withColumn("turn", F.row_number().over(
+                Window.partitionBy("key").orderBy("lead_node"))).where(F.col("turn") <= leaders)
+            chosen = chosen.drop("turn")
+        led = store(chosen.coalesce(parts), "op7-leaders")
+        if led.isEmpty():
             return texts, roots
-        leaders *= 8
-        pairs = (state.join(chosen, "key").where("root <> lead_root")
+        pairs = (state.join(led, "key").where("root <> lead_root")
                  .where(F.abs(F.col("near") - F.col("lead_near")) <= 1 - SIMILARITY + 1e-9)
                  .where(_near_sizes("n", "lead_n"))
                  .select(F.least("node", "lead_node").alias("x"),
                          F.greatest("node", "lead_node").alias("y")).distinct())
         tested = store(tested.union(verified(pairs.join(tested, ["x", "y"], "left_anti"))),
                        "op7-tested")
-        now = chosen.select("key", F.col("lead_node").alias("node"))
-        led = store(now if led is None else led.union(now), "op7-led")
-        large = state.select("key", "node", "n", "pivot", "near")
+        if last:  # every text outside the pivots' components has led
+            return texts, _roots(tested)
+        led = led.select("key", F.col("lead_node").alias("node"))
 
 
 def _id(name: str) -> Column:
