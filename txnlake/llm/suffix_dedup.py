@@ -326,27 +326,31 @@ def order_windows(length: int):
             raw = np.frombuffer(b"".join(zstandard.decompress(r[3]) for r in rows),
                                 np.uint8).reshape(-1, full)
             tagged = np.concatenate([windows[:, None].astype(np.uint8), raw], 1)
-            _, one, of = np.unique(np.ascontiguousarray(tagged).view(f"V{full + 1}").ravel(),
+            _, one, of = np.unique(tagged.view(f"V{full + 1}").ravel(),
                                    return_index=True, return_inverse=True)
+            del tagged
             first = np.full(len(one), np.iinfo(np.int64).max)
             np.minimum.at(first, of, least)
             data, count = raw[one].ravel(), windows[one]
+            del raw
             # all window starts of the distinct fragments
-            owner = np.repeat(np.arange(len(one)), count)
+            owner = np.repeat(np.arange(len(one), dtype=np.int32), count)
             begin = np.cumsum(count) - count
-            starts = owner * full + np.arange(len(owner)) - np.repeat(begin, count)
+            starts = np.arange(len(owner)) + np.repeat(np.arange(len(one)) * full - begin, count)
             order, group = deep_shallow(data, starts, length, SHALLOW)
+            del data, starts
             head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
             size = np.diff(np.append(head, len(group)))
             lowest = np.minimum.reduceat(first[owner[order]], head)
             doc = np.empty(len(owner), np.int64)       # least doc_id by window
             doc[order] = np.repeat(lowest, size)
+            del owner, order, group
             # masks by occurrence: windows that a smaller doc_id holds
-            n = windows
-            at = np.repeat(begin[of], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            bit = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64)
-            gone = (doc[at] < np.repeat(least, n)).astype(np.uint64) << bit
-            masks = np.bitwise_or.reduceat(gone, np.cumsum(n) - n)
+            masks = np.zeros(len(windows), np.uint64)
+            for i in range(int(windows.max())):
+                has = np.flatnonzero(windows > i)
+                gone = doc[begin[of[has]] + i] < least[has]
+                masks[has[gone]] |= _U(1 << i)
             cut = np.cumsum([len(r[1]) for r in rows])
             yield _table(["bucket", "batch", "masks"], [
                 [bucket] * len(rows), [r[0] for r in rows],
@@ -417,7 +421,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, batch_bytes: int = 1 << 20)
                     .mapInArrow(pack(length, batch_bytes), f"batch binary, {blob}"), "op9-batches")
     n = batches.count()
     parts = max(spread, n // 32)  # a part gets the anchors of about 32 batches
-    buckets = 4 * parts
+    buckets = 8 * parts  # a task holds one bucket at a time
     dealt = batches.mapInArrow(deal_hashes(buckets),
                                "bucket long, batch binary, hashes binary, several binary")
     repeated = store(dealt.repartition(parts, "bucket").sortWithinPartitions("bucket")

@@ -21,9 +21,9 @@ def multikey(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarr
 
     Each step sorts only the members of groups that are still tied.
     """
-    order = np.arange(len(starts))
-    group = np.zeros(len(starts), np.int64)      # by place: where its group starts
-    open_ = np.arange(len(starts))               # places whose group has several members
+    order = np.arange(len(starts), dtype=np.int32)
+    group = np.zeros(len(starts), np.int32)      # by place: where its group starts
+    open_ = np.arange(len(starts), dtype=np.int32)  # places whose group has several members
     for at in range(0, depth, STEP):
         if not len(open_):
             break
