@@ -4,7 +4,7 @@ Window semantics: for an event at time ``t`` of account ``a`` the window
 holds the events of ``a`` with time in ``[t - W, t]`` that arrived no later
 than it (events with the same time but a larger ``seq`` have not arrived
 yet).  For input whose arrival order agrees with event time per account
-this equals the keyed deque of the streaming path exactly; the streaming
+this equals the window of the streaming path exactly; the streaming
 operator (``txnlake.streaming.velocity``) is the definition for input that
 arrives out of time order.
 
