@@ -4,7 +4,7 @@ Every byte covered by a ``length``-byte string that also starts in a document
 with a smaller doc_id goes.  The strings are found by suffix sorting, after a
 filter that spares the sort all suffixes that can't repeat:
 
-1. Texts are packed into batches of about a megabyte and stored.  In every
+1. Texts are packed into batches of about half a megabyte and stored.  In every
    window of ``length`` bytes the 16-byte gram with the least hash is its
    anchor; equal windows have equal anchors.
 2. Anchor hashes, once per batch, are dealt out by hash; those in several
@@ -203,13 +203,16 @@ class Fragments:
         self.doc = doc[pick]
         span = self.count + length - 1
         full = length + width - 1                      # the longest fragment
-        grid = self.first[:, None] + np.arange(full)[None, :]
-        inside = np.arange(full)[None, :] < span[:, None]
-        raw = np.where(inside, batch.data[np.minimum(grid, max(0, len(batch.data) - 1))]
-                       if len(pick) else np.zeros((0, full), np.uint8), 0).astype(np.uint8)
+        raw = np.zeros((len(pick), full), np.uint8)
+        for a in range(0, len(pick), 2048):            # in slices, to keep the index small
+            part = slice(a, a + 2048)
+            place = self.first[part, None] + np.arange(full)[None, :]
+            raw[part] = batch.data[np.minimum(place, len(batch.data) - 1)]
+            raw[part][np.arange(full)[None, :] >= span[part, None]] = 0
         tagged = np.concatenate([self.count[:, None].astype(np.uint8), raw], 1)
-        _, one, self.of = np.unique(np.ascontiguousarray(tagged).view(f"V{full + 1}").ravel(),
+        _, one, self.of = np.unique(tagged.view(f"V{full + 1}").ravel(),
                                     return_index=True, return_inverse=True)
+        del tagged
         order = np.lexsort((one, h[pick][one]))        # by anchor hash: buckets are ranges
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
@@ -228,6 +231,14 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]
         yield int(b[start]), int(start), int(head[k + 1]) if k + 1 < len(head) else len(b)
 
 
+def _freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pass batches on, giving unused Arrow memory back after each."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def _table(names: list[str], columns: list, types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -258,7 +269,7 @@ def deal_hashes(buckets: int):
 def _partition(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
     """The rows of a partition by bucket (rows are sorted by it)."""
     held, rows = None, []
-    for part in batches:
+    for part in _freed(batches):
         for row in zip(*(c.to_pylist() for c in part.columns)):
             if row[0] != held and rows:
                 yield held, rows
@@ -301,7 +312,7 @@ def deal_fragments(length: int, buckets: int):
         import zstandard
 
         press = zstandard.ZstdCompressor(level=1)
-        for rows in batches:
+        for rows in _freed(batches):
             for key, ids, lengths, text, gaps, hashes in zip(*(c.to_pylist() for c in rows.columns)):
                 f = Batch(ids, lengths, text, gaps).fragments(_repeated(hashes), length)
                 out = list(_by_bucket(f.key, buckets))
@@ -406,7 +417,7 @@ def _results(b: Batch, gone: np.ndarray) -> pa.RecordBatch:
         digests], [pa.int64(), pa.int64(), pa.int64(), span, pa.string()])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 50, batch_bytes: int = 1 << 20) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 50, batch_bytes: int = 1 << 19) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, n_bytes, n_removed, spans, kept_sha256.
 
     ``length`` may be 24 to 79 bytes (a fragment's windows fit a 64-bit mask).
@@ -420,7 +431,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, batch_bytes: int = 1 << 20)
                                 F.col("text").cast("binary").alias("text"))
                     .mapInArrow(pack(length, batch_bytes), f"batch binary, {blob}"), "op9-batches")
     n = batches.count()
-    parts = max(spread, n // 32)  # a part gets the anchors of about 32 batches
+    parts = max(spread, n // 64)  # a part gets the anchors of about 64 batches
     buckets = 8 * parts  # a task holds one bucket at a time
     dealt = batches.mapInArrow(deal_hashes(buckets),
                                "bucket long, batch binary, hashes binary, several binary")
