@@ -201,6 +201,7 @@ class Fragments:
         pick = np.flatnonzero((low <= high) & np.isin(h & _LOW, repeated)) if n else np.zeros(0, int)
         self.first, self.count = low[pick], high[pick] - low[pick] + 1
         self.doc = doc[pick]
+        place_in = at[pick] - self.first               # of the anchor
         span = self.count + length - 1
         full = length + width - 1                      # the longest fragment
         raw = np.zeros((len(pick), full), np.uint8)
@@ -219,6 +220,7 @@ class Fragments:
         self.of = back[self.of] if len(order) else self.of.astype(np.int64)
         one = one[order]
         self.rows, self.windows, self.key = raw[one], self.count[one], h[pick][one]
+        self.anchor = place_in[one]
         self.least = np.full(len(one), np.iinfo(np.int64).max)
         np.minimum.at(self.least, self.of, batch.ids[self.doc])
 
@@ -316,12 +318,13 @@ def deal_fragments(length: int, buckets: int):
             for key, ids, lengths, text, gaps, hashes in zip(*(c.to_pylist() for c in rows.columns)):
                 f = Batch(ids, lengths, text, gaps).fragments(_repeated(hashes), length)
                 out = list(_by_bucket(f.key, buckets))
-                yield _table(["bucket", "batch", "windows", "least", "rows"], [
+                yield _table(["bucket", "batch", "windows", "anchors", "least", "rows"], [
                     [o[0] for o in out], [key] * len(out),
                     [f.windows[a:z].astype(np.uint8).tobytes() for _, a, z in out],
+                    [f.anchor[a:z].astype(np.uint8).tobytes() for _, a, z in out],
                     [f.least[a:z].tobytes() for _, a, z in out],
                     [press.compress(f.rows[a:z].tobytes()) for _, a, z in out]],
-                    [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])
+                    [pa.int64(), *[pa.binary()] * 5])
     return run
 
 
@@ -333,8 +336,9 @@ def order_windows(length: int):
         full = 2 * length - GRAM
         for bucket, rows in _partition(batches):
             windows = np.concatenate([np.frombuffer(r[1], np.uint8) for r in rows]).astype(np.int64)
-            least = np.concatenate([np.frombuffer(r[2], np.int64) for r in rows])
-            raw = np.frombuffer(b"".join(zstandard.decompress(r[3]) for r in rows),
+            anchor = np.concatenate([np.frombuffer(r[2], np.uint8) for r in rows]).astype(np.int64)
+            least = np.concatenate([np.frombuffer(r[3], np.int64) for r in rows])
+            raw = np.frombuffer(b"".join(zstandard.decompress(r[4]) for r in rows),
                                 np.uint8).reshape(-1, full)
             tagged = np.concatenate([windows[:, None].astype(np.uint8), raw], 1)
             _, one, of = np.unique(tagged.view(f"V{full + 1}").ravel(),
@@ -342,26 +346,23 @@ def order_windows(length: int):
             del tagged
             first = np.full(len(one), np.iinfo(np.int64).max)
             np.minimum.at(first, of, least)
-            data, count = raw[one].ravel(), windows[one]
+            data, count, anchor = raw[one].ravel(), windows[one], anchor[one]
             del raw
-            # all window starts of the distinct fragments
-            owner = np.repeat(np.arange(len(one), dtype=np.int32), count)
-            begin = np.cumsum(count) - count
-            starts = np.arange(len(owner)) + np.repeat(np.arange(len(one)) * full - begin, count)
-            order, group = deep_shallow(data, starts, length, SHALLOW)
-            del data, starts
-            head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            size = np.diff(np.append(head, len(group)))
-            lowest = np.minimum.reduceat(first[owner[order]], head)
-            doc = np.empty(len(owner), np.int64)       # least doc_id by window
-            doc[order] = np.repeat(lowest, size)
-            del owner, order, group
-            # masks by occurrence: windows that a smaller doc_id holds
             masks = np.zeros(len(windows), np.uint64)
-            for i in range(int(windows.max())):
-                has = np.flatnonzero(windows > i)
-                gone = doc[begin[of[has]] + i] < least[has]
-                masks[has[gone]] |= _U(1 << i)
+            # equal windows have their anchor at the same place: one order per place
+            for place in range(length - GRAM + 1):
+                start = anchor - place                 # of the window in its fragment
+                own = np.flatnonzero((start >= 0) & (start < count))
+                if not len(own):
+                    continue
+                order, group = deep_shallow(data, own * full + start[own], length, SHALLOW)
+                head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+                lowest = np.minimum.reduceat(first[own[order]], head)
+                doc = np.full(len(one), np.iinfo(np.int64).max)  # least doc_id of the window
+                doc[own[order]] = np.repeat(lowest, np.diff(np.append(head, len(group))))
+                # bits by occurrence: a smaller doc_id holds the window
+                gone = np.flatnonzero(doc[of] < least)
+                masks[gone] |= _U(1) << start[of[gone]].astype(np.uint64)
             cut = np.cumsum([len(r[1]) for r in rows])
             yield _table(["bucket", "batch", "masks"], [
                 [bucket] * len(rows), [r[0] for r in rows],
@@ -440,7 +441,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, batch_bytes: int = 1 << 19)
                      .groupBy("batch").agg(F.collect_list("hashes").alias("hashes")), "op9-repeated")
     cut = batches.join(repeated, "batch").mapInArrow(
         deal_fragments(length, buckets),
-        "bucket long, batch binary, windows binary, least binary, rows binary")
+        "bucket long, batch binary, windows binary, anchors binary, least binary, rows binary")
     masks = store(cut.repartition(parts, "bucket").sortWithinPartitions("bucket", "batch")
                   .mapInArrow(order_windows(length), "bucket long, batch binary, masks binary")
                   .groupBy("batch").agg(F.collect_list(F.struct("bucket", "masks")).alias("masks")),
