@@ -64,3 +64,17 @@ def test_edges(llm_spark):
             (350, [0.0, 0.0])]
     assert _run(llm_spark, rows) == brute(rows, 5)
     assert _run(llm_spark, [(1, [1.0])]) == [] and _run(llm_spark, []) == []
+
+
+def test_copies_that_are_the_longest_vectors(llm_spark):
+    """Squared length 3: its root squared rounds below 3, so the copies' cosine is above 1 in doubles."""
+    assert 3 / (math.sqrt(3) * math.sqrt(3)) > 1
+    ids = np.random.default_rng(5).permutation(60) * 10
+    one = [1 / 256] * 3
+    rows = [(int(i), one) for i in ids[:40]] + [(int(i), [1 / 256, 0.0, 0.0]) for i in ids[40:]]
+    want = brute(rows, 5)
+    assert len(want) == 60
+    assert _run(llm_spark, rows) == want
+    # copies over several buckets, with no floor from the seed and with one
+    assert _run(llm_spark, rows, bucket_rows=4, seed_rows=1) == want
+    assert _run(llm_spark, rows, bucket_rows=4, seed_rows=12) == want

@@ -8,7 +8,7 @@ score so far, at first from one bucket of longest vectors, later also from
 the buckets its task has done.  Divided by the query's length and the bucket's greatest
 length it is the bucket's local cosine threshold:
 
-* above 1, the whole bucket is skipped for the query;
+* above 1 (by more than rounding), the whole bucket is skipped for the query;
 * low, the bucket is pruned by length: only its longest vectors, those that
   reach the threshold even at cosine 1, are candidates (a prefix);
 * high, it is pruned by coordinates: a unit vector at that cosine must lie,
@@ -41,6 +41,8 @@ from txnlake.llm.common import read_table, ready, store
 
 #: Local cosine thresholds from here on are pruned by coordinates.
 COORDINATE_FROM = 0.3
+#: Rounding slack of a local cosine threshold: equal vectors have cosine 1, which doubles may pass.
+SLACK = 1e-6
 FOCUS = 3
 _LAST = 1 << 62  # a null vec_id sorts after all others
 
@@ -96,8 +98,9 @@ def search_bucket(block: Block, uid: np.ndarray, ids: np.ndarray, v: np.ndarray,
         reach = np.where(block.norm > 0, block.floor / block.norm,
                          np.where(block.floor > 0, np.inf, -np.inf))
     prefix = n - np.searchsorted(norm[::-1], reach - 1e-6 * np.maximum(1, np.abs(reach)), "left")
-    by_coordinate = (theta >= COORDINATE_FROM) & (theta <= 1)
-    high, low = _limits(block, np.clip(theta, -1, 1))
+    by_coordinate = (theta >= COORDINATE_FROM) & (theta <= 1 + SLACK)
+    # near 1 an interval is as wide as the root of what is left to 1, so the slack comes off first
+    high, low = _limits(block, np.clip(theta - 1e-12, -1, 1))
     order: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     out = [(np.zeros(0, np.int64), np.zeros(0))] * len(block.ids)
     by_length = np.flatnonzero((theta < COORDINATE_FROM) & (prefix > 0))
