@@ -78,3 +78,29 @@ def test_edges(llm_spark, edges, nothing):
     assert decontam.contaminated(nothing, bench).count() == 0
     assert decontam.contaminated(edges, bench.where("false")).count() == 0
     assert decontam.drop_contaminated(edges, bench.where("false")).count() == edges.count()
+
+
+def test_items_that_repeat_a_phrase(llm_spark):
+    """Few distinct seeds, many words: copies leak, documents with part of the repeats may not."""
+    phrase = " ".join(WORDS[:10])
+    chorus, word = " ".join([phrase] * 20), " ".join(["la"] * 20)
+    own = " ".join(f"u{k}" for k in range(150))
+    rows = [(1, f"x {chorus} y"), (2, f"x {word} y"), (3, " ".join([phrase] * 10)),
+            (4, " ".join([phrase] * 9)), (5, " ".join(["la"] * 9)), (6, f"a {phrase} b {own[:60]}")]
+    items = [(1, chorus), (2, word), (3, f"{own} {phrase}")]
+    assert _leaks(llm_spark, rows, items) == {(1, 1): 1.0, (2, 2): 1.0, (3, 1): .5}
+
+
+def test_seed_bound_drops_no_leak():
+    rnd = random.Random(8)
+    found = 0
+    for _ in range(300):
+        unit = [rnd.choice("abc") for _ in range(rnd.randint(1, 6))]
+        item = (unit * 30)[:rnd.randint(8, 60)] + [rnd.choice("abcde") for _ in range(rnd.randint(0, 12))]
+        k = rnd.randint(0, len(item))
+        doc = item[k:] + ["z"] + item[:k][rnd.randint(0, 8):]
+        want = brute_tiles(item, doc, 5) / len(item)
+        got = decontam.Seeds([(1, " ".join(item))], 5).judge(" ".join(doc), .5)
+        assert [round(share, 9) for _, share, *_ in got] == [round(want, 9)] * (want >= .5)
+        found += want >= .5
+    assert found > 100

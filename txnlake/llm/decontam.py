@@ -2,10 +2,11 @@
 
 The token n-grams (``min_match`` words) of the benchmark items are the seeds.
 A document's n-grams are looked up among them; each (document, item) pair
-with seeds is tiled: the longest common run of unmarked words is marked in
-both texts again and again, down to ``min_match`` words.  Runs are found by
-running Karp-Rabin: word windows of the current search length are hashed
-with a rolling hash and equal hashes are compared word by word.  The share
+whose seeds stand on enough of the item's words is tiled: the longest common
+run of unmarked words is marked in both texts again and again, down to
+``min_match`` words.  Runs are found by running Karp-Rabin: word windows of
+the current search length are hashed with a rolling hash and equal hashes are
+compared word by word.  The share
 of an item's words that the tiles cover is its coverage, so passages whose
 parts were reordered count in full.  A pair at ``threshold`` or more is a
 leak.
@@ -26,7 +27,7 @@ by ``drop_contaminated``.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +77,8 @@ def greedy_tiles(item: list, doc: list, min_match: int) -> list[tuple[int, int,
             places[hb[j]].append(j)
         found = []
         for i in np.flatnonzero(np.isin(ha, hb)).tolist():
+            if not item_free[i]:
+                continue
             for j in places[ha[i]]:
                 if i and j and item_free[i - 1] and doc_free[j - 1] and item[i - 1] == doc[j - 1]:
                     continue  # not the start of its run
@@ -109,10 +112,12 @@ class Seeds:
         self.least = {k: min(min_match, len(w)) for k, w in self.words.items() if w}
         self.code = {w: k + 1 for k, w in enumerate(sorted(set().union(*self.words.values(), set())))}
         self.lengths = sorted(set(self.least.values()))
-        self.by_hash: dict[int, dict[int, list[int]]] = {n: defaultdict(list) for n in self.lengths}
+        # per seed the items that hold it, and how often
+        self.by_hash: dict[int, dict[int, list[tuple[int, int]]]] = {
+            n: defaultdict(list) for n in self.lengths}
         for k, n in self.least.items():
-            for h in set(window_hashes(self.encode(self.words[k]), n).tolist()):
-                self.by_hash[n][h].append(k)
+            for h, times in Counter(window_hashes(self.encode(self.words[k]), n).tolist()).items():
+                self.by_hash[n][h].append((k, times))
         self.sorted = {n: np.array(sorted(t), np.uint64) for n, t in self.by_hash.items()}
 
     def encode(self, words: list[str]) -> np.ndarray:
@@ -123,7 +128,8 @@ class Seeds:
     def seeded(self, words: list[str], threshold: float) -> list[int]:
         """Items whose seeds in the document could reach the threshold."""
         ids = self.encode(words)
-        hits: dict[int, set] = defaultdict(set)
+        hits: dict[int, list] = defaultdict(list)
+        places: dict[int, int] = defaultdict(int)  # of an item, where a hit seed stands
         for n in self.lengths:
             h = window_hashes(ids, n)
             if not len(h):
@@ -131,11 +137,22 @@ class Seeds:
             at = np.searchsorted(self.sorted[n], h)
             known = self.sorted[n][np.minimum(at, len(self.sorted[n]) - 1)] == h
             for x in set(h[known].tolist()):
-                for k in self.by_hash[n][x]:
-                    hits[k].add(x)
-        # each seed covers at most its own words
+                for k, times in self.by_hash[n][x]:
+                    hits[k].append(x)
+                    places[k] += times
+        # a place covers at most the seed's words; what survives that is marked word by word
         return [k for k, xs in hits.items()
-                if len(xs) * self.least[k] >= threshold * len(self.words[k])]
+                if places[k] * self.least[k] / len(self.words[k]) >= threshold
+                and self.reach(k, xs) >= threshold]
+
+    def reach(self, k: int, hits: list[int]) -> float:
+        """Share of the item's words under any occurrence of the seeds: no tiling covers more."""
+        n, words = self.least[k], self.words[k]
+        at = np.flatnonzero(np.isin(window_hashes(self.encode(words), n), np.array(hits, np.uint64)))
+        edges = np.zeros(len(words) + 1, np.int64)
+        edges[at] += 1
+        np.subtract.at(edges, at + n, 1)
+        return np.count_nonzero(np.cumsum(edges[:-1])) / len(words)
 
     def judge(self, text: str | None, threshold: float) -> list[tuple[int, float, int, int]]:
         words = tokens(text)
