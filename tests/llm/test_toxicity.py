@@ -54,3 +54,25 @@ def test_edges(llm_spark, edges, nothing):
     assert toxicity.score_toxicity(nothing, model).count() == 0
     labels = llm_spark.createDataFrame([(5, 1), (6, 0), (1, None), (9, 1)], "doc_id long, toxic int")
     assert toxicity.train(edges, labels) is not None and toxicity.train(nothing, labels).weights == {}
+
+
+def test_long_clean_texts_stay_clean():
+    rows = _corpus(900, 3)
+    model = toxicity.fit([t for _, t, _ in rows[:600]], [y for *_, y in rows[:600]])
+    clean = " ".join(t for _, t, y in rows[600:] if not y)
+    for size in (100_000, 300_000, 1_000_000):
+        text = (clean * (size // len(clean) + 1))[:size]
+        assert model.score(text)[0] < .1
+        assert model.score(f"{text} stone river vileword cloud green.")[0] > .9
+
+
+def test_fit_reads_whole_texts(llm_spark):
+    """Texts over 20,000 characters teach too; the bound is a total, whatever the order of lengths."""
+    rows = [(d, f"{t} " + "stone river cloud. " * 1200, y) for d, t, y in _corpus(60, 4)]
+    assert min(len(t) for _, t, _ in rows) > 20_000
+    docs = documents(llm_spark, [(d, t) for d, t, _ in rows])
+    labels = llm_spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.word("vileword") > 0 or model.word("nastyword") > 0
+    assert [model.score(t)[0] >= .3 for _, t, _ in rows] == [y == 1 for *_, y in rows]
+    assert toxicity.train(docs, labels, train_chars=1).weights == {}

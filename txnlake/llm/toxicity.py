@@ -7,10 +7,17 @@ the gradient of the noisy-or passes through to the sentences.  Scoring
 applies the model to every sentence of every whole text and can name the
 offending sentences.
 
-The model is fitted on the driver from a bounded sample of labelled rows
-(``train_docs`` documents of at most ``train_chars`` characters, by hash
-order); its vocabulary is bounded by that sample.  Scoring is one Arrow pass
-without a shuffle.
+Every clean sentence has some small score, so a plain noisy-or rises with
+length alone.  The bag score is calibrated for the number of sentences n: a
+floor c(n) is taken off each sentence's -log(1 - p), the least one at which n
+sentences like those of the sample's clean texts add up to ``NOISE`` at most.
+For short texts it is 0.  Clean sentences that alone would be an alarm are
+errors and not background, so the floor stays below ``ALARM``, whatever n.
+
+The model is fitted on the driver from whole texts of a bounded sample of
+labelled rows: by hash order, ``train_docs`` of them at most, and no more once
+``train_chars`` characters are reached in total; its vocabulary is bounded by
+that sample.  Scoring is one Arrow pass without a shuffle.
 
 Defined cases: null and empty texts have no sentence; they get the model's
 ``empty`` score, the share of label 1 among the sample's empty texts (0
@@ -22,6 +29,7 @@ pass through unless they carry an output name, which is then replaced.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -38,24 +46,54 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _EDGE = ".,;:!?\"'()[]"
 #: Lengths of the word beginnings that are features besides the word.
 HEADS = (4, 5, 6)
+#: Sum of -log(1 - p) that a clean text of any length may be expected to gather.
+NOISE = 0.05
+#: A sentence's -log(1 - p) that makes a text toxic at the default threshold of 0.3.
+ALARM = -math.log1p(-0.3)
 
 
 def sentences(text: str) -> list[str]:
     return [s for s in _SENTENCE.split(text) if s and not s.isspace()]
 
 
+def _hazard(p: np.ndarray) -> np.ndarray:
+    return -np.log1p(-np.minimum(p, 1 - 1e-12))
+
+
 def features(word: str) -> list[str]:
     word = word.strip(_EDGE)
     return [word, *(f"{word[:n]}*" for n in HEADS if len(word) > n)] if word else []
 
 
+@dataclass
+class Background:
+    """-log(1 - p) of clean sentences: the distinct ``levels``, falling, and the mean excess over each."""
+
+    levels: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    excess: np.ndarray = field(default_factory=lambda: np.zeros(1))
+
+    @classmethod
+    def of(cls, hazards: np.ndarray) -> Background:
+        if not len(hazards):
+            return cls()
+        levels, times = np.unique(hazards, return_counts=True)
+        levels, times = np.append(levels[::-1], 0.0), np.append(times[::-1], 0)
+        above, total = np.cumsum(times), np.cumsum(times * levels)
+        return cls(levels, np.maximum(0, total - above * levels) / len(hazards))
+
+    def floor(self, n: int) -> float:
+        """The least level over which ``n`` clean sentences are expected to gather ``NOISE`` at most."""
+        return float(np.interp(NOISE / n, self.excess, self.levels))
+
+
 @dataclass
 class BagModel:
-    """Word weights, sentence bias and the score of a text without sentences."""
+    """Word weights, sentence bias, the score of a text without sentences, and clean background."""
 
     weights: dict[str, float]
     bias: float
     empty: float
+    background: Background = field(default_factory=Background)
     _known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def word(self, word: str) -> float:
@@ -73,12 +111,13 @@ class BagModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     def score(self, text: str) -> tuple[float, int]:
-        """Noisy-or over the sentences, and the place of the worst sentence (-1: none)."""
+        """Calibrated noisy-or of the sentences, and the place of the worst sentence (-1: none)."""
         parts = sentences(text)
         if not parts:
             return self.empty, -1
         p = self.sentence_scores(parts)
-        return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())), int(p.argmax())
+        over = np.maximum(0, _hazard(p) - self.background.floor(len(p)))
+        return float(-np.expm1(-over.sum())), int(p.argmax())
 
 
 def fit(texts: list[str], labels: list[int], min_docs: int = 4, min_g: float = 16.0,
@@ -129,17 +168,31 @@ def fit(texts: list[str], labels: list[int], min_docs: int = 4, min_g: float = 1
         gb += g.sum() ** 2
         w -= rate * grad / np.sqrt(gw)
         b -= rate * g.sum() / np.sqrt(gb)
-    return BagModel({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-4}, float(b), empty)
+    model = BagModel({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-4}, float(b), empty)
+    clean = [_hazard(model.sentence_scores(sentences(t))) for t, label in full if not label]
+    clean = np.concatenate(clean)
+    model.background = Background.of(clean[clean < ALARM])
+    return model
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = 8000,
-          train_chars: int = 20_000) -> BagModel:
-    """Fit on at most ``train_docs`` rows of ``labels(doc_id, toxic)`` whose text is not too long."""
-    few = (labels.where("toxic is not null").select("doc_id", "toxic")
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(train_docs))
+          train_chars: int = 48_000_000) -> BagModel:
+    """Fit on whole texts of ``labels(doc_id, toxic)`` rows: ``train_docs`` at most, in hash order.
+
+    The row that reaches ``train_chars`` characters in total is the last one.
+    """
+    order = [F.xxhash64("doc_id"), "doc_id", "toxic"]
+    few = labels.where("toxic is not null").select("doc_id", "toxic").orderBy(*order).limit(train_docs)
     # at most train_docs ids: a bounded broadcast
-    rows = (docs.where(F.length(F.coalesce("text", F.lit(""))) <= train_chars)
-            .select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    chars = (docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(few), "doc_id")
+             .groupBy("doc_id", "toxic").agg(F.sum("n").alias("n")).orderBy(*order).collect())
+    total = np.cumsum([r.n or 0 for r in chars])
+    used = [(r.doc_id, r.toxic) for r in chars[:int(np.searchsorted(total, train_chars)) + 1]]
+    if not used:
+        return fit([], [])
+    kept = few.join(F.broadcast(docs.sparkSession.createDataFrame(used, few.schema)),
+                    ["doc_id", "toxic"], "left_semi")
+    rows = (docs.select("doc_id", "text").join(F.broadcast(kept), "doc_id")
             .orderBy("doc_id", "toxic", "text").collect())
     return fit([r.text or "" for r in rows], [int(r.toxic) for r in rows])
 
