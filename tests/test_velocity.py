@@ -136,3 +136,13 @@ def test_alert_message_shape(spark):
     assert msg.key == "A1"
     assert body["window"] == {"start": "2024-01-01T00:00:00+00:00", "end": "2024-01-01T00:05:00+00:00"}
     assert body["sum_5m"] == "150.000000" and body["count_5m"] == 1 and body["tx_example"] == "tx9"
+
+
+def test_events_without_a_time_are_kept(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(k, f"t{k}", "a" if k != 4 else None, Decimal(k), "USD", at, "c") for k, at in enumerate(
+        [None, t, None, t + dt.timedelta(seconds=10), None, None, t + dt.timedelta(days=3)], 1)]
+    got = {r.seq: (r.count_5m, r.sum_5m) for r in
+           velocity.trailing_window(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (1, 1), 3: (2, 4), 5: (3, 9), 6: (4, 15),  # by arrival among themselves
+                   2: (1, 2), 4: (1, 4), 7: (1, 7)}

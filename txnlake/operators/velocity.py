@@ -17,6 +17,10 @@ of all events) into one task.  They are taken within ``(account, time
 slice)``; what earlier slices leave over is added from per-slice totals,
 whose number per account is bounded by the time span.  No row is dropped or
 capped; each is doubled once.
+
+Events without a time are peers, as in SQL: their window holds the account's
+events without a time that arrived no later.  They never leave it, and count
+in no other window.
 """
 
 from __future__ import annotations
@@ -39,12 +43,14 @@ def trailing_window(events: DataFrame, cfg: config.VelocityConfig = config.Veloc
     base = events.withColumn("_us", epoch_micros(ts))
     enters = F.struct(F.col("_us").alias("at"), F.lit(1).alias("sign"))
     leaves = F.struct((F.col("_us") + w_us + 1).alias("at"), F.lit(-1).alias("sign"))
-    steps = base.withColumn("_step", F.explode(F.array(enters, leaves))) \
+    steps = base.withColumn("_step", F.explode(F.when(F.col("_us").isNull(), F.array(enters))
+                                               .otherwise(F.array(enters, leaves)))) \
                 .withColumn("_slice", F.floor(F.col("_step.at") / F.lit(s_us))) \
                 .withColumn("_amount", F.col("_step.sign") * F.col(amount))
     totals = steps.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_of")).agg(
         F.sum("_step.sign").alias("_n"), F.sum("_amount").alias("_s"))
-    earlier = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_key", F.col("_of").isNull()).orderBy("_of") \
+                    .rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select("_key", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_cn"),
                             F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_cs"))
     # departures come before entries at the same time; equal times in arrival order
@@ -52,7 +58,8 @@ def trailing_window(events: DataFrame, cfg: config.VelocityConfig = config.Veloc
                    .rowsBetween(Window.unboundedPreceding, 0)
     counted = steps.withColumn("_rn", F.sum("_step.sign").over(so_far)) \
                    .withColumn("_rs", F.sum("_amount").over(so_far)).where(F.col("_step.sign") == 1)
-    joined = counted.join(carried, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")))
+    joined = counted.join(carried, F.col(key).eqNullSafe(F.col("_key"))
+                          & F.col("_slice").eqNullSafe(F.col("_of")))
     return joined.select(*events.columns, (F.col("_rn") + F.col("_cn")).alias("count_5m"),
                          (F.col("_rs") + F.col("_cs")).cast(SUM_TYPE).alias("sum_5m"))
 
