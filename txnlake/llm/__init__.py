@@ -1 +1 @@
-"""Training-data operators (numbered 1-10) and their registered queries."""
+"""Training-data operators (numbered 1-13) and their registered queries."""

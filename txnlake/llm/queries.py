@@ -12,6 +12,7 @@ from txnlake.llm.token_store import op8_token_ids
 from txnlake.llm.topk import OP6_SQL, op6_top_k
 from txnlake.llm.toxicity import op3_toxicity
 from txnlake.llm.url_filter import op10_url_filters
+from txnlake.llm.vector_dedup import OP13_SQL, op13_vector_dedup
 
 QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
@@ -24,9 +25,11 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op8_token_ids": op8_token_ids,
     "op10_url_filters": op10_url_filters,
+    "op13_vector_dedup": op13_vector_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op6_top_k": OP6_SQL,
+    "op13_vector_dedup": OP13_SQL,
 }
