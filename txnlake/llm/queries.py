@@ -6,6 +6,7 @@ from txnlake.llm.decontam import op2_decontamination
 from txnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from txnlake.llm.minhash import op7_near_duplicates
 from txnlake.llm.packing import op1_best_fit_packing
+from txnlake.llm.ranked_search import OP11_SQL, op11_ranked_search
 from txnlake.llm.sharding import op5_sharding
 from txnlake.llm.suffix_dedup import op9_suffix_dedup
 from txnlake.llm.token_store import op8_token_ids
@@ -25,11 +26,13 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op8_token_ids": op8_token_ids,
     "op10_url_filters": op10_url_filters,
+    "op11_ranked_search": op11_ranked_search,
     "op13_vector_dedup": op13_vector_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op6_top_k": OP6_SQL,
+    "op11_ranked_search": OP11_SQL,
     "op13_vector_dedup": OP13_SQL,
 }
