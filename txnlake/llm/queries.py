@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txnlake.llm.collocations import OP12_SQL, op12_collocations
 from txnlake.llm.decontam import op2_decontamination
 from txnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from txnlake.llm.minhash import op7_near_duplicates
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op10_url_filters": op10_url_filters,
     "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
     "op13_vector_dedup": op13_vector_dedup,
 }
 
@@ -34,5 +36,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op6_top_k": OP6_SQL,
     "op11_ranked_search": OP11_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_vector_dedup": OP13_SQL,
 }
