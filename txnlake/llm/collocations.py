@@ -3,15 +3,16 @@
 Texts are split into pieces and words as the contract says; all counts are per
 language.  Three passes read the whole texts:
 
-1. words are counted; a phrase can only reach the support if all its words do;
-2. the corpus is dealt into at most ``shards`` shards, and each shard is mined
-   completely: every phrase (by a 64-bit fingerprint) is counted in its shard
-   and is locally frequent there if its count reaches the support times the
-   shard's share of all words.  The shares add up to 1, so a phrase that
-   reaches the support is locally frequent in at least one shard;
-3. the phrases that are locally frequent anywhere are counted globally, as
-   strings, and those that reach the support are exact.
-
+1. the corpus is dealt into ``shards`` shards, and each is mined completely
+   for words and pairs: those that reach the support divided by the number of
+   shards are locally frequent.  A phrase that reaches the support in all must
+   do so in at least one shard, however the rows are dealt;
+2. the same for phrases of three to five words, of which only those can be
+   frequent whose words and pairs are locally frequent somewhere;
+3. what is locally frequent anywhere is counted globally, as strings, and is
+   kept if it reaches the support: these counts are exact.
+
+The first two passes count 64-bit fingerprints.
 What passes 2 and 3 look for reaches the tasks as a Bloom filter of a fixed
 size (``filter_bits``), whatever the corpus holds.  A filter only ever lets
 too much through (so does a clash of fingerprints): what it wrongly lets
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,11 +52,15 @@ _CHARS = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" els
                for c in range(256))
 SLICE = 1 << 20
 _U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)
 _PROBES = 2
 
 
 def word_slices(text: bytes, size: int = SLICE) -> Iterator[list[bytes]]:
-    """Words of a text, with b"\\n" where a piece ends, a slice at a time; no word is cut."""
+    """Words of a text, with b"\\n" where a piece ends and b"" between spaces, a slice at a time.
+
+    No word is cut.
+    """
     start = 0
     while start < len(text):
         stop = start + size
@@ -68,14 +74,14 @@ def word_slices(text: bytes, size: int = SLICE) -> Iterator[list[bytes]]:
                 cut = len(part) - 1 if ends else -1
             part = part if cut < 0 else part[:cut + 1]
         start += len(part)
-        yield [w for w in part.replace(b"\n", b" \n ").split(b" ") if w]
+        yield part.replace(b"\n", b" \n ").split(b" ")
 
 
 class _Ids(dict):
     """Words of one language -> local ids, given out as words come."""
 
     def __init__(self, lang: str, names: list[tuple[str, bytes]]):
-        super().__init__({b"\n": 0})
+        super().__init__({b"\n": 0, b"": -1})
         self.lang, self.names = lang, names
 
     def __missing__(self, word: bytes) -> int:
@@ -98,8 +104,10 @@ class Stream:
     def add(self, lang: str, words: list[bytes]) -> None:
         if lang not in self.langs:
             self.langs[lang] = _Ids(lang, self.names)
-        self.parts.append(np.fromiter(map(self.langs[lang].__getitem__, words), np.int64, len(words)))
-        self.tokens += len(words)
+        part = np.fromiter(map(self.langs[lang].__getitem__, words), np.int64, len(words))
+        part = part[part >= 0]
+        self.parts.append(part)
+        self.tokens += len(part)
 
     def end(self) -> None:
         self.parts.append(np.zeros(1, np.int64))
@@ -149,22 +157,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(29))
 
 
-def phrases(stream: Stream, frequent: np.ndarray, hashes: np.ndarray):
-    """(size, places, fingerprints) of the phrases whose words are all ``frequent`` (by local id).
+def phrases(stream: Stream, hashes: np.ndarray, known: "Bloom | None" = None):
+    """(size, ids, places, fingerprints) of the phrases in a stream, by falling pruning.
 
-    A phrase belongs to the stream that holds its last word as a new one.
+    Without ``known`` all words and pairs; with it phrases of up to five words
+    whose words and pairs it holds.  A phrase belongs to the stream that holds
+    its last word as a new one.
     """
     ids = np.concatenate(stream.parts)
-    fit, h = frequent[ids], hashes[ids]
-    places, prints = np.flatnonzero(fit), h[fit]
-    for size in range(2, LONGEST + 1):
-        going = places + size <= len(ids)
-        places, prints = places[going], prints[going]
-        going = fit[places + size - 1]
-        places = places[going]
-        prints = mix(prints[going] * _U(0x9E3779B97F4A7C15) + h[places + size - 1])
-        new = places + size > stream.old
-        yield size, ids, places[new], prints[new]
+    h = hashes[ids]
+    fit = ids > 0
+    if known:
+        fit &= known.holds(hashes)[ids]
+    at = np.flatnonzero(fit)
+    yield 1, ids, at[at >= stream.old], h[at[at >= stream.old]]
+    at = np.flatnonzero(fit[:-1] & fit[1:])
+    prints = mix(h[at] * _STEP + h[at + 1])
+    if known:
+        held = known.holds(prints)
+        at, prints = at[held], prints[held]
+    pair = np.zeros(len(ids), bool)
+    pair[at] = True
+    for size in range(2, LONGEST + 1 if known else 3):
+        if size > 2:
+            going = at + size <= len(ids)
+            at, prints = at[going], prints[going]
+            going = pair[at + size - 2]
+            at = at[going]
+            prints = mix(prints[going] * _STEP + h[at + size - 1])
+        new = at + size > stream.old
+        yield size, ids, at[new], prints[new]
 
 
 class Bloom:
@@ -192,104 +214,89 @@ def bloom(prints: DataFrame, bits: int) -> Bloom:
     return Bloom(out, bits)
 
 
-def _words(most: int):
-    """(lang, text) -> (lang, word, h, n)."""
+def _mine(known, shards: int, most: int):
+    """(lang, text) -> (shard, h, n): words and pairs, or, if pairs are known, longer phrases."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for stream in streams(batches, most):
-            ids = np.concatenate(stream.parts)[stream.old:]
-            n = np.bincount(ids, minlength=len(stream.names) + 1)[1:]
-            rows, names, h = np.flatnonzero(n), stream.names, stream.hashes()[1:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([names[x][0] for x in rows], pa.string()),
-                 pa.array([names[x][1] for x in rows], pa.string()),
-                 pa.array(h[rows].view(np.int64)), pa.array(n[rows].astype(np.int64))],
-                ["lang", "word", "h", "n"])
-    return run
-
-
-def _mine(shared, shards: int, most: int):
-    """(lang, text) -> (shard, h, n): phrases of the task's shard; a null h counts its words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Bloom(*shared.value)
+        held = known and Bloom(*known.value)
         shard = TaskContext.get().partitionId() % shards
         for stream in streams(batches, most):
-            h = stream.hashes()
-            frequent = words.holds(h)
-            frequent[0] = False
-            found, counts = [], []
-            for _, _, _, prints in phrases(stream, frequent, h):
-                x, n = np.unique(prints, return_counts=True)
-                found.append(x)
-                counts.append(n)
-            total = int((np.concatenate(stream.parts)[stream.old:] > 0).sum())
-            prints = np.concatenate(found).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(prints) + 1, shard, np.int32)),
-                 pa.concat_arrays([pa.array(prints), pa.nulls(1, pa.int64())]),
-                 pa.array(np.append(np.concatenate(counts), total))], ["shard", "h", "n"])
+            for size, _, _, prints in phrases(stream, stream.hashes(), held):
+                if held is None or size > 2:
+                    x, n = np.unique(prints, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(x), shard, np.int32)), pa.array(x.view(np.int64)),
+                         pa.array(n.astype(np.int64))], ["shard", "h", "n"])
     return run
 
 
-def _count(word_filter, phrase_filter, most: int):
-    """(lang, text) -> (lang, phrase, size, n) of the phrases that the filters let through."""
+def _count(pairs, longer, most: int):
+    """(lang, text) -> (lang, phrase, size, n) of what the filters hold; size 0: all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, wanted = Bloom(*word_filter.value), Bloom(*phrase_filter.value)
+        short, long = Bloom(*pairs.value), Bloom(*longer.value)
         for stream in streams(batches, most):
-            h = stream.hashes()
-            frequent = words.holds(h)
-            frequent[0] = False
-            names = stream.names
-            for size, ids, places, prints in phrases(stream, frequent, h):
-                hit = wanted.holds(prints)
-                places, prints = places[hit], prints[hit]
-                order = np.argsort(prints, kind="stable")
+            langs = pa.array([g for g, _ in stream.names], pa.string())
+            words = pa.array([w for _, w in stream.names], pa.string())
+            ids = np.concatenate(stream.parts)[stream.old:]
+            n = pa.table([langs, pa.array(np.bincount(ids, minlength=len(words) + 1)[1:])], ["lang", "n"])
+            n = n.group_by("lang").aggregate([("n", "sum")]).combine_chunks()
+            yield _rows(0, n.column("lang").combine_chunks(), pa.array([""] * len(n), pa.string()),
+                        n.column("n_sum").to_numpy())
+            for size, ids, places, prints in phrases(stream, stream.hashes(), short):
+                if size > 2:
+                    hit = long.holds(prints)
+                    places, prints = places[hit], prints[hit]
+                if size == 1:
+                    first = ids[places]
+                    n = np.bincount(first, minlength=1)
+                    first = np.flatnonzero(n)
+                    yield _rows(1, langs.take(pa.array(first - 1)), words.take(pa.array(first - 1)), n[first])
+                    continue
+                order = np.argsort(prints)
                 places, prints = places[order], prints[order]
                 new = prints[1:] != prints[:-1]
                 # equal fingerprints of other words are phrases of their own
                 for k in range(size):
                     new |= ids[places[1:] + k] != ids[places[:-1] + k]
                 starts = np.flatnonzero(np.concatenate([[True], new])) if len(places) else np.zeros(0, int)
-                n = np.diff(np.append(starts, len(places)))
-                spans = [[names[x - 1] for x in ids[p:p + size].tolist()] for p in places[starts].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s[0][0] for s in spans], pa.string()),
-                     pa.array([b" ".join(w for _, w in s) for s in spans], pa.string()),
-                     pa.array(np.full(len(spans), size, np.int32)), pa.array(n.astype(np.int64))],
-                    ["lang", "phrase", "size", "n"])
+                at = places[starts]
+                text = pa.compute.binary_join_element_wise(
+                    *[words.take(pa.array(ids[at + k] - 1)) for k in range(size)], " ")
+                yield _rows(size, langs.take(pa.array(ids[at] - 1)), text,
+                            np.diff(np.append(starts, len(places))))
     return run
 
 
+def _rows(size: int, langs: pa.Array, texts: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [langs, texts, pa.array(np.full(len(langs), size, np.int32)), pa.array(n, pa.int64())],
+        ["lang", "phrase", "size", "n"])
+
+
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT,
-                     shards: int = 16, filter_bits: int = 1 << 27, tokens: int = 1 << 21):
+                     shards: int = 16, filter_bits: int = 1 << 27, tokens: int = 1 << 20):
     """((lang, phrase, size, a) with a >= support, sizes 1 to 5; (lang, n): all word occurrences)."""
     spark = docs.sparkSession
-    share = spark.sparkContext.broadcast
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
                         F.col(text).cast("binary").alias("text"))
-    words = store(texts.mapInArrow(_words(tokens), "lang string, word string, h long, n long")
-                  .groupBy("lang", "word").agg(F.first("h").alias("h"), F.sum("n").alias("n")), "op12-words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    single = words.where(F.col("n") >= support)
-    word_filter = bloom(single, filter_bits)
-    word_filter = share((word_filter.words, word_filter.bits))
-    mined = store(texts.mapInArrow(_mine(word_filter, shards, tokens), "shard int, h long, n long")
-                  .groupBy("shard", "h").agg(F.sum("n").alias("n")), "op12-mined")
-    sizes = dict(mined.where("h is null").select("shard", "n").collect())
-    whole = sum(sizes.values())
-    # n >= support * share, in whole numbers
-    least = F.coalesce(*[F.when(F.col("shard") == s, F.lit(-(-support * n // whole))) for s, n in sizes.items()
-                         if whole], F.lit(1))
-    local = mined.where(F.col("h").isNotNull() & (F.col("n") >= least)).select("h").distinct()
-    phrase_filter = bloom(local, filter_bits)
-    phrase_filter = share((phrase_filter.words, phrase_filter.bits))
-    counted = texts.mapInArrow(_count(word_filter, phrase_filter, tokens),
-                               "lang string, phrase string, size int, n long")
-    many = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
-    frequent = store(many.unionByName(single.select(
-        "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("a"))), "op12-frequent")
-    for used in (word_filter, phrase_filter):
+
+    def locally_frequent(known=None):
+        mined = texts.mapInArrow(_mine(known, shards, tokens), "shard int, h long, n long")
+        found = mined.groupBy("shard", "h").agg(F.sum("n").alias("n")).where(
+            F.col("n") >= -(-support // shards))
+        held = bloom(found.select("h"), filter_bits)
+        return spark.sparkContext.broadcast((held.words, held.bits))
+
+    pairs = locally_frequent()
+    longer = locally_frequent(pairs)
+    counted = store(texts.mapInArrow(_count(pairs, longer, tokens),
+                                     "lang string, phrase string, size int, n long")
+                    .groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a"))
+                    .where((F.col("a") >= support) | (F.col("size") == 0)), "op12-frequent")
+    for used in (pairs, longer):
         used.unpersist()
-    return frequent, totals
+    # a file of its own: its size, one row per language, decides how it is joined
+    totals = store(counted.where("size = 0").select("lang", F.col("a").alias("n")), "op12-totals")
+    return counted.where("size > 0"), totals
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT,
