@@ -1,71 +1,229 @@
-"""As-of (point-in-time) lookup of SCD2 versions.
+"""As-of (point-in-time) lookup of SCD2 versions, and joins of two histories.
 
 Semantics: for each fact row, the version of its business key with the
 latest ``valid_from`` among those whose half-open interval
 ``[valid_from, valid_to)`` contains the fact time; exactly one, also where
 intervals overlap (ties: the higher version).
 
-Plan: two equi-joins with a unique right side each, so a fact can't be
-multiplied.
+``segments`` first cuts the versions into intervals that don't overlap: a
+version holds from its start until it ends or the next one starts.  Where a
+version ends before the next starts while an earlier one still runs, that one
+takes over; such stretches exist only where late changes made intervals
+overlap.  They are filled by a sweep over the ends, per key and time slice.
 
-* Closed versions are gathered per ``(business key, calendar month)`` they
-  overlap; a fact meets the one row of its key and month and picks the latest
-  version of that list, and a hot key's facts are spread over its months.
-* Open versions are gathered per key.
-
-The later of both hits wins.  No side is hinted for broadcast here: the month
-lists are materialised by an aggregation first, so what AQE measures is their
-real size.  Skewed keys on the fact side are split by AQE.
+The lookup then is one pass: facts and segment starts of a key and time slice
+are ordered by time, and each fact takes the last start before it, or, if its
+slice has none yet, the segment carried in from the key's earlier slices.  One
+row per (key, slice) is carried; nothing is gathered into lists, and a hot
+key's facts and versions are spread over its slices.  Facts without a key or
+time match nothing and are dealt out by a hash of the row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICE_SECONDS = 30 * 86400
 
-def month_index(ts: Column) -> Column:
-    return (F.year(ts) * 12 + F.month(ts) - 1).cast("int")
 
+def time_slice(ts: Column, seconds: int = SLICE_SECONDS) -> Column:
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
 
-def expand_by_month(closed: DataFrame) -> DataFrame:
-    """One row per (closed version, calendar month it overlaps)."""
-    start = month_index(F.col("valid_from"))
-    end = month_index(F.col("valid_to"))
-    # inverted intervals match nothing: give them no bucket
-    months = F.when(end >= start, F.sequence(start, end)).otherwise(F.array().cast("array<int>"))
-    return closed.withColumn("_month", F.explode(months))
 
+def _ahead(rows: DataFrame, key: Sequence[str], value: Column, order: Sequence[Column]) -> DataFrame:
+    """Adds ``_next``: ``value`` of the row after this one within the key, across slice borders."""
+    at = [*key, "_slice"]
+    firsts = rows.groupBy(*at).agg(F.min(F.struct(*order, value.alias("_v"))).alias("_first"))
+    later = Window.partitionBy(*key).orderBy(F.desc("_slice"))
+    firsts = firsts.select(*at, F.lag("_first._v").over(later).alias("_border"))
+    within = Window.partitionBy(*at).orderBy(*order)
+    return rows.join(firsts, at).withColumn("_next", F.coalesce(F.lead(value).over(within), "_border")) \
+        .drop("_border")
 
-def asof_lookup(facts: DataFrame, fact_key: Column, fact_ts: str, dim: DataFrame,
-                dim_key: str, take: Sequence[str], prefix: str, how: str = "left") -> DataFrame:
-    """Attach ``take`` columns (renamed ``prefix + col``) of the version valid at ``fact_ts``.
 
-    ``how="inner"`` keeps only facts that resolve.
+def _reached(rows: DataFrame, key: Sequence[str], end: Column, order: Sequence[Column]) -> DataFrame:
+    """Adds ``_reach``: the greatest ``end`` of the rows before this one within the key."""
+    at, before = [*key, "_slice"], (Window.unboundedPreceding, -1)
+    most = rows.groupBy(*at).agg(F.max(end).alias("_most"))
+    most = most.select(*at, F.max("_most").over(
+        Window.partitionBy(*key).orderBy("_slice").rowsBetween(*before)).alias("_earlier"))
+    within = F.max(end).over(Window.partitionBy(*at).orderBy(*order).rowsBetween(*before))
+    return rows.join(most, at).withColumn("_reach", F.greatest(within, "_earlier")).drop("_earlier")
+
+
+def segments(dim: DataFrame, key: str, take: Sequence[str], overlapping: bool = True,
+             seconds: int = SLICE_SECONDS) -> DataFrame:
+    """(_key, _from, _to, _take): disjoint intervals; an open end is null.
+
+    ``overlapping=False`` is for versions that are known not to overlap (a
+    dimension whose load checked it): they are cut at the next start only.
     """
+    number = F.col("version") if "version" in dim.columns else F.lit(0)
+    rows = dim.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
+        number.alias("_number"), F.struct(*take).alias("_take"),
+        time_slice(F.col("valid_from"), seconds).alias("_slice"))
+    # inverted intervals hold nothing
+    rows = rows.where(F.col("_to").isNull() | (F.col("_to") > F.col("_from")))
+    order = [F.col("_from"), F.col("_number")]
+    cut = _ahead(rows, ["_key"], F.col("_from"), order)
+    own = cut.select("_key", "_from", F.least("_to", "_next").alias("_to"), "_take")
+    if overlapping:
+        own = own.unionByName(_fill(cut, order, seconds))
+    return own.where(F.col("_to").isNull() | (F.col("_to") > F.col("_from")))
+
+
+def _fill(cut: DataFrame, order: list[Column], seconds: int) -> DataFrame:
+    """Segments of versions that take over when a later one has ended.
+
+    A gap opens at the end of a version that ends before the next start while
+    an earlier version still runs, and closes at that start or when the last
+    of the earlier ones ends.  Gaps are cut at slice borders; versions that run
+    into a slice with a gap, and start before it, are swept there.
+    """
+    far = F.lit("9999-12-31").cast("timestamp_ntz")
+    end = F.coalesce("_to", far)
+    gaps = _reached(cut, ["_key"], end, order).where(
+        (end < F.coalesce("_next", far)) & (F.col("_reach") > end)).select(
+        "_key", F.col("_to").alias("_open"), F.least(F.coalesce("_next", far), "_reach").alias("_shut"))
+    last = time_slice(F.col("_shut") - F.expr("INTERVAL 1 MICROSECOND"), seconds)
+    # an open gap (up to 9999) needs no more slices than there are versions' ends in it
+    ends = cut.select("_key", time_slice(end, seconds).alias("_at")).where(F.col("_at") < time_slice(far, seconds))
+    ends = ends.groupBy("_key").agg(F.max("_at").alias("_at"))
+    gaps = gaps.withColumn("_first", time_slice(F.col("_open"), seconds)).join(ends, "_key").withColumn(
+        "_last", F.least(last, F.greatest("_at", "_first")))
+    gaps = gaps.select("_key", "_open", "_shut", F.explode(F.sequence("_first", "_last")).alias("_slice"), "_last")
+    begin = lambda s: F.timestamp_micros(s * (seconds * 1_000_000)).cast("timestamp_ntz")
+    gaps = gaps.select("_key", "_slice", F.greatest("_open", begin(F.col("_slice"))).alias("_from"),
+                       F.when(F.col("_slice") == F.col("_last"), F.col("_shut"))
+                       .otherwise(begin(F.col("_slice") + 1)).alias("_to"))
+    spots = gaps.select("_key", "_slice").distinct()
+    # a version belongs to the slices with gaps that it runs into
+    first = time_slice(F.col("_from"), seconds)
+    runs = cut.select("_key", "_from", end.alias("_to"), "_number", "_take", first.alias("_a"),
+                      time_slice(end, seconds).alias("_b"))
+    runs = runs.join(spots, "_key").where(F.col("_slice").between(F.col("_a"), F.col("_b"))).select(
+        "_key", "_slice", "_from", "_to", "_number", "_take")
+    none = F.lit(None)
+    rows = runs.unionByName(gaps.select(
+        "_key", "_slice", "_from", "_to", none.cast("int").alias("_number"),
+        none.cast(cut.schema["_take"].dataType).alias("_take")))
+    plain = rows.select("_key", "_slice", F.unix_micros(F.col("_from").cast("timestamp")).alias("_f"),
+                        F.unix_micros(F.col("_to").cast("timestamp")).alias("_t"), "_number",
+                        F.to_json("_take").alias("_json"))
+    kind = cut.schema["_key"].dataType.simpleString()
+    swept = plain.groupBy("_key", "_slice").applyInPandas(
+        _sweep, f"_key {kind}, _f bigint, _t bigint, _json string")
+    back = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    to = back(F.col("_t"))
+    return swept.select("_key", back(F.col("_f")).alias("_from"), F.when(to < far, to).alias("_to"),
+                        F.from_json("_json", cut.schema["_take"].dataType).alias("_take"))
+
+
+def _sweep(rows: pd.DataFrame) -> pd.DataFrame:
+    """For each gap (no number): who holds it from when to when; latest start, then number, wins."""
+    gaps = rows[rows["_number"].isna()].sort_values("_f")
+    runs = rows[rows["_number"].notna()].sort_values("_f", kind="stable")
+    starts = list(zip(runs["_f"], runs["_number"], runs["_t"], runs["_json"]))
+    active: list = []
+    out, at = [], 0
+    for begin, shut in zip(gaps["_f"], gaps["_t"]):
+        while at < len(starts) and starts[at][0] <= begin:
+            f, number, t, body = starts[at]
+            heapq.heappush(active, (-f, -number, t, body))
+            at += 1
+        while begin < shut:
+            while active and active[0][2] <= begin:
+                heapq.heappop(active)
+            if not active:
+                break
+            stop = min(active[0][2], shut)
+            out.append((begin, stop, active[0][3]))
+            begin = stop
+    frame = pd.DataFrame(out, columns=["_f", "_t", "_json"])
+    frame.insert(0, "_key", [rows["_key"].iloc[0]] * len(out))
+    return frame.astype({"_f": "int64", "_t": "int64"})
+
+
+def lookup(facts: DataFrame, fact_key: Column, fact_ts: str, parts: DataFrame, prefix: str,
+           how: str = "left", seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Attach the columns of ``parts`` (from ``segments``) that hold at ``fact_ts``."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    order = F.col("version") if "version" in dim.columns else F.lit(0)
-    version = F.struct(F.col("valid_from").alias("vf"), order.alias("vn"),
-                       F.col("valid_to").alias("vt"),
-                       *[F.col(c).alias(f"t{i}") for i, c in enumerate(take)]).alias("_v")
-    closed = expand_by_month(dim.where(F.col("valid_to").isNotNull()))
-    lists = closed.select(F.col(dim_key).alias("_cdk"), F.col("_month").alias("_cm"), version) \
-                  .groupBy("_cdk", "_cm").agg(F.collect_list("_v").alias("_closed"))
-    open_ = dim.where(F.col("valid_to").isNull()).select(F.col(dim_key).alias("_odk"), version) \
-               .groupBy("_odk").agg(F.collect_list("_v").alias("_open"))
-
+    take = parts.schema["_take"].dataType.names
+    held = F.struct("_to", "_take")
     ts = F.col(fact_ts)
-    keyed = facts.withColumn("_fk", fact_key).withColumn("_fm", month_index(ts))
-    j = keyed.join(lists, (F.col("_fk") == F.col("_cdk")) & (F.col("_fm") == F.col("_cm")), "left")
-    j = j.join(open_, F.col("_fk") == F.col("_odk"), "left")
-    best_closed = F.array_max(F.filter("_closed", lambda v: (v["vf"] <= ts) & (ts < v["vt"])))
-    best_open = F.array_max(F.filter("_open", lambda v: v["vf"] <= ts))
-    out = j.select(*[j[c] for c in facts.columns],
-                   F.greatest(best_closed, best_open).alias("_hit"))
+    row = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    known = fact_key.isNotNull() & ts.isNotNull()
+    asked = facts.select(
+        fact_key.alias("_key"),
+        F.when(known, time_slice(ts, seconds)).otherwise(F.xxhash64(row)).alias("_slice"),
+        ts.alias("_at"), F.lit(1).alias("_kind"), row.alias("_row"), F.lit(None).cast(
+            parts.select(held.alias("h")).schema["h"].dataType).alias("_held"))
+    given = parts.select(
+        "_key", time_slice(F.col("_from"), seconds).alias("_slice"), F.col("_from").alias("_at"),
+        F.lit(0).alias("_kind"), F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"),
+        held.alias("_held"))
+    # what a (key, slice) begins with: the last segment of the key's earlier slices
+    last = given.groupBy("_key", "_slice").agg(F.max(F.struct("_at", "_held")).alias("_last"))
+    needed = asked.where(known).select("_key", "_slice").distinct().withColumn(
+        "_last", F.lit(None).cast(last.schema["_last"].dataType))
+    spots = last.unionByName(needed).groupBy("_key", "_slice").agg(F.max("_last").alias("_last"))
+    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spots.select("_key", "_slice", F.last("_last", ignorenulls=True).over(before).alias("_in")).where(
+        F.col("_in").isNotNull()).select(
+        "_key", "_slice", F.lit(None).cast("timestamp_ntz").alias("_at"), F.lit(-1).alias("_kind"),
+        F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"), F.col("_in._held").alias("_held"))
+    so_far = Window.partitionBy("_key", "_slice").orderBy("_at", "_kind").rowsBetween(
+        Window.unboundedPreceding, 0)
+    met = asked.unionByName(given).unionByName(carried).withColumn(
+        "_hit", F.last("_held", ignorenulls=True).over(so_far)).where("_kind = 1")
+    hit = F.col("_key").isNotNull() & F.col("_hit").isNotNull() & (
+        F.col("_hit._to").isNull() | (F.col("_at") < F.col("_hit._to")))
     if how == "inner":
-        out = out.where(F.col("_hit").isNotNull())
-    return out.select(*facts.columns, *[F.col(f"_hit.t{i}").alias(prefix + c)
-                                        for i, c in enumerate(take)])
+        met = met.where(hit)
+    return met.select(*[F.col(f"_row.`{c}`").alias(c) for c in facts.columns],
+                      *[F.when(hit, F.col(f"_hit._take.`{c}`")).alias(prefix + c) for c in take])
+
+
+def asof_lookup(facts: DataFrame, fact_key: Column, fact_ts: str, dim: DataFrame,
+                dim_key: str, take: Sequence[str], prefix: str, how: str = "left",
+                overlapping: bool = True) -> DataFrame:
+    """Attach ``take`` columns (renamed ``prefix + col``) of the version valid at ``fact_ts``.
+
+    ``how="inner"`` keeps only facts that resolve.
+    """
+    return lookup(facts, fact_key, fact_ts, segments(dim, dim_key, take, overlapping), prefix, how)
+
+
+def join_histories(left: DataFrame, via: str, right: DataFrame) -> DataFrame:
+    """The history of ``left`` cut where the ``right`` version it refers to changes.
+
+    ``left`` and ``right`` are ``segments``; field ``via`` of a left segment is
+    its key in ``right``.  Returns segments of ``left`` whose ``_take`` has the
+    fields of both sides; right fields are null while the reference resolves to
+    nothing.  Pieces start where a left segment starts or, within one, where a
+    right segment starts or ends; both kinds are looked up as of their start,
+    so no pair of versions that don't meet is formed.
+    """
+    refer = F.col(f"_take.{via}")
+    # keys of the left side that ever refer to a right key: as many as there are references
+    refs = left.select(F.col("_key").alias("_lk"), refer.alias("_rk")).where("_rk is not null").distinct()
+    edges = right.select(F.col("_key").alias("_rk"), F.explode(F.array("_from", "_to")).alias("_from")).where(
+        "_from is not null").distinct()
+    inner = edges.join(refs, "_rk").select(F.col("_lk").alias("_key"), "_from")
+    starts = left.select("_key", "_from").unionByName(inner).distinct()
+    names = left.schema["_take"].dataType.names
+    held = left.select("_key", "_from", "_to", F.struct("_to", *[f"_take.{c}" for c in names]).alias("_take"))
+    pieces = lookup(starts, F.col("_key"), "_from", held, "l_", how="inner")
+    pieces = lookup(pieces, F.col(f"l_{via}"), "_from", right, "r_")
+    pieces = pieces.withColumn("_slice", time_slice(F.col("_from")))
+    cut = _ahead(pieces, ["_key"], F.col("_from"), [F.col("_from")])
+    body = F.struct(*[F.col(f"l_{c}").alias(c) for c in names],
+                    *[F.col(f"r_{c}").alias(c) for c in right.schema["_take"].dataType.names])
+    return cut.select("_key", "_from", F.least("l__to", "_next").alias("_to"), body.alias("_take"))

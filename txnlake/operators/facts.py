@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from txnlake.functions.scalar import month_key, normalise_name, partition_name, month_start, \
     next_month, utc_date
-from txnlake.operators.asof import asof_lookup
+from txnlake.operators.asof import join_histories, lookup, segments
+from txnlake.session import reliable_checkpoint
 
 FACT_COLUMNS = ["transaction_bk", "customer_sk", "account_sk", "merchant_sk", "type", "status",
                 "amount", "currency", "country", "created_at", "settled_at", "created_date"]
@@ -19,22 +20,27 @@ def with_created_date(df: DataFrame, ts_col: str = "created_at") -> DataFrame:
     return df.withColumn("created_date", utc_date(ts_col))
 
 
+def account_history(dim_account: DataFrame, dim_customer: DataFrame, overlapping: bool = False) -> DataFrame:
+    """Segments by account with the keys of the account's and its customer's version."""
+    return join_histories(
+        segments(dim_account, "account_bk", ["account_sk", "customer_bk"], overlapping), "customer_bk",
+        segments(dim_customer, "customer_bk", ["customer_sk"], overlapping))
+
+
 def resolve_keys(txns: DataFrame, dim_account: DataFrame, dim_customer: DataFrame,
-                 dim_merchant: DataFrame) -> DataFrame:
+                 dim_merchant: DataFrame, overlapping: bool = False) -> DataFrame:
     """Attach account, customer (through the account version) and merchant keys.
 
-    Dimensions carry ``*_sk`` columns.  Unresolvable keys stay NULL.
+    Dimensions carry ``*_sk`` columns.  Unresolvable keys stay NULL.  Account and
+    customer histories are joined in dimension space and written once (reliable
+    checkpoint), so the facts are looked up twice.  ``overlapping`` says that versions of a key may
+    overlap; a dimension's load refuses such versions.
     """
-    t = asof_lookup(txns, F.col("account_id"), "created_at", dim_account, "account_bk",
-                    ["account_sk", "customer_bk"], prefix="a_")
-    t = asof_lookup(t, F.col("a_customer_bk"), "created_at", dim_customer, "customer_bk",
-                    ["customer_sk"], prefix="c_")
-    t = asof_lookup(t, normalise_name(F.col("merchant_name")), "created_at", dim_merchant,
-                    "merchant_name_norm", ["merchant_sk"], prefix="m_")
-    return t.withColumnRenamed("a_account_sk", "account_sk") \
-            .withColumnRenamed("c_customer_sk", "customer_sk") \
-            .withColumnRenamed("m_merchant_sk", "merchant_sk") \
-            .drop("a_customer_bk")
+    history = reliable_checkpoint(account_history(dim_account, dim_customer, overlapping))
+    t = lookup(txns, F.col("account_id"), "created_at", history, "_h_")
+    t = t.withColumnRenamed("_h_account_sk", "account_sk").withColumnRenamed("_h_customer_sk", "customer_sk")
+    merchants = segments(dim_merchant, "merchant_name_norm", ["merchant_sk"], overlapping)
+    return lookup(t.drop("_h_customer_bk"), normalise_name(F.col("merchant_name")), "created_at", merchants, "")
 
 
 def build_fact(txns: DataFrame, dim_account: DataFrame, dim_customer: DataFrame,

@@ -399,12 +399,36 @@ LEFT JOIN dim_account_b a ON a.account_bk = t.account_id AND a.valid_from <= t.c
   AND (a.valid_to IS NULL OR t.created_at < a.valid_to)
 LEFT JOIN dim_customer_b c ON c.customer_bk = a.customer_bk AND c.valid_from <= t.created_at
   AND (c.valid_to IS NULL OR t.created_at < c.valid_to)""", "stg", "dim_account_b", "dim_customer_b")
+    s["dim_account_customer"] = with_views("""
+, acc AS (SELECT * FROM dim_account WHERE valid_to IS NULL OR valid_to > valid_from),
+ cus AS (SELECT * FROM dim_customer WHERE valid_to IS NULL OR valid_to > valid_from),
+ starts AS (
+  SELECT account_bk, version, valid_from AS f FROM acc
+  UNION
+  SELECT a.account_bk, a.version, c.valid_from FROM acc a JOIN cus c ON c.customer_bk = a.customer_bk
+    AND c.valid_from > a.valid_from AND (a.valid_to IS NULL OR c.valid_from < a.valid_to))
+SELECT a.account_bk, a.customer_bk, a.version AS account_version, c.version AS customer_version, s.f AS valid_from,
+  lead(s.f) OVER (PARTITION BY s.account_bk ORDER BY s.f) AS valid_to
+FROM starts s JOIN acc a ON a.account_bk = s.account_bk AND a.version = s.version
+LEFT JOIN cus c ON c.customer_bk = a.customer_bk AND c.valid_from <= s.f AND (c.valid_to IS NULL OR s.f < c.valid_to)""",
+        "dim_account", "dim_customer").replace("\n, acc AS", ", acc AS", 1)
     s["asof_merchant"] = with_views("""
 SELECT t.id, m.merchant_name_norm, m.version AS merchant_version FROM stg t
 LEFT JOIN dim_merchant_b m ON m.merchant_name_norm = lower(trim(t.merchant_name)) AND m.valid_from <= t.created_at
   AND (m.valid_to IS NULL OR t.created_at < m.valid_to)""", "stg", "dim_merchant_b")
     s["semi_resolved"] = with_views("SELECT transaction_bk AS id FROM fact", "fact")
     s["fact_load"] = with_views("SELECT * FROM fact", "fact")
+    s["fact_unresolved"] = with_views("""
+SELECT t.id, a.version IS NULL AS no_account_sk, c.version IS NULL AS no_customer_sk, m.version IS NULL AS no_merchant_sk
+FROM stg t
+LEFT JOIN dim_account a ON a.account_bk = t.account_id AND a.valid_from <= t.created_at
+  AND (a.valid_to IS NULL OR t.created_at < a.valid_to)
+LEFT JOIN dim_customer c ON c.customer_bk = a.customer_bk AND c.valid_from <= t.created_at
+  AND (c.valid_to IS NULL OR t.created_at < c.valid_to)
+LEFT JOIN dim_merchant m ON m.merchant_name_norm = lower(trim(t.merchant_name)) AND m.valid_from <= t.created_at
+  AND (m.valid_to IS NULL OR t.created_at < m.valid_to)
+WHERE a.version IS NULL OR c.version IS NULL OR m.version IS NULL""", "stg", "dim_account", "dim_customer",
+        "dim_merchant")
     s["fact_insert_if_absent"] = with_views(f"""
 SELECT transaction_bk, created_date FROM fact WHERE created_at <= TIMESTAMP '{P.FACT_FIRST_UNTIL}'
 UNION ALL
@@ -539,6 +563,18 @@ FROM stg t""", "stg", "dim_account_b").replace("\n, late AS", ", late AS", 1)
     ORDER BY valid_from, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM late)
 SELECT count(*) FILTER (valid_to < valid_from OR reached > valid_from) AS violations FROM o""",
         "dim_account_b").replace("\n, late AS", ", late AS", 1)
+    s["cdc_table_state"] = with_views("""
+, acc AS (SELECT id, status, as_of, seq FROM f_account_snapshots
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1),
+ txn AS (SELECT 'T' || CAST(event_id - event_id % 3 AS VARCHAR) AS id, event_type, event_id,
+    CASE event_id % 3 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'SETTLED' ELSE 'REVERSED' END AS status,
+    CAST(value AS DECIMAL(20,6)) AS amount, ts FROM events
+    QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY event_id DESC) = 1)
+SELECT 'accounts' AS table_name, id, status, CAST(NULL AS DECIMAL(20,6)) AS amount, as_of AS changed_at
+FROM acc WHERE seq % 11 <> 3
+UNION ALL
+SELECT 'transactions', id, status, amount, ts FROM txn WHERE event_type <> 'error'""",
+        "f_account_snapshots").replace("\n, acc AS", ", acc AS", 1)
     s["ingest_idempotency_two_batches"] = s["ingest_idempotency"]
     s["idempotency_records"] = with_views("""
 SELECT 'POST /v1/transactions' AS endpoint, idem_key, CAST(201 AS INTEGER) AS response_code

@@ -19,7 +19,7 @@ from txnlake.functions.scalar import (decimal_text, empty_if_null, month_start,
 from txnlake.operators import facts as facts_op
 from txnlake.operators import incremental as inc
 from txnlake.operators import ingest, marts, quality, scd2, velocity
-from txnlake.operators.asof import asof_lookup
+from txnlake.operators.asof import asof_lookup, join_histories, lookup, segments
 from txnlake.operators.surrogate import dense_rank_keys
 from txnlake.plans import params as P
 from txnlake.session import reliable_checkpoint
@@ -228,7 +228,7 @@ def q_asof_account(spark, sf):
     acc = _dims_plain(spark, sf, ("account",))["account"]
     t = staged_transactions(spark, sf, "account_id", "created_at").select("id", "account_id", "created_at")
     j = asof_lookup(t, F.col("account_id"), "created_at", acc, "account_bk",
-                    ["account_bk", "version"], prefix="a_")
+                    ["account_bk", "version"], prefix="a_", overlapping=False)
     return j.select("id", F.col("a_account_bk").alias("account_bk"),
                     F.col("a_version").alias("account_version"))
 
@@ -257,19 +257,30 @@ def q_asof_customer(spark, sf):
     d = _dims_plain(spark, sf, ("account", "customer"))
     acc, cus = d["account"], d["customer"]
     t = staged_transactions(spark, sf, "account_id", "created_at").select("id", "account_id", "created_at")
-    j = asof_lookup(t, F.col("account_id"), "created_at", acc, "account_bk", ["customer_bk"],
-                    prefix="a_")
-    j = asof_lookup(j, F.col("a_customer_bk"), "created_at", cus, "customer_bk",
-                    ["customer_bk", "version"], prefix="c_")
-    return j.select("id", F.col("c_customer_bk").alias("customer_bk"),
-                    F.col("c_version").alias("customer_version"))
+    found = cus.withColumn("customer", F.col("customer_bk")).withColumnRenamed("version", "customer_version")
+    history = join_histories(segments(acc, "account_bk", ["customer_bk"], overlapping=False), "customer_bk",
+                             segments(found, "customer_bk", ["customer", "customer_version"], overlapping=False))
+    j = lookup(t, F.col("account_id"), "created_at", history, "c_")
+    return j.select("id", F.col("c_customer").alias("customer_bk"),
+                    F.col("c_customer_version").alias("customer_version"))
+
+
+def q_dim_account_customer(spark, sf):
+    """The account history cut where the customer's version changes (first versions as they are)."""
+    acc, cus = _concurrently(lambda: dim_account_df(spark, sf), lambda: dim_customer_df(spark, sf))
+    acc = acc.withColumn("account_version", F.col("version"))
+    cus = cus.withColumn("customer_version", F.col("version"))
+    out = join_histories(segments(acc, "account_bk", ["customer_bk", "account_version"], overlapping=False),
+                         "customer_bk", segments(cus, "customer_bk", ["customer_version"], overlapping=False))
+    return out.select(F.col("_key").alias("account_bk"), "_take.customer_bk", "_take.account_version",
+                      "_take.customer_version", F.col("_from").alias("valid_from"), F.col("_to").alias("valid_to"))
 
 
 def q_asof_merchant(spark, sf):
     mer = _dims_plain(spark, sf, ("merchant",))["merchant"]
     t = staged_transactions(spark, sf, "merchant_name", "created_at").select("id", "merchant_name", "created_at")
     j = asof_lookup(t, normalise_name("merchant_name"), "created_at", mer, "merchant_name_norm",
-                    ["merchant_name_norm", "version"], prefix="m_")
+                    ["merchant_name_norm", "version"], prefix="m_", overlapping=False)
     return j.select("id", F.col("m_merchant_name_norm").alias("merchant_name_norm"),
                     F.col("m_version").alias("merchant_version"))
 
@@ -285,6 +296,19 @@ def q_fact_load(spark, sf):
     return fact_df(spark, sf)
 
 
+def q_fact_unresolved(spark, sf):
+    """Transactions that lack a key, with first versions as they are: which keys are missing."""
+    acc, cus, mer = _concurrently(*[
+        (lambda b=b, spec=spec, sk=sk: with_sk(b(spark, sf, store=False), spec, sk))
+        for b, spec, sk in [(dim_account_df, scd2.ACCOUNT_DIM, "account_sk"),
+                            (dim_customer_df, scd2.CUSTOMER_DIM, "customer_sk"),
+                            (dim_merchant_df, scd2.MERCHANT_DIM, "merchant_sk")]])
+    r = facts_op.resolve_keys(staged_transactions(spark, sf), acc, cus, mer)
+    keys = ("account_sk", "customer_sk", "merchant_sk")
+    _, left = facts_op.split_resolved(facts_op.with_created_date(r), ["id", *keys])
+    return left.select("id", *[F.col(k).isNull().alias(f"no_{k}") for k in keys])
+
+
 def q_fact_insert_if_absent(spark, sf):
     acc, cus, mer = fact_dims(spark, sf)
     # both runs resolve against the same dimensions: resolve once, then cut
@@ -554,6 +578,8 @@ QUERIES = {
     "ingest_idempotency_two_batches": q_ingest_idempotency_two_batches,
     "idempotency_records": q_idempotency_records,
     "asof_late_changes": q_asof_late_changes,
+    "dim_account_customer": q_dim_account_customer,
+    "fact_unresolved": q_fact_unresolved,
     "dq_interval_overlaps": q_dq_interval_overlaps,
     "request_hash": q_request_hash,
     "outbox_events": q_outbox_events,

@@ -28,6 +28,19 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
 ])
 
+# Row shapes of the captured tables (fixed values): column and type, key first.
+TABLES = {
+    "customers": "id STRING, email STRING, country STRING, kyc_level SMALLINT, risk_band STRING, "
+                 "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
+    "accounts": "id STRING, customer_id STRING, currency STRING, country STRING, status STRING, "
+                "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
+    "transactions": "id STRING, account_id STRING, type STRING, status STRING, amount DECIMAL(20,6), "
+                    "currency STRING, merchant_name STRING, merchant_category STRING, country STRING, "
+                    "created_at TIMESTAMP_NTZ, settled_at TIMESTAMP_NTZ",
+    "outbox": "id STRING, aggregate_type STRING, aggregate_id STRING, event_type STRING, payload STRING, "
+              "created_at TIMESTAMP_NTZ",
+}
+
 DECODED_COLUMNS = ["seq", "id", "account_id", "amount", "currency", "created_at", "op"]
 
 
@@ -106,5 +119,72 @@ def decode(records: DataFrame) -> DataFrame:
     return out.where(keep).drop("_amount_text")
 
 
+def _object_or_payload(text: str) -> Column:
+    """A JSON object's fields as text, or those of the object under ``payload``; null if it is neither."""
+    as_map = "map<string,string>"
+    whole = F.from_json(F.col(text), as_map)
+    inner = whole.getItem("payload")
+    return F.when(F.coalesce(F.ltrim(inner).startswith("{"), F.lit(False)),
+                  F.from_json(inner, as_map)).otherwise(whole)
+
+
+def decode_rows(records: DataFrame, ddl: str) -> DataFrame:
+    """Records of one table -> changes: ``_partition, _offset, op`` and the row's columns.
+
+    ``ddl`` names the row's columns and types, its key first (``TABLES``).
+    ``op`` is ``d`` for a row that is gone: by its header or ``__op`` field, by
+    a field ``__deleted`` that says true, or as a tombstone (null value).  A
+    change without an operation counts as ``c``; ``c``, ``u`` and ``r`` (snapshot)
+    carry the row as it is.  A tombstone's key is the record's key: an object
+    with the key column, such an object under ``payload``, or the bare value.
+
+    Dropped: values that are not JSON objects, other operations, changes
+    without a key.  A column that is missing or doesn't parse is null.
+    """
+    fields = T.StructType.fromDDL(ddl).fields
+    key = fields[0].name
+    r = records.select("partition", "offset", "headers", "key", F.col("value").cast("string").alias("value"))
+    r = r.withColumn("_row", _object_or_payload("value")).withColumn("_key", _object_or_payload("key"))
+    gone = F.col("value").isNull() | (F.lower(F.col("_row").getItem("__deleted")) == "true")
+    op = F.lower(F.coalesce(header(F.col("headers"), "op", "__op"), F.col("_row").getItem("__op"), F.lit("c")))
+    op = F.when(F.coalesce(gone, F.lit(False)), "d").when(op == "", "c").otherwise(op)
+    bare = F.when(F.col("_key").isNull(), F.col("key"))
+    columns = [F.coalesce(F.col("_row").getItem(key), F.col("_key").getItem(key), bare).alias(key)]
+    for f in fields[1:]:
+        kind = f.dataType.simpleString()
+        via = "timestamp" if kind == "timestamp_ntz" else kind
+        columns.append(F.expr(f"try_cast(_row['{f.name}'] AS {via})").cast(f.dataType).alias(f.name))
+    out = r.where(F.col("value").isNull() | F.col("_row").isNotNull()).select(
+        F.coalesce("partition", F.lit(0)).alias("_partition"), F.col("offset").alias("_offset"),
+        op.alias("op"), *columns)
+    return out.where(F.col("op").isin("c", "u", "r", "d") & F.col(key).isNotNull() & (F.col(key) != ""))
+
+
+def to_change_records(changes: DataFrame, ddl: str) -> DataFrame:
+    """Render changes (``_partition, _offset, op`` and a row's columns) as records.
+
+    All the forms that ``decode_rows`` knows come up, by turns of the offset.
+    """
+    columns = []
+    for f in T.StructType.fromDDL(ddl).fields:
+        c = F.col(f.name)
+        if f.dataType.simpleString() == "timestamp_ntz":
+            c = F.date_format(c.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        elif isinstance(f.dataType, T.DecimalType):
+            c = c.cast("string")
+        columns.append(c.alias(f.name))
+    key, turn, gone = T.StructType.fromDDL(ddl).fields[0].name, F.col("_offset") % 3, F.col("op") == "d"
+    row = F.struct(*columns)
+    image = F.when(turn == 0, F.to_json(F.struct(F.lit("row").alias("schema"), row.alias("payload")))) \
+        .otherwise(F.to_json(row))
+    record_key = F.when(turn == 0, F.col(key)).when(turn == 1, F.to_json(F.struct(key))).otherwise(
+        F.to_json(F.struct(F.lit("key").alias("schema"), F.struct(key).alias("payload"))))
+    name = F.when(turn == 1, "__op").otherwise("op")
+    return changes.select(
+        record_key.alias("key"), F.when(~gone | (turn == 2), image).alias("value"),
+        F.array(F.struct(name.alias("key"), F.col("op").alias("value"))).alias("headers"),
+        F.col("_partition").cast("int").alias("partition"), F.col("_offset").cast("long").alias("offset"))
+
+
 def with_event_micros(events: DataFrame) -> DataFrame:
     return events.withColumn("ts_us", epoch_micros("created_at"))

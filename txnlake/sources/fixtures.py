@@ -133,6 +133,35 @@ def cdc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def account_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of accounts: every snapshot is one, some delete the account."""
+    s = account_snapshots(spark, sf_dir)
+    return s.select(
+        (F.substring("id", 2, 20).cast("bigint") % 3).cast("int").alias("_partition"),
+        F.col("seq").alias("_offset"), F.when(F.col("seq") % 11 == 3, "d").otherwise("u").alias("op"),
+        "id", "customer_id", "currency", "country", "status",
+        _ts(EPOCH_FIXTURE).alias("created_at"), F.col("as_of").alias("updated_at"))
+
+
+def transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of transactions: three events in a row concern one; an error deletes it."""
+    e = table(spark, sf_dir, "events")
+    turn = F.col("event_id") % 3
+    first = F.col("event_id") - turn
+    none = F.lit(None).cast("string")
+    return e.select(
+        (F.floor(first / 3) % 4).cast("int").alias("_partition"), F.col("event_id").alias("_offset"),
+        F.when(F.col("event_type") == "error", "d").when(turn == 0, "c").otherwise("u").alias("op"),
+        F.concat(F.lit("T"), first.cast("string")).alias("id"),
+        F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("account_id"),
+        F.lit("PAYMENT").alias("type"),
+        F.when(turn == 0, "PENDING").when(turn == 1, "SETTLED").otherwise("REVERSED").alias("status"),
+        F.col("value").cast("decimal(20,6)").alias("amount"), _currency_of(F.col("user_id")).alias("currency"),
+        none.alias("merchant_name"), none.alias("merchant_category"), F.lit("VN").alias("country"),
+        F.col("ts").alias("created_at"),
+        F.when(turn > 0, F.col("ts")).alias("settled_at"))
+
+
 def transaction_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create-transaction requests with idempotency keys.
 

@@ -10,8 +10,10 @@ same code works on HDFS/object stores and on local disk.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def create_file(spark: SparkSession, path: str, text: str = "") -> None:
+    """Create a file that must not exist yet."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        if text:
+            out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     return [str(f.getPath().getName()) for f in fs.listStatus(p)] if fs.exists(p) else []
@@ -61,6 +79,11 @@ class VersionedTable:
 
     def read(self) -> DataFrame | None:
         path = self.current_path()
+        if path and path.endswith(".json"):  # stored in buckets: the version is a manifest
+            from txnlake.sources.buckets import load_manifest, read_manifest
+
+            return read_manifest(self.spark, self.root,
+                                 load_manifest(self.spark, self.root, path.rsplit("/", 1)[1]))
         return self.spark.read.parquet(path) if path else None
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
@@ -80,11 +103,38 @@ class VersionedTable:
     def flip(self, version: str) -> None:
         pointers = self._pointers()
         number = int(pointers[-1].split("=", 1)[0]) + 1 if pointers else 1
-        fs, p = _fs(self.spark, f"{self.root}/{POINTERS}/{number:012d}={version}")
-        fs.create(p, False).close()
-        for old in [*pointers, p.getName()][:-self.keep]:
+        pointer = f"{number:012d}={version}"
+        create_file(self.spark, f"{self.root}/{POINTERS}/{pointer}")
+        for old in [*pointers, pointer][:-self.keep]:
             for gone in (f"{POINTERS}/{old}", old.split("=", 1)[1]):
-                fs.delete(_fs(self.spark, f"{self.root}/{gone}")[1], True)
+                delete_path(self.spark, f"{self.root}/{gone}")
+
+
+class RunLog:
+    """Which steps of a run are done, as empty files ``<step>=<rows>`` in the run's folder.
+
+    ``once`` runs a step unless an earlier attempt of the same run has
+    finished it.  A step that was cut off is run again from its start, so a
+    step must be idempotent by itself.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def done(self) -> dict[str, int]:
+        return {n.rsplit("=", 1)[0]: int(n.rsplit("=", 1)[1])
+                for n in _names(self.spark, self.root) if "=" in n}
+
+    def once(self, step: str, work: Callable[[], int | None]) -> int:
+        known = self.done()
+        if step in known:
+            return known[step]
+        rows = work() or 0
+        self.mark(step, rows)
+        return rows
+
+    def mark(self, step: str, rows: int) -> None:
+        create_file(self.spark, f"{self.root}/{step}={rows}")
 
 
 class AppendTable:
@@ -129,6 +179,8 @@ class WatermarkTable:
     """``(table_name, last_loaded_at)``; one row per target, epoch by default."""
 
     EPOCH = "1970-01-01 00:00:00"
+    #: marks are set by threads of one driver; each rewrites the whole small table
+    _writing = threading.Lock()
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.table = VersionedTable(spark, root)
@@ -149,10 +201,9 @@ class WatermarkTable:
 
     def set_from(self, name: str, next_value: DataFrame) -> None:
         """Replace the row of ``name`` with the one-row frame ``next_value``."""
-        others = self.all().where(F.col("table_name") != name)
-        row = next_value.select(F.lit(name).alias("table_name"),
-                                F.col(next_value.columns[0]).cast("timestamp_ntz").alias("last_loaded_at"))
-        # materialise before the pointer flip: the new version may not read the old one lazily
-        data = [tuple(r) for r in others.unionByName(row).collect()]
-        self.table.overwrite(self.spark.createDataFrame(
-            data, "table_name STRING, last_loaded_at TIMESTAMP_NTZ").coalesce(1))
+        mark = next_value.select(F.col(next_value.columns[0]).cast("timestamp_ntz")).first()[0]
+        with self._writing:
+            # materialise before the pointer flip: the new version may not read the old one lazily
+            data = [tuple(r) for r in self.all().where(F.col("table_name") != name).collect()]
+            self.table.overwrite(self.spark.createDataFrame(
+                [*data, (name, mark)], "table_name STRING, last_loaded_at TIMESTAMP_NTZ").coalesce(1))

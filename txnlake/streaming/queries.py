@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlake.operators import changelog
 from txnlake.session import prepare, scratch_path
 from txnlake.sources import cdc
 from txnlake.sources import fixtures as fx
+from txnlake.sources.buckets import BucketedTable
 from txnlake.streaming.velocity import read_alerts, read_messages, start_velocity_stream
 
 
@@ -30,6 +32,33 @@ def q_cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.select("seq", "account_id", "amount", "currency", "created_at")
 
 
+def q_cdc_table_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Accounts and transactions as their change logs leave them.
+
+    The records are decoded and merged in two batches, the later offsets
+    first; the state between the batches is stored in buckets.
+    """
+    prepare(spark)
+    logs = {"accounts": fx.account_log, "transactions": fx.transaction_log}
+    states = []
+    for name, log in logs.items():
+        path, ddl = scratch_path(spark, f"cdc-{name}"), cdc.TABLES[name]
+        cdc.to_change_records(log(spark, sf), ddl).write.json(path)
+        changes = cdc.decode_rows(spark.read.schema(cdc.RECORD_SCHEMA).json(path), ddl)
+        table = BucketedTable(spark, scratch_path(spark, f"state-{name}"), "id")
+        half = changes.agg(F.max("_offset") / 2).scalar()
+        for batch in (changes.where(F.col("_offset") > half), changes.where(F.col("_offset") <= half)):
+            buckets = table.touched(batch)
+            table.flip(table.write(changelog.merge_changes(table.read(buckets), batch, "id"), buckets))
+        state = changelog.live_rows(table.read())
+        amount, changed = ("amount", "created_at") if name == "transactions" else (None, "updated_at")
+        states.append(state.select(
+            F.lit(name).alias("table_name"), "id", "status",
+            (F.col(amount) if amount else F.lit(None)).cast("decimal(20,6)").alias("amount"),
+            F.col(changed).alias("changed_at")))
+    return states[0].unionByName(states[1])
+
+
 def q_velocity_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Run the stateful stream to completion (availableNow), return its alerts."""
     prepare(spark)
@@ -58,5 +87,6 @@ def q_velocity_messages(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "velocity_messages": q_velocity_messages,
     "cdc_decode": q_cdc_decode,
+    "cdc_table_state": q_cdc_table_state,
     "velocity_stream": q_velocity_stream,
 }
