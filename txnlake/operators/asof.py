@@ -61,7 +61,7 @@ def segments(dim: DataFrame, key: str, take: Sequence[str], overlapping: bool =
     """(_key, _from, _to, _take): disjoint intervals; an open end is null.
 
     ``overlapping=False`` is for versions that are known not to overlap (a
-    dimension whose load checked it): they are cut at the next start only.
+    dimension whose load checked it): they are segments as they are.
     """
     number = F.col("version") if "version" in dim.columns else F.lit(0)
     rows = dim.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
@@ -70,11 +70,12 @@ def segments(dim: DataFrame, key: str, take: Sequence[str], overlapping: bool =
         time_slice(F.col("valid_from"), seconds).alias("_slice"))
     # inverted intervals hold nothing
     rows = rows.where(F.col("_to").isNull() | (F.col("_to") > F.col("_from")))
+    if not overlapping:
+        return rows.select("_key", "_from", "_to", "_take")
     order = [F.col("_from"), F.col("_number")]
     cut = _ahead(rows, ["_key"], F.col("_from"), order)
-    own = cut.select("_key", "_from", F.least("_to", "_next").alias("_to"), "_take")
-    if overlapping:
-        own = own.unionByName(_fill(cut, order, seconds))
+    own = cut.select("_key", "_from", F.least("_to", "_next").alias("_to"), "_take").unionByName(
+        _fill(cut, order, seconds))
     return own.where(F.col("_to").isNull() | (F.col("_to") > F.col("_from")))
 
 
@@ -217,13 +218,16 @@ def join_histories(left: DataFrame, via: str, right: DataFrame) -> DataFrame:
     edges = right.select(F.col("_key").alias("_rk"), F.explode(F.array("_from", "_to")).alias("_from")).where(
         "_from is not null").distinct()
     inner = edges.join(refs, "_rk").select(F.col("_lk").alias("_key"), "_from")
-    starts = left.select("_key", "_from").unionByName(inner).distinct()
     names = left.schema["_take"].dataType.names
     held = left.select("_key", "_from", "_to", F.struct("_to", *[f"_take.{c}" for c in names]).alias("_take"))
-    pieces = lookup(starts, F.col("_key"), "_from", held, "l_", how="inner")
+    starts = left.select("_key", "_from", F.col("_to").alias("l__to"),
+                         *[F.col(f"_take.{c}").alias(f"l_{c}") for c in names])
+    pieces = starts.unionByName(lookup(inner, F.col("_key"), "_from", held, "l_", how="inner"))
     pieces = lookup(pieces, F.col(f"l_{via}"), "_from", right, "r_")
     pieces = pieces.withColumn("_slice", time_slice(F.col("_from")))
     cut = _ahead(pieces, ["_key"], F.col("_from"), [F.col("_from")])
     body = F.struct(*[F.col(f"l_{c}").alias(c) for c in names],
                     *[F.col(f"r_{c}").alias(c) for c in right.schema["_take"].dataType.names])
-    return cut.select("_key", "_from", F.least("l__to", "_next").alias("_to"), body.alias("_take"))
+    out = cut.select("_key", "_from", F.least("l__to", "_next").alias("_to"), body.alias("_take"))
+    # an edge that falls on a start of its own has given an empty piece
+    return out.where(F.col("_to").isNull() | (F.col("_to") > F.col("_from")))
