@@ -18,7 +18,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -33,6 +32,27 @@ def test_ids_equal_the_library(library):
         assert raw == struct.pack(f"<{len(ids)}I", *ids), repr(t)
 
 
+def test_special_strings_are_what_the_library_makes_of_them(library):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny z", "a <|endoftext> b"]
+    assert library(texts[0]) == [64, 220, 50256, 275, 0]
+    got = token_store.Encoder(PATH).encode(texts, 0)
+    assert got == [struct.pack(f"<{len(library(t))}I", *library(t)) for t in texts]
+
+
+def test_odd_white_space_is_noticed_again(library):
+    """A chunk with a tab is known from an even text and comes up in an uneven one."""
+    e = token_store.Encoder(PATH)
+    for text in ("a\tb c", "a\tb \tc d", "a\tb\t\n c", "a\u00a0 \u00a0b a\tb", "\ta\tb"):
+        for _ in range(2):
+            assert e.encode([text, "plain"], 0)[0] == struct.pack(f"<{len(library(text))}I", *library(text))
+
+
+def test_texts_of_any_length_train_the_dictionary(llm_spark):
+    rows = [(k, " ".join(f"word{k * j % 97}" for j in range(9000))) for k in range(40)]
+    long = token_store.train_dictionary(documents(llm_spark, rows), PATH, 0, 30, 2000, 4096)
+    assert len(long) > 1000
+
+
 def test_a_full_table_still_gives_ids(library, monkeypatch):
     monkeypatch.setattr(token_store, "CACHE_ENTRIES", 5)
     e = token_store.Encoder(PATH)

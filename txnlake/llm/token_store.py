@@ -21,8 +21,8 @@ are kept in a bounded table in the worker process.
 
 Defined cases: null text is an empty text (only the end id); rows with a null
 doc_id come first; equal doc_ids are kept as rows, ordered by size and a hash of the frame;
-an empty table gives no shard.  Extra columns are ignored.  Special strings
-inside a text are ordinary text.
+an empty table gives no shard.  Extra columns are ignored.  A special string
+inside a text is one id, as the library has it; such texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -53,22 +53,6 @@ _SAFE_CUT = re.compile(r"(?= \S)").split
 _WORD = re.compile(r" ?\S+").fullmatch
 
 
-class _Known(dict):
-    """Ids by chunk; a full table becomes the old generation, from which used entries come back."""
-
-    old: dict = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        self[chunk] = ids = self.old[chunk]
-        return ids
-
-    def lacks(self, chunks: set) -> list[str]:
-        if len(self) > CACHE_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-        return list(chunks.difference(self).difference(self.old))
-
-
 class Encoder:
     """Texts to id bytes, with the ids of known chunks remembered.
 
@@ -83,30 +67,32 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known = _Known()
+        #: strings that the library takes as one id wherever they stand
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: ids by chunk, in two generations: a full table becomes the old one
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         (self.newline,) = self._ids("\n")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        if _UNEVEN(text):
-            return [c for c in _SAFE_CUT(text) if c]
-        out = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(first)
-            out += [" " + w for w in rest]
-            out.append("\n")
-        return out[:-1] if text else []
-
-    def learn(self, chunks: list[str]) -> None:
-        """Encode new chunks: words many at a time, newlines between them."""
-        known = self.known
-        whole = [c for c in chunks if not _WORD(c)]
-        plain = [c for c in chunks if _WORD(c)]
+    def chunks(self, text: str) -> list[str]:
+        """Words with the blank before them, and newlines; or the whole text if it can't be cut."""
+        if any(special in text for special in self.specials):
+            return [text]
+        if "\0" not in text:
+            out = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+            # an empty chunk or a lone blank: white space next to white space or at an end
+            if "" not in out and " " not in out:
+                return out
+        return [c for c in _SAFE_CUT(text) if c]
+
+    def learn(self, chunks: list[str]) -> list[str]:
+        """Encode new chunks, words many at a time with newlines between them; those with other white space."""
+        known, plain, whole = self.known, [], []
+        for c in chunks:
+            (plain if _WORD(c) else whole).append(c)
         for chunk, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
             known[chunk] = np.array(e.ids, "<u4").tobytes()
         parts = [plain[at:at + 256] for at in range(0, len(plain), 256)]
@@ -117,12 +103,35 @@ class Encoder:
             raw, cut = ids.tobytes(), (4 * np.flatnonzero(ids == self.newline)).tolist()
             for chunk, start, stop in zip(part, [-4, *cut], [*cut, len(raw)], strict=True):
                 known[chunk] = raw[start + 4:stop]
+        return [c for c in whole if c != "\n"]
+
+    def _look_up(self, chunks: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """(ids of all these chunks, those with white space inside): a small table for a few texts."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.known, self.old = {}, self.known
+        ids = {c: v for c, v in zip(chunks, map(self.known.get, chunks))}
+        lacking = [c for c, v in ids.items() if v is None]
+        back = {c: self.old[c] for c in lacking if c in self.old}
+        self.known.update(back)
+        odd = self.learn([c for c in lacking if c not in back])
+        for c in lacking:
+            ids[c] = self.known[c]
+        # forgotten, so that they are noticed whenever they come
+        for c in odd:
+            del self.known[c]
+        return ids, odd
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         pieces = [self.chunks(t) for t in texts]
-        self.learn(self.known.lacks(set().union(*pieces)))
-        ids, end = self.known.__getitem__, struct.pack("<I", end_id)
-        return [b"".join(map(ids, p)) + end for p in pieces]
+        ids, odd = self._look_up(set().union(*pieces))
+        if odd:
+            # white space next to white space, perhaps: cut only between a blank and a word
+            for at, text in enumerate(texts):
+                if len(pieces[at]) > 1 and not set(odd).isdisjoint(pieces[at]) and _UNEVEN(text):
+                    pieces[at] = [c for c in _SAFE_CUT(text) if c]
+            ids |= self._look_up(set().union(*pieces).difference(ids))[0]
+        get, end = ids.__getitem__, struct.pack("<I", end_id)
+        return [b"".join(map(get, p)) + end for p in pieces]
 
 
 @functools.cache
@@ -133,15 +142,19 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, encoder_path: str, end_id: int, sample_docs: int,
                      sample_chars: int, dict_bytes: int) -> bytes:
-    """Dictionary from at most ``sample_docs`` texts of at most ``sample_chars`` each, by hash order.
+    """Dictionary from about ``sample_docs`` texts, drawn with equal chance from all rows.
 
-    Too little material gives an empty dictionary (plain frames).
+    Of a text longer than ``sample_chars`` a stretch of that length takes part,
+    at a place that its hash tells: texts of any length train, and what the
+    driver sees is bounded.  Too little material gives an empty dictionary
+    (plain frames).
     """
     import zstandard
 
-    few = (docs.where(F.length("text") <= sample_chars)
-           .select("text", F.xxhash64("doc_id", "text").alias("h"))
-           .orderBy("h").limit(sample_docs).select("text").collect())
+    share = min(1.0, sample_docs / max(1, docs.count()))
+    place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1)
+    few = docs.sample(share, seed=8).where(F.col("text").isNotNull()).select(
+        F.substring("text", place.cast("int") + 1, F.lit(sample_chars)).alias("text")).collect()
     samples = encoder(encoder_path).encode([r.text for r in few], end_id)
     try:
         return zstandard.train_dictionary(dict_bytes, samples).as_bytes()
