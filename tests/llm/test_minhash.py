@@ -100,6 +100,49 @@ def test_large_buckets_are_finished(llm_spark):
     assert _classes(llm_spark, docs) == brute(docs)
 
 
+def _packed(rnd, n):
+    h = np.array(sorted(rnd.sample(range(1 << 40), n)), np.uint64)
+    return h.tobytes() + np.array([rnd.choice([1, 1, 1, 2, 7]) for _ in range(n)], np.uint32).tobytes()
+
+
+def test_block_overlaps_equal_pair_overlaps():
+    """Both ways of counting, dense columns in several slices, empty overlaps."""
+    rnd = random.Random(3)
+    base = _packed(rnd, 50)
+    bags = [base] * 9 + [_packed(rnd, rnd.randint(1, 60)) for _ in range(10)]
+    for k in range(40):
+        h = np.frombuffer(base, np.uint64, 50).copy()
+        c = np.frombuffer(base, np.uint32, 50, 400).copy()
+        for _ in range(rnd.randint(0, 30)):
+            c[rnd.randrange(50)] = rnd.randint(1, 5)
+            h[rnd.randrange(50)] += np.uint64(rnd.randint(0, 3))
+        keep = np.unique(h, return_index=True)[1]
+        bags.append(h[keep].tobytes() + c[keep].tobytes())
+    a, b = bags[::2], bags[1::2]
+    want = [[minhash.overlap(x, y) for y in b] for x in a]
+    for columns, dense in ((4096, 64), (16, 4), (4096, 1), (8, 1 << 30)):
+        assert np.allclose(minhash.overlaps(a, b, columns, dense), want, atol=1e-6)
+
+
+def test_strays_meet_their_buckets(llm_spark, monkeypatch):
+    """A large group, many texts below 0.8 to it and linked among themselves or through it; small blocks."""
+    rnd = random.Random(12)
+    base = [f"w{k}" for k in range(80)]
+    texts = []
+    for k in range(150):
+        w = list(base)
+        for _ in range(rnd.choice([0, 1, 2, 4, 5, 6])):
+            w[rnd.randrange(80)] = f"x{rnd.randint(0, 10**6)}"
+        texts.append(" ".join(w))
+    docs = list(enumerate(texts))
+    want = brute(docs)
+    assert len(set(want.values())) > 10
+    assert _classes(llm_spark, docs) == want
+    real = minhash.stray_links
+    monkeypatch.setattr(minhash, "stray_links", lambda *a: real(*a, block_rows=8))
+    assert _classes(llm_spark, docs) == want
+
+
 def test_components(spark):
     rnd = random.Random(10)
     edges = [(rnd.randint(0, 80), rnd.randint(0, 80)) for _ in range(60)] + [(k, k + 1) for k in range(100, 160)]

@@ -15,11 +15,18 @@ merged first.  In a bucket of at most ``small`` texts all pairs are
 candidates; a larger one is worked off in three rounds of stars.  Its pivot, the
 text that shares most with others, is compared with every text first; then
 a few of the texts outside the pivot's component are leaders and are compared
-with the texts outside their own component; at last all that are still
-outside lead.  Weighted Jaccard distance is a metric, so two
-texts whose similarities to the pivot differ by more than 1 - 0.8 need no
-comparison, and no pair is compared twice.  No bucket is gathered, dropped or
-cut.  Candidates are verified by exact multiset overlap.
+with the texts outside their own component.  Weighted Jaccard distance is a
+metric, so two texts whose similarities to the pivot differ by more than
+1 - 0.8 need no comparison, and no pair is compared twice.  Candidates are
+verified by exact multiset overlap.
+
+At last all texts that are still outside, the strays, meet the whole of their
+buckets: block by block, as one product of element matrices per two blocks,
+in which every pair's overlap is exact.  The buckets around one main component
+are taken together where that makes fewer pairs than one by one.  No pair
+leaves a task, only the links that hold its blocks' components together.
+No bucket is gathered, dropped or cut; the products of a group of m strays
+and n texts are m * n, the rows dealt out (m + n) * their blocks.
 
 A pair at similarity 0.8 misses all 24 bands of 4 with probability 3e-6.
 
@@ -39,9 +46,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import parts_for, read_table, ready, store, text_digest
+from txnlake.llm.common import one_thread, parts_for, read_table, ready, store, text_digest
 from txnlake.llm.components import components
 from txnlake.llm.sharding import ranked, with_border
+from txnlake.llm.vector_dedup import merge
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -253,39 +261,158 @@ def near_classes(docs: DataFrame, small: int = 8, leaders: int = 16) -> tuple[Da
                   "op7-large")
 
     parts = parts_for(large.count())
-    led = None
-    while True:
+
+    def state_of(tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(buckets with each text's component and the pivot's, components so far)."""
         roots = _roots(tested)
         state = (large.join(roots.select("node", "root"), "node", "left").coalesce(parts)
                  .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")),
                        "pivot", "left")
                  .withColumn("root", F.coalesce("root", "node"))
                  .withColumn("main", F.coalesce("main", "pivot")).coalesce(parts))
-        state = store(state, "op7-state")
-        fresh = state.where("root <> main")  # in buckets that are one component already, nobody
-        if led is not None:
-            fresh = fresh.join(led, ["key", "node"], "left_anti")
-        chosen = fresh.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "root", "n", "near")])
-        last = led is not None
-        if not last:
-            # a few leaders first, as they connect many others; row_number <= k is limited
-            # before the shuffle, bucket by bucket
-            chosen = chosen.withColumn("turn", F.row_number().over(
-                Window.partitionBy("key").orderBy("lead_node"))).where(F.col("turn") <= leaders)
-            chosen = chosen.drop("turn")
-        led = store(chosen.coalesce(parts), "op7-leaders")
-        if led.isEmpty():
-            return texts, roots
-        pairs = (state.join(led, "key").where("root <> lead_root")
-                 .where(F.abs(F.col("near") - F.col("lead_near")) <= 1 - SIMILARITY + 1e-9)
-                 .where(_near_sizes("n", "lead_n"))
-                 .select(F.least("node", "lead_node").alias("x"),
-                         F.greatest("node", "lead_node").alias("y")).distinct())
-        tested = store(tested.union(verified(pairs.join(tested, ["x", "y"], "left_anti"))),
-                       "op7-tested")
-        if last:  # every text outside the pivots' components has led
-            return texts, _roots(tested)
-        led = led.select("key", F.col("lead_node").alias("node"))
+        return store(state, "op7-state"), roots
+
+    state, roots = state_of(tested)
+    outside = state.where("root <> main")  # in buckets that are one component already, nobody
+    # row_number <= k is limited before the shuffle, bucket by bucket
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+    led = store(outside.withColumn("turn", turn).where(F.col("turn") <= leaders).select(
+        "key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "root", "n", "near")]).coalesce(parts),
+        "op7-leaders")
+    if led.isEmpty():
+        return texts, roots
+    pairs = (state.join(led, "key").where("root <> lead_root")
+             .where(F.abs(F.col("near") - F.col("lead_near")) <= 1 - SIMILARITY + 1e-9)
+             .where(_near_sizes("n", "lead_n"))
+             .select(F.least("node", "lead_node").alias("x"),
+                     F.greatest("node", "lead_node").alias("y")).distinct())
+    tested = store(tested.union(verified(pairs.join(tested, ["x", "y"], "left_anti"))), "op7-tested")
+
+    state, roots = state_of(tested)
+    strays = state.where("root <> main").join(led.select("key", F.col("lead_node").alias("node")),
+                                              ["key", "node"], "left_anti")
+    if strays.isEmpty():
+        return texts, roots
+    return texts, _roots(tested.union(stray_links(state, strays, bags)))
+
+
+def stray_links(state: DataFrame, strays: DataFrame, bags: DataFrame, block_rows: int = 512,
+                block_bytes: int = 16 << 20) -> DataFrame:
+    """(x, y, j): links that connect ``strays`` with what they are similar to in their buckets."""
+    met = state.join(strays.select("key").distinct(), "key", "left_semi").select("key", "main", "node", "n")
+    ours = strays.select("key", "main", "node", "n")
+    number = F.count(F.lit(1))
+    by_key = met.groupBy("main", "key").agg(number.alias("b")).join(
+        ours.groupBy("main", "key").agg(number.alias("a")), ["main", "key"]).groupBy("main").agg(
+        F.sum(F.col("a") * F.col("b")).alias("apart"))
+    whole = lambda df, c: df.select("main", "node").distinct().groupBy("main").agg(number.alias(c))
+    plan = by_key.join(whole(met, "b"), "main").join(whole(ours, "a"), "main").select(
+        "main", (F.col("a") * F.col("b") < F.col("apart")).alias("whole"))
+    group = ["main", "part"]
+
+    def grouped(df: DataFrame) -> DataFrame:
+        return df.join(plan, "main").select(
+            "main", F.when(~F.col("whole"), F.col("key")).otherwise(F.lit(0)).alias("part"), "node", "n").distinct()
+
+    ours, met = store(grouped(ours), "op7-strays"), store(grouped(met), "op7-met")
+    blocks = F.ceil(F.greatest(number / block_rows, F.sum("n") * 12 / block_bytes)).cast("int")
+    sizes = ours.groupBy(*group).agg(blocks.alias("a")).join(met.groupBy(*group).agg(blocks.alias("b")), group)
+    sizes = store(sizes, "op7-blocks")
+    own = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    cell = [*group, "i", "k"]
+    left = ours.join(sizes, group).select(*group, own("a").alias("i"), every("b").alias("k"),
+                                          F.lit(0).alias("side"), "node")
+    right = met.join(sizes, group).select(*group, every("a").alias("i"), own("b").alias("k"),
+                                          F.lit(1).alias("side"), "node")
+    rows = left.unionByName(right).join(bags, "node").select(*cell, "side", "node", "bag")
+    return store(rows.repartition(*cell).sortWithinPartitions(*cell, "side", "node").mapInArrow(
+        link_cells, "x long, y long, j double"), "op7-strays-linked")
+
+
+def _elements(bags: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(elements, their text, elements per text): a bag as a set, the t-th copy an element of its own."""
+    found, owner, sizes = [], [], np.zeros(len(bags), np.int64)
+    for at, bag in enumerate(bags):
+        n = len(bag) // 12
+        h, c = np.frombuffer(bag, _U, n), np.frombuffer(bag, np.uint32, n, 8 * n).astype(np.int64)
+        sizes[at] = c.sum()
+        copy = np.arange(sizes[at]) - np.repeat(np.cumsum(c) - c, c)
+        found.append(mix(np.repeat(h, c) + copy.astype(_U) * _GOLD))
+        owner.append(np.full(sizes[at], at))
+    return np.concatenate(found), np.concatenate(owner), sizes
+
+
+def overlaps(a: list, b: list, columns: int = 4096, dense_from: int = 64) -> np.ndarray:
+    """Weighted Jaccard similarity of every packed bag in ``a`` with every one in ``b``."""
+    (ea, oa, na), (eb, ob, nb) = _elements(a), _elements(b)
+    known, ca, cb = np.intersect1d(ea, eb), None, None
+    common = np.zeros((len(a), len(b)), np.float32)
+    if len(known):
+        ca, cb = np.searchsorted(known, ea), np.searchsorted(known, eb)
+        keep = known[np.minimum(ca, len(known) - 1)] == ea
+        ca, oa = ca[keep], oa[keep]
+        keep = known[np.minimum(cb, len(known) - 1)] == eb
+        cb, ob = cb[keep], ob[keep]
+        # elements of few texts are paired one by one, those of many are columns of a product
+        fa, fb = np.bincount(ca, minlength=len(known)), np.bincount(cb, minlength=len(known))
+        many = fa * fb >= dense_from
+        place = np.cumsum(many) - 1
+        for start in range(0, int(many.sum()), columns):
+            wide = min(columns, int(many.sum()) - start)
+            left, right = np.zeros((len(a), wide), np.float32), np.zeros((len(b), wide), np.float32)
+            for out, c, o in ((left, ca, oa), (right, cb, ob)):
+                here = many[c] & (place[c] >= start) & (place[c] < start + wide)
+                out[o[here], place[c[here]] - start] = 1
+            common += left @ right.T
+        few_a, few_b = ~many[ca], ~many[cb]
+        order = np.argsort(cb[few_b], kind="stable")
+        cb, ob = cb[few_b][order], ob[few_b][order]
+        lo, hi = np.searchsorted(cb, ca[few_a], "left"), np.searchsorted(cb, ca[few_a], "right")
+        span = hi - lo
+        at = np.repeat(lo, span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+        np.add.at(common, (np.repeat(oa[few_a], span), ob[at]), 1)
+    return common / np.maximum(na[:, None] + nb[None, :] - common, 1)
+
+
+def link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell and side -> per cell the links that span its components."""
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        side, node = rows.column("side").to_numpy(), rows.column("node").to_numpy()
+        bags = [x.as_buffer() for x in rows.column("bag")]
+        cut = int(np.searchsorted(side, 1))
+        x, y = np.nonzero(overlaps(bags[:cut], bags[cut:]) >= SIMILARITY)
+        y += cut
+        # a stray stands on both sides: one place for both
+        first = np.unique(node, return_index=True, return_inverse=True)
+        place = first[1][first[2]]
+        parent = merge(np.arange(len(node)), place[x], place[y])
+        linked = np.flatnonzero(parent != np.arange(len(node)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(node[linked], node[parent[linked]])),
+             pa.array(np.maximum(node[linked], node[parent[linked]])),
+             pa.array(np.ones(len(linked)))], ["x", "y", "j"])
+
+    def whole(rows: pa.Table) -> bool:
+        return rows.num_rows > 1 and rows.column("side")[0].as_py() == 0 and rows.column("side")[-1].as_py() == 1
+
+    one_thread()
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = (pa.concat_tables([rest, rows]) if rest is not None else rows).combine_chunks()
+        keys = [rows.column(c).to_numpy() for c in ("main", "part", "i", "k")]
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        start = 0
+        for stop in cuts.tolist():
+            if whole(part := rows.slice(start, stop - start)):
+                yield links(part)
+            start = stop
+        rest = rows.slice(start)
+    if rest is not None and whole(rest):
+        yield links(rest)
 
 
 def _id(name: str) -> Column:
