@@ -36,6 +36,20 @@ def test_request_hash_matches_python_including_non_ascii(spark):
     assert got == want
 
 
+def test_request_hash_matches_python_for_any_character(spark):
+    """Control characters, quotes, backslashes, DEL and everything above, in short and long texts."""
+    rnd = random.Random(8)
+    codes = [*range(1, 160), 0xFF, 0x100, 0x2028, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF]
+    texts = [chr(c) for c in codes] + ["", "\\u001b", '"\\"'] + [
+        "".join(chr(rnd.choice(codes)) for _ in range(rnd.randint(1, 30))) for _ in range(150)]
+    df = spark.createDataFrame([(t, None) for t in texts], "b STRING, a STRING")
+    got = {r.b: r.h for r in df.select("b", request_hash('POST "/x"', ["b", "a"]).alias("h")).collect()}
+    for t in texts:
+        want = json.dumps({"endpoint": 'POST "/x"', "body": {"a": None, "b": t}}, sort_keys=True,
+                          separators=(",", ":"))
+        assert got[t] == hashlib.sha256(want.encode()).hexdigest(), repr(t)
+
+
 def test_full_match_rejects_trailing_newline(spark):
     df = spark.createDataFrame([("VN",), ("VN\n",), ("vn",), ("VNM",)], "c STRING")
     got = [r.ok for r in df.select(full_match("c", "[A-Z]{2}").alias("ok")).collect()]

@@ -78,3 +78,67 @@ def test_stream_equals_model_out_of_order_and_restart(spark):
     first = velocity.flags(spark.createDataFrame(alerts))
     assert sorted((r.event_id, r.count_5m) for r in first.collect()) == \
         sorted((r.event_id, r.count_5m) for r in flags.collect())
+
+
+def test_orphan_flags_wait_for_their_account(spark, tmp_path):
+    """Flags of an unknown account are parked, and stored once it has arrived; the source is a DataFrame."""
+    from txnlake.streaming.velocity import read_orphans
+    src, sink, ckpt = str(tmp_path / "src"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = lambda lo, hi: [(k, str(k), ["A1", "A2"][k % 2], Decimal(900), "USD",
+                            t0 + dt.timedelta(minutes=k), "c") for k in range(lo, hi)]
+    known = ["A1"]
+    accounts = lambda s: s.createDataFrame([(a,) for a in known], "id STRING")
+
+    def run():
+        stream = spark.readStream.schema(cdc.RECORD_SCHEMA).json(src)
+        start_velocity_stream(spark, stream, sink, ckpt, accounts=accounts).awaitTermination()
+
+    _write_records(spark, rows(0, 10), src)
+    run()
+    parked = read_orphans(spark, sink)
+    assert {r.account_id for r in parked.collect()} == {"A2"} and parked.count() > 0
+    assert {r.account_id for r in read_flags(spark, sink).collect()} == {"A1"}
+    waiting = {r.event_id for r in parked.collect()}
+    known.append("A2")
+    _write_records(spark, rows(10, 12), src)
+    run()
+    assert read_orphans(spark, sink).count() == 0
+    flags = read_flags(spark, sink)
+    assert waiting <= {r.event_id for r in flags.collect()}
+    assert flags.count() == flags.select("event_id").distinct().count()
+
+
+def test_ingest_stream_is_the_same_for_any_split_and_after_a_replay(spark, tmp_path):
+    """However requests are dealt into batches, a key's first valid request claims it; replayed batches agree."""
+    from pyspark.sql import functions as F
+    from txnlake.operators import ingest
+    from txnlake.streaming import ingest as stream_ingest
+    t0 = dt.datetime(2024, 1, 1)
+    cols = "seq LONG, idem_key STRING, account_id STRING, type STRING, amount STRING, currency STRING, " \
+           "merchant_name STRING, merchant_category STRING, description STRING, country STRING, " \
+           "created_at TIMESTAMP_NTZ"
+    # a third of the requests on one key; invalid ones, unknown accounts, no keys, replays and conflicts
+    rows = [(k, "hot" if k % 3 == 0 else None if k % 17 == 1 else f"k{k % 11}",
+             "A9" if k % 7 == 2 else "A1", "PAYMENT", "0" if k % 5 == 4 else str(1 + k % 2), "VND", "Cafe", None,
+             None, "VN", t0 + dt.timedelta(seconds=k)) for k in range(90)]
+    accounts = lambda s: s.createDataFrame([("A1", "VND")], "id STRING, currency STRING")
+    df = spark.createDataFrame(rows, cols)
+    # only an answer of 201 names a transaction
+    told = ["seq", "outcome", "code", F.when(F.col("code") == 201, F.col("transaction_id")).alias("id")]
+    want = sorted(tuple(r) for r in ingest.classify_requests(df, accounts(spark)).select(*told).collect())
+    assert {w[1] for w in want} >= {"NEW", "REPLAY", "CONFLICT", "INVALID", "UNKNOWN_ACCOUNT", "MISSING_KEY"}
+    for name, cuts in (("one", [0, 90]), ("many", [0, 1, 4, 40, 41, 90])):
+        sink = str(tmp_path / name)
+        write = stream_ingest._classify_batch(sink, accounts, "POST /v1/transactions")
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            batch = df.where(F.col("seq").between(a, b - 1))
+            write(batch, n)
+            if n % 2 == 0:
+                write(batch, n)  # the same batch again, after its claims were stored
+        got = sorted(tuple(r) for r in stream_ingest.read_outcomes(spark, sink).select(*told).collect())
+        assert got == want, name
+        claims = stream_ingest.claims_table(spark, sink).read()
+        assert claims.count() == claims.select("idem_key").distinct().count() == sum(w[1] == "NEW" for w in want)
+        assert stream_ingest.read_transactions(spark, sink).count() == claims.count()
+        assert stream_ingest.read_outbox(spark, sink).count() == claims.count()

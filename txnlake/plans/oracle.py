@@ -185,6 +185,15 @@ FROM valerts) WHERE rn = 1""",
 }
 
 
+# the same views over the requested transactions as change events
+DERIVED["r_cdc"] = """
+SELECT seq, CAST(seq AS VARCHAR) AS id, account_id, CAST(amount AS DECIMAL(20,6)) AS amount, currency, created_at,
+  'c' AS op FROM f_requests"""
+for _view, _name in (("vwin", "rwin"), ("valerts", "ralerts"), ("vflags", "rflags")):
+    DERIVED[_name] = DERIVED[_view].replace("f_cdc", "r_cdc").replace("FROM vwin", "FROM rwin").replace(
+        "FROM valerts", "FROM ralerts")
+
+
 def _uuid5_sql(name_expr: str, namespace: str) -> str:
     """uuid5 in DuckDB text functions (sha1 over namespace bytes + name)."""
     ns = namespace.replace("-", "")
@@ -238,6 +247,7 @@ DEPENDS = {
     "dim_customer_k": ["dim_customer_b"], "dim_merchant_k": ["dim_merchant_b"],
     "fact": ["stg", "dim_account_k", "dim_customer_k", "dim_merchant_k"],
     "mart_gmv": ["stg"], "mart_top": ["fact", "dim_merchant_k", "f_transactions"],
+    "r_cdc": ["f_requests"], "rwin": ["r_cdc"], "ralerts": ["rwin"], "rflags": ["ralerts"],
     "vwin": ["f_cdc"], "valerts": ["vwin"], "vflags": ["valerts"],
     "req_r": ["f_requests", "f_accounts"], "req_reason": ["req_r"], "req_claims": ["req_reason"],
     "req_class": ["req_reason", "req_claims"], "outbox": ["req_class"],
@@ -524,9 +534,11 @@ UNION ALL SELECT 'risk_flags', count(*) FROM vflags WHERE account_id IN (SELECT
     s["velocity_flags"] = with_views(
         "SELECT account_id, window_start, window_end, reason, count_5m, sum_5m FROM vflags", "vflags")
     s["flags_known_account"] = with_views("""
-SELECT account_id, window_end, reason FROM vflags
-WHERE account_id IN (SELECT id FROM f_accounts WHERE CAST(customer_id AS BIGINT) % 4 IN (0, 1))""",
-        "vflags", "f_accounts")
+SELECT account_id, window_end, reason FROM rflags WHERE account_id IN (SELECT id FROM f_accounts)""",
+        "rflags", "f_accounts")
+    s["flags_orphans"] = with_views("""
+SELECT account_id, window_end, reason, count_5m, sum_5m FROM rflags
+WHERE account_id NOT IN (SELECT id FROM f_accounts)""", "rflags", "f_accounts")
     name = "account_id || ':' || strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00:' || reason"
     s["serve_risk_flags"] = with_views(f"""
 SELECT {_uuid5_sql(name, config.FLAG_NAMESPACE)} AS event_id, account_id, window_start, window_end, count_5m, CAST(sum_5m AS VARCHAR) AS sum_5m, reason, created_at
@@ -576,6 +588,7 @@ UNION ALL
 SELECT 'transactions', id, status, amount, ts FROM txn WHERE event_type <> 'error'""",
         "f_account_snapshots").replace("\n, acc AS", ", acc AS", 1)
     s["ingest_idempotency_two_batches"] = s["ingest_idempotency"]
+    s["ingest_stream"] = s["ingest_idempotency"]
     s["idempotency_records"] = with_views("""
 SELECT 'POST /v1/transactions' AS endpoint, idem_key, CAST(201 AS INTEGER) AS response_code
 FROM req_class WHERE outcome = 'NEW'""", "req_class")

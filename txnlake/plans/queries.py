@@ -522,10 +522,10 @@ def q_velocity_flags(spark, sf):
 
 
 def q_flags_known_account(spark, sf):
-    acc = fx.accounts(spark, sf).where((F.col("customer_id").cast("bigint") % 4).isin(0, 1))
-    f = velocity_flags_df(spark, sf)
-    return f.join(acc.select(F.col("id").alias("account_id")), "account_id", "left_semi") \
-            .select("account_id", "window_end", "reason")
+    """Flags of the requested transactions whose account exists."""
+    f = velocity.flags(velocity.velocity_hits(fx.request_events(spark, sf)))
+    acc = fx.accounts(spark, sf).select(F.col("id").alias("account_id"))
+    return f.join(acc, "account_id", "left_semi").select("account_id", "window_end", "reason")
 
 
 def q_serve_risk_flags(spark, sf):

@@ -198,6 +198,14 @@ def transaction_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requested transactions as change events; some name an account that doesn't exist."""
+    r = transaction_requests(spark, sf_dir)
+    return r.select("seq", F.col("seq").cast("string").alias("id"), "account_id",
+                    F.col("amount").cast("decimal(20,6)").alias("amount"), "currency", "created_at",
+                    F.lit("c").alias("op"))
+
+
 def customer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")

@@ -15,7 +15,9 @@ from txnlake.session import prepare, scratch_path
 from txnlake.sources import cdc
 from txnlake.sources import fixtures as fx
 from txnlake.sources.buckets import BucketedTable
-from txnlake.streaming.velocity import read_alerts, read_messages, start_velocity_stream
+from txnlake.sources.requests import read_requests, write_requests
+from txnlake.streaming.ingest import read_outcomes, start_ingest_stream
+from txnlake.streaming.velocity import read_alerts, read_messages, read_orphans, start_velocity_stream
 
 
 def write_cdc_files(spark: SparkSession, sf: str) -> str:
@@ -84,7 +86,34 @@ def q_velocity_messages(spark: SparkSession, sf: str) -> DataFrame:
         "b.tx_example")
 
 
+def q_flags_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """Flags of the requested transactions that wait for an unknown account."""
+    prepare(spark)
+    src, sink = scratch_path(spark, "cdc-records"), scratch_path(spark, "velocity-sink")
+    cdc.to_records(fx.request_events(spark, sf)).write.json(src)
+    start_velocity_stream(spark, src, sink, scratch_path(spark, "velocity-ckpt"),
+                          accounts=lambda s: fx.accounts(s, sf)).awaitTermination()
+    return read_orphans(spark, sink).select("account_id", "window_end", "reason", "count_5m", "sum_5m")
+
+
+def q_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Transaction requests through the stream: three arrivals, each run from the checkpoint of the last."""
+    prepare(spark)
+    src, sink = scratch_path(spark, "requests"), scratch_path(spark, "ingest-sink")
+    ckpt = scratch_path(spark, "ingest-ckpt")
+    reqs = fx.transaction_requests(spark, sf)
+    last = reqs.agg(F.max("seq")).scalar()
+    for n in range(3):
+        write_requests(reqs.where((F.col("seq") >= last * n / 3) & (
+            (F.col("seq") < last * (n + 1) / 3) | F.lit(n == 2))), src)
+        stream = read_requests(spark, src, "transactions", streaming=True)
+        start_ingest_stream(stream, lambda s: fx.accounts(s, sf), sink, ckpt).awaitTermination()
+    return read_outcomes(spark, sink).select("seq", "idem_key", "outcome", "code")
+
+
 STREAM_QUERIES = {
+    "flags_orphans": q_flags_orphans,
+    "ingest_stream": q_ingest_stream,
     "velocity_messages": q_velocity_messages,
     "cdc_decode": q_cdc_decode,
     "cdc_table_state": q_cdc_table_state,

@@ -24,7 +24,7 @@ replayed batch rewrites the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from decimal import Decimal
 from itertools import accumulate, takewhile
 
@@ -39,7 +39,7 @@ from txnlake.functions.scalar import micros_to_ts
 from txnlake.session import ship_package
 from txnlake.operators import velocity as batch_velocity
 from txnlake.sources import cdc
-from txnlake.sources.tables import path_exists
+from txnlake.sources.tables import VersionedTable, path_exists
 
 STATE_SCHEMA = "ts_us LONG, amount STRING"
 OUTPUT_SCHEMA = ("seq LONG, id STRING, account_id STRING, currency STRING, amount DECIMAL(20,6), "
@@ -159,8 +159,41 @@ def trailing_window_stream(events: DataFrame, cfg: config.VelocityConfig = confi
     return out.withColumn("created_at", micros_to_ts(F.col("ts_us"))).drop("ts_us")
 
 
-def _write_batch(sink: str, cfg: config.VelocityConfig):
+def split_known(flags: DataFrame, accounts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(flags of known accounts, flags that must wait for theirs)."""
+    known = accounts.select(F.col("id").alias("account_id")).distinct()
+    return flags.join(known, "account_id", "left_semi"), flags.join(known, "account_id", "left_anti")
+
+
+def store_flags(spark: SparkSession, sink: str, new_flags: DataFrame, accounts: DataFrame | None = None) -> None:
+    """Insert-if-absent on event_id.  With ``accounts`` a flag needs a known account.
+
+    Flags of unknown accounts wait in ``flags_orphans`` and are tried again
+    with every batch.  Known ones are stored before they leave that table, so
+    a crash in between only tries them once more.
+    """
+    parked = VersionedTable(spark, f"{sink}/flags_orphans")
+    left = None
+    if accounts is not None:
+        waiting = parked.read()
+        if waiting is not None:
+            new_flags = waiting.select(*new_flags.columns).unionByName(new_flags).dropDuplicates(["event_id"])
+        new_flags, left = split_known(new_flags, accounts)
+    flags_path = f"{sink}/flags"
+    if path_exists(spark, flags_path):
+        # the flag id contains window_end, so only the dates this batch touches can
+        # hold a duplicate: the date in the join key prunes the stored partitions
+        stored = spark.read.parquet(flags_path).select("window_date", "event_id")
+        new_flags = new_flags.join(stored, ["window_date", "event_id"], "left_anti")
+    new_flags.write.mode("append").partitionBy("window_date").parquet(flags_path)
+    if left is not None:
+        parked.overwrite(left)
+
+
+def _write_batch(sink: str, cfg: config.VelocityConfig,
+                 accounts: Callable[[SparkSession], DataFrame] | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist()
         try:
             hits = batch_velocity.alerts(batch, cfg)
@@ -169,36 +202,43 @@ def _write_batch(sink: str, cfg: config.VelocityConfig):
                 f"{sink}/messages/batch_id={batch_id}")
             new_flags = batch_velocity.flags(hits).withColumn("batch_id", F.lit(batch_id)) \
                                                   .withColumn("window_date", F.to_date("window_end"))
-            flags_path = f"{sink}/flags"
-            if path_exists(batch.sparkSession, flags_path):
-                # the flag id contains window_end, so only the dates this batch touches can
-                # hold a duplicate: the date in the join key prunes the stored partitions
-                stored = batch.sparkSession.read.parquet(flags_path).select("window_date", "event_id")
-                new_flags = new_flags.join(stored, ["window_date", "event_id"], "left_anti")
-            new_flags.write.mode("append").partitionBy("window_date").parquet(flags_path)
+            store_flags(spark, sink, new_flags, accounts(spark) if accounts else None)
         finally:
             batch.unpersist()
     return write
 
 
-def start_velocity_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
+def start_velocity_stream(spark: SparkSession, source: str | DataFrame, sink_dir: str, checkpoint: str,
                           cfg: config.VelocityConfig = config.VelocityConfig(),
-                          available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the CDC -> velocity -> alerts/flags stream; returns the query."""
+                          available_now: bool = True, max_files_per_trigger: int | None = None,
+                          accounts: Callable[[SparkSession], DataFrame] | None = None):
+    """Start the CDC -> velocity -> alerts/flags stream; returns the query.
+
+    ``source`` is a folder of JSON record files, or any streaming DataFrame with
+    the record columns (for Kafka: ``value`` and header values cast to
+    string).  ``accounts`` gives the accounts as they are when a batch is
+    processed; flags of unknown ones are parked.
+    """
     ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    reader = spark.readStream.schema(cdc.RECORD_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    decoded = cdc.decode(reader.json(source_dir))
-    windowed = trailing_window_stream(decoded, cfg)
-    writer = windowed.writeStream.foreachBatch(_write_batch(sink_dir, cfg)) \
+    if isinstance(source, str):
+        reader = spark.readStream.schema(cdc.RECORD_SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        source = reader.json(source)
+    windowed = trailing_window_stream(cdc.decode(source), cfg)
+    writer = windowed.writeStream.foreachBatch(_write_batch(sink_dir, cfg, accounts)) \
                      .option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="5 seconds")
     return writer.start()
 
 
+def read_orphans(spark: SparkSession, sink_dir: str) -> DataFrame | None:
+    """Flags that wait for their account."""
+    return VersionedTable(spark, f"{sink_dir}/flags_orphans").read()
+
+
 def read_alerts(spark: SparkSession, sink_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sink_dir}/alerts")
 
