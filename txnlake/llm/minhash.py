@@ -12,16 +12,12 @@ signature therefore cost about two points per shingle.
 
 Texts that agree on a band of ``rows`` registers meet in a bucket.  Equal texts are
 merged first.  In a bucket of at most ``small`` texts all pairs are
-candidates; a larger one is worked off in three rounds of stars.  Its pivot, the
-text that shares most with others, is compared with every text first; then
-a few of the texts outside the pivot's component are leaders and are compared
-with the texts outside their own component.  Weighted Jaccard distance is a
-metric, so two texts whose similarities to the pivot differ by more than
-1 - 0.8 need no comparison, and no pair is compared twice.  Candidates are
+candidates; in a larger one its pivot, the text that shares most with others,
+is compared with every text.  No pair is compared twice here.  Candidates are
 verified by exact multiset overlap.
 
-At last all texts that are still outside, the strays, meet the whole of their
-buckets: block by block, as one product of element matrices per two blocks,
+Texts that are then outside the pivot's component, the strays, meet the whole
+of their buckets: block by block, as one product of element matrices per two blocks,
 in which every pair's overlap is exact.  The buckets around one main component
 are taken together where that makes fewer pairs than one by one.  No pair
 leaves a task, only the links that hold its blocks' components together.
@@ -218,7 +214,7 @@ def _small_pairs(buckets: DataFrame, counts: DataFrame, small: int) -> DataFrame
     return pairs.where(_near_sizes("nx", "ny")).select("x", "y").distinct()
 
 
-def near_classes(docs: DataFrame, small: int = 8, leaders: int = 16) -> tuple[DataFrame, DataFrame]:
+def near_classes(docs: DataFrame, small: int = 8) -> tuple[DataFrame, DataFrame]:
     """(texts with node/th/first, (node, root) of the texts in classes of several texts)."""
     texts = _texts(docs)
     rows = texts.select("node", "n", F.explode("bands").alias("key"))
@@ -255,66 +251,38 @@ def near_classes(docs: DataFrame, small: int = 8, leaders: int = 16) -> tuple[Da
     star = large.where("node <> pivot").select(
         F.least("node", "pivot").alias("x"), F.greatest("node", "pivot").alias("y")).distinct()
     tested = store(tested.union(verified(star.join(tested, ["x", "y"], "left_anti"))), "op7-tested")
-    large = store(large.withColumns({"x": F.least("node", "pivot"), "y": F.greatest("node", "pivot")})
-                  .join(tested, ["x", "y"], "left")
-                  .select("key", "node", "n", "pivot", F.coalesce("j", F.lit(1.0)).alias("near")),
-                  "op7-large")
+    large = store(large.select("key", "node", "n", "pivot"), "op7-large")
 
     parts = parts_for(large.count())
-
-    def state_of(tested: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(buckets with each text's component and the pivot's, components so far)."""
-        roots = _roots(tested)
-        state = (large.join(roots.select("node", "root"), "node", "left").coalesce(parts)
-                 .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")),
-                       "pivot", "left")
-                 .withColumn("root", F.coalesce("root", "node"))
-                 .withColumn("main", F.coalesce("main", "pivot")).coalesce(parts))
-        return store(state, "op7-state"), roots
-
-    state, roots = state_of(tested)
-    outside = state.where("root <> main")  # in buckets that are one component already, nobody
-    # row_number <= k is limited before the shuffle, bucket by bucket
-    turn = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    led = store(outside.withColumn("turn", turn).where(F.col("turn") <= leaders).select(
-        "key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "root", "n", "near")]).coalesce(parts),
-        "op7-leaders")
-    if led.isEmpty():
-        return texts, roots
-    pairs = (state.join(led, "key").where("root <> lead_root")
-             .where(F.abs(F.col("near") - F.col("lead_near")) <= 1 - SIMILARITY + 1e-9)
-             .where(_near_sizes("n", "lead_n"))
-             .select(F.least("node", "lead_node").alias("x"),
-                     F.greatest("node", "lead_node").alias("y")).distinct())
-    tested = store(tested.union(verified(pairs.join(tested, ["x", "y"], "left_anti"))), "op7-tested")
-
-    state, roots = state_of(tested)
-    strays = state.where("root <> main").join(led.select("key", F.col("lead_node").alias("node")),
-                                              ["key", "node"], "left_anti")
-    if strays.isEmpty():
+    roots = _roots(tested)
+    state = store(
+        large.join(roots.select("node", "root"), "node", "left").coalesce(parts)
+        .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")), "pivot", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+        .withColumn("main", F.coalesce("main", "pivot")).coalesce(parts), "op7-state")
+    if state.where("root <> main").isEmpty():  # buckets that are one component each are done
         return texts, roots
-    return texts, _roots(tested.union(stray_links(state, strays, bags)))
+    return texts, _roots(tested.union(stray_links(state, bags)))
 
 
-def stray_links(state: DataFrame, strays: DataFrame, bags: DataFrame, block_rows: int = 512,
+def stray_links(state: DataFrame, bags: DataFrame, block_rows: int = 512,
                 block_bytes: int = 16 << 20) -> DataFrame:
-    """(x, y, j): links that connect ``strays`` with what they are similar to in their buckets."""
-    met = state.join(strays.select("key").distinct(), "key", "left_semi").select("key", "main", "node", "n")
-    ours = strays.select("key", "main", "node", "n")
-    number = F.count(F.lit(1))
-    by_key = met.groupBy("main", "key").agg(number.alias("b")).join(
-        ours.groupBy("main", "key").agg(number.alias("a")), ["main", "key"]).groupBy("main").agg(
-        F.sum(F.col("a") * F.col("b")).alias("apart"))
-    whole = lambda df, c: df.select("main", "node").distinct().groupBy("main").agg(number.alias(c))
-    plan = by_key.join(whole(met, "b"), "main").join(whole(ours, "a"), "main").select(
-        "main", (F.col("a") * F.col("b") < F.col("apart")).alias("whole"))
+    """(x, y, j): links that connect strays with what they are similar to in their buckets."""
+    number, stray = F.count(F.lit(1)), F.col("root") != F.col("main")
+    state = state.select("main", "key", "node", "n", stray.alias("stray"))
+    strays = F.sum(F.col("stray").cast("int")).alias("a")
+    keys = store(state.groupBy("main", "key").agg(number.alias("b"), strays).where("a > 0"), "op7-keys")
+    nodes = store(state.select("main", "node", "n", "stray").distinct(), "op7-around")
+    plan = store(keys.groupBy("main").agg(F.sum(F.col("a") * F.col("b")).alias("apart")).join(
+        nodes.groupBy("main").agg(number.alias("b"), strays), "main").select(
+        "main", (F.col("a") * F.col("b") < F.col("apart")).alias("whole")), "op7-plan")
     group = ["main", "part"]
-
-    def grouped(df: DataFrame) -> DataFrame:
-        return df.join(plan, "main").select(
-            "main", F.when(~F.col("whole"), F.col("key")).otherwise(F.lit(0)).alias("part"), "node", "n").distinct()
-
-    ours, met = store(grouped(ours), "op7-strays"), store(grouped(met), "op7-met")
+    together = nodes.join(plan.where("whole"), "main").select(
+        "main", F.lit(0).cast("long").alias("part"), "node", "n", "stray")
+    apart = state.join(keys.join(plan.where("not whole"), "main").select("main", "key"), ["main", "key"]).select(
+        "main", F.col("key").alias("part"), "node", "n", "stray")
+    met = store(together.unionByName(apart), "op7-met")
+    ours = met.where("stray")
     blocks = F.ceil(F.greatest(number / block_rows, F.sum("n") * 12 / block_bytes)).cast("int")
     sizes = ours.groupBy(*group).agg(blocks.alias("a")).join(met.groupBy(*group).agg(blocks.alias("b")), group)
     sizes = store(sizes, "op7-blocks")
