@@ -8,15 +8,22 @@ discarded: it shares no longer prefix with any other, and neither does a
 suffix that would need it for its next pair.  So the table shrinks from depth
 to depth.
 
-A run of lines matters from ``min_bytes`` bytes on (newlines included).  For
-a suffix, ``need`` is the least number of lines that reaches that size; equal
-prefixes have equal needs.  The suffixes that agree on these lines are a
-longest-common-prefix interval of the array: they are found at depth
-2**k <= need by two overlapping ranks, at i and at i + need - 2**k.  All but
-the first of an interval, in the order (doc_id, text hash, line), are later
-copies.  Their lines are deleted; overlapping intervals join up to maximal
-repeated runs.  Doubling goes on until no ``need`` is left; a newline counts
-as a byte, so that is at most log2(min_bytes) rounds.
+A run of lines matters from ``min_bytes`` bytes on (newlines included).  The
+default of 20 takes every repeated line of 19 bytes or more; blank and very
+short lines go only within a longer run.  What goes, for every suffix, is the
+longest prefix that also starts earlier, if it has that size.
+
+For a suffix, ``need`` is the least number of lines that reaches the size, and
+``most`` the greatest at which the lines after its first stay below it.  The
+suffixes that agree on n lines are a longest-common-prefix interval of the
+array: they are found at depth 2**k <= n by two overlapping ranks, at i and at
+i + n - 2**k.  All but the first of an interval, in the order (doc_id, text
+hash, line), are later copies.  Intervals are taken at every n from ``need``
+to ``most``: a still longer prefix leaves a prefix of full size to the next
+line's suffix, so together the intervals cover exactly the longest prefixes,
+their short last lines too.  Overlapping intervals join up to maximal repeated
+runs.  Doubling goes on until no length is left; a newline counts as a byte,
+so that is at most log2(min_bytes) rounds.
 
 Only DataFrame functions are used.  Classes are counted with partial
 aggregation before any shuffle, and joins back to a class are equi-joins on a
@@ -50,7 +57,7 @@ def _unit() -> tuple:
 
 
 def _suffixes(docs: DataFrame, min_bytes: int) -> DataFrame:
-    """doc, th, pos, line id (a, b), need: a row per line."""
+    """doc, th, pos, line id (a, b), need, most: a row per line."""
     lines = docs.where(F.col("text").isNotNull()).select(
         *_unit(), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     rows = lines.select("doc", "th", "pos", F.xxhash64("line").alias("a"),
@@ -58,13 +65,16 @@ def _suffixes(docs: DataFrame, min_bytes: int) -> DataFrame:
                         (F.octet_length("line") + 1).cast("long").alias("size"))
     rows = rows.repartition(*_DOC).dropDuplicates([*_DOC, "pos"])
     doc = Window.partitionBy(*_DOC)
-    start = F.sum("size").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("start", start - F.col("size"))
+    stop = F.sum("size").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("stop", stop).withColumn("start", F.col("stop") - F.col("size"))
     # lines that start within min_bytes of this one's start: one more than fit below that size
     need = F.count(F.lit(1)).over(doc.orderBy("start").rangeBetween(0, min_bytes - 1))
     whole = F.sum("size").over(doc)
-    return rows.select(*_DOC, "pos", "a", "b", F.when(
+    # this line, and the lines after it that stay below min_bytes together
+    most = F.count(F.lit(1)).over(doc.orderBy("stop").rangeBetween(0, min_bytes - 1))
+    rows = rows.select(*_DOC, "pos", "a", "b", most.cast("int").alias("most"), F.when(
         whole - F.col("start") >= min_bytes, need.cast("int")).alias("need"))
+    return rows.withColumn("most", F.greatest("need", "most"))
 
 
 def _ranks(pairs: DataFrame, name: str) -> DataFrame:
@@ -82,24 +92,25 @@ def _at(suffixes: DataFrame, shift) -> DataFrame:
 
 
 def later_copies(docs: DataFrame, min_bytes: int) -> DataFrame:
-    """(doc, th, pos, need): the windows that occur earlier, from the LCP intervals."""
+    """(doc, th, pos, n): the runs of n lines that occur earlier, from the LCP intervals."""
     rows = store(_suffixes(docs, min_bytes), "op4-lines")
     found, depth = [], 1
     pairs = rows
     while True:
         ranks = _ranks(pairs, f"op4-ranks-{depth}")
-        suffixes = store(pairs.join(ranks, ["a", "b"]).select(*_DOC, "pos", "need", "rank"),
+        suffixes = store(pairs.join(ranks, ["a", "b"]).select(*_DOC, "pos", "need", "most", "rank"),
                          f"op4-suffixes-{depth}")
-        due = suffixes.where(F.col("need").between(depth, 2 * depth - 1))
+        due = suffixes.where((F.col("most") >= depth) & (F.col("need") < 2 * depth)).withColumn("n", F.explode(
+            F.sequence(F.greatest("need", F.lit(depth)), F.least("most", F.lit(2 * depth - 1)))))
         ends = suffixes.select(*_DOC, F.col("pos").alias("at"), F.col("rank").alias("tail"))
-        due = due.withColumn("at", F.col("pos") + F.col("need") - depth).join(ends, [*_DOC, "at"])
-        key = ["need", "rank", "tail"]
+        due = due.withColumn("at", F.col("pos") + F.col("n") - depth).join(ends, [*_DOC, "at"])
+        key = ["n", "rank", "tail"]
         place = F.struct(*_DOC, "pos")
         # stored, so that the join below has exchanges of its own, which skew-join splitting divides
-        first = store(due.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                      .where("n > 1").drop("n"), f"op4-first-{depth}")
-        found.append(due.join(first, key).where(place > F.col("first")).select(*_DOC, "pos", "need"))
-        if suffixes.where(F.col("need") >= 2 * depth).isEmpty():
+        first = store(due.groupBy(*key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
+                      .where("copies > 1").drop("copies"), f"op4-first-{depth}")
+        found.append(due.join(first, key).where(place > F.col("first")).select(*_DOC, "pos", "n"))
+        if suffixes.where(F.col("most") >= 2 * depth).isEmpty():
             break
         pairs = suffixes.withColumnRenamed("rank", "a").join(
             _at(suffixes, depth), [*_DOC, "pos"])
@@ -109,7 +120,7 @@ def later_copies(docs: DataFrame, min_bytes: int) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
     """(doc, th, runs): the maximal runs of deleted lines, as sorted (from, to) pairs."""
-    spans = later_copies(docs, min_bytes).withColumn("end", F.col("pos") + F.col("need"))
+    spans = later_copies(docs, min_bytes).withColumn("end", F.col("pos") + F.col("n"))
     doc = Window.partitionBy(*_DOC).orderBy("pos")
     reached = F.max("end").over(doc.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.withColumn("new", F.coalesce(F.col("pos") > reached, F.lit(True)).cast("int"))
@@ -119,7 +130,7 @@ def repeated_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
     return runs.groupBy(*_DOC).agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_bytes: int = 20) -> DataFrame:
     """``row`` (all input columns), n_lines, runs (null: none), kept (the text that is left)."""
     found = repeated_runs(docs.select("doc_id", "text"), min_bytes)
     rows = docs.select(F.struct(*docs.columns).alias("row"), *_unit())
@@ -156,19 +167,23 @@ sized AS (
          sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS stop,
          sum(strlen(line) + 1) OVER (PARTITION BY doc_id) AS whole
   FROM lines),
+-- runs of 20 bytes or more, as short as can be or with less than 20 after their first line
+spans AS (
+  SELECT a.doc_id, a.pos, e.pos - a.pos + 1 AS n
+  FROM sized a JOIN sized e ON e.doc_id = a.doc_id AND e.pos >= a.pos AND e.pos < a.pos + 20
+  WHERE e.stop - (a.stop - a.size) >= 20
+    AND (e.stop - e.size - (a.stop - a.size) < 20 OR e.stop - a.stop < 20)),
 windows AS (
-  SELECT a.doc_id, a.pos, count(*) AS need, string_agg(b.line, chr(10) ORDER BY b.pos) AS run
-  FROM sized a JOIN sized b ON b.doc_id = a.doc_id AND b.pos >= a.pos
-       AND b.stop - b.size < a.stop - a.size + 100
-  WHERE a.whole - (a.stop - a.size) >= 100
-  GROUP BY a.doc_id, a.pos),
+  SELECT s.doc_id, s.pos, s.n, string_agg(l.line, chr(10) ORDER BY l.pos) AS run
+  FROM spans s JOIN lines l ON l.doc_id = s.doc_id AND l.pos >= s.pos AND l.pos < s.pos + s.n
+  GROUP BY s.doc_id, s.pos, s.n),
 copies AS (
-  SELECT doc_id, pos, need FROM windows
-  QUALIFY row_number() OVER (PARTITION BY run, need ORDER BY doc_id, pos) > 1),
+  SELECT doc_id, pos, n FROM windows
+  QUALIFY row_number() OVER (PARTITION BY run, n ORDER BY doc_id, pos) > 1),
 marked AS (
   SELECT l.doc_id, l.pos, l.line,
          EXISTS (SELECT 1 FROM copies c WHERE c.doc_id = l.doc_id
-                 AND l.pos >= c.pos AND l.pos < c.pos + c.need) AS gone
+                 AND l.pos >= c.pos AND l.pos < c.pos + c.n) AS gone
   FROM lines l),
 edges AS (
   SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS opens
