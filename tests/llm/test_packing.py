@@ -78,3 +78,30 @@ def test_edges(llm_spark, edges, nothing):
         whole[r["doc_id"]] += r["size"]
     assert whole[1] == whole[2] == whole[3] == 1 and whole[7] == 30_001 and whole[5] == 2 * 8
     assert pack_stage(llm_spark, nothing, "").count() == 0
+
+
+def test_bins_do_not_depend_on_settings_or_file_layout(llm_spark):
+    rnd = random.Random(3)
+    docs = documents(llm_spark, [(k, "w " * rnd.randint(0, 90), rnd.choice("abc")) for k in range(400)]
+                     + [(7777, "one row many times", "d")] * 150)
+
+    def bins(df):
+        return sorted(map(tuple, best_fit_packing(df, words(F.col("text")) + 1, F.col("source"),
+                                                  F.xxhash64("text"), capacity=32, cell_pieces=128).collect()))
+
+    want = bins(docs)
+    before = llm_spark.conf.get("spark.sql.shuffle.partitions")
+    llm_spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert bins(docs.orderBy(F.desc("doc_id")).repartition(5)) == want
+    finally:
+        llm_spark.conf.set("spark.sql.shuffle.partitions", before)
+    copies = [r for r in want if r[0] == 7777]
+    assert len(copies) == 150 == len({(r[4], r[5]) for r in copies}) and len({r[4] for r in copies}) > 1
+
+
+def test_null_source_and_cluster_are_in_conflict_with_nothing(llm_spark):
+    docs = documents(llm_spark, [(k, "two words", None) for k in range(8)])
+    rows = best_fit_packing(docs, words(F.col("text")) + 1, F.col("source"), F.lit(None).cast("string"),
+                            capacity=24).collect()
+    assert len({(r.cell, r.bin) for r in rows}) == 1

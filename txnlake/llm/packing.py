@@ -10,8 +10,11 @@ until a bin without a conflict is found; only then a new bin is opened.
 
 Packing runs in cells: a hash of the document spreads the pieces over as many
 cells as ``cell_pieces`` asks for, whatever their source or cluster, so a
-source or cluster with a third of all rows is spread like any other.  A cell
-is a bounded group; only sizes and ids are shuffled, never texts.
+source or cluster with a third of all rows is spread like any other; copies of
+one row and pieces of one text are dealt out 64 at a time.  A cell is a bounded
+group; only sizes and ids are shuffled, never texts.  The number of cells
+depends on the pieces alone, and bins on the rows alone, not on settings or
+the layout of the files.
 
 Defined cases: null and empty texts are one piece of size 1.  A null source
 or cluster is in conflict with nothing.  Rows equal in doc_id and text are
@@ -70,7 +73,8 @@ def best_fit(sizes: list[int], sources: list[int], clusters: list[int],
 
 
 def _pack_cell(key: tuple, cell: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    cell = cell.sort_values(["size", "doc_id", "th", "piece"], ascending=[False, True, True, True],
+    cell = cell.sort_values(["size", "doc_id", "th", "piece", "source", "cluster"],
+                            ascending=[False] + [True] * 5,
                             kind="stable", ignore_index=True)
     placed = best_fit(cell["size"].tolist(), pd.factorize(cell["source"])[0].tolist(),
                       pd.factorize(cell["cluster"])[0].tolist(), capacity)
@@ -82,33 +86,29 @@ def best_fit_packing(docs: DataFrame, size: Column, source: Column, cluster: Col
                      capacity: int = 2048, cell_pieces: int = 4096) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, piece, start, size, cell, bin, offset.
 
-    A bin is named by (cell, bin), negative bins hold one full piece; ``start`` is the piece's place in its
-    document and ``offset`` its place in the bin, both in units of ``size``.
+    A bin is named by (cell, bin); ``start`` is the piece's place in its document and ``offset`` its place in
+    the bin, both in units of ``size``.
     """
-    spark = docs.sparkSession
+    row = ["doc_id", "th", "n", "source", "cluster"]
     sized = store(docs.select(
         "doc_id", size.cast("long").alias("n"), source.cast("string").alias("source"),
-        cluster.cast("string").alias("cluster"), F.hex(text_digest(F.col("text"))).alias("th")),
-        "op1-sizes")
-    pieces = sized.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {capacity})")))
+        cluster.cast("string").alias("cluster"), F.hex(text_digest(F.col("text"))).alias("th"))
+        .groupBy(*row).agg(F.count(F.lit(1)).alias("rows")), "op1-sizes")
+    last = F.expr(f"(n - 1) div {capacity}")
+    total = sized.agg(F.coalesce(F.sum(F.col("rows") * (last + 1)), F.lit(0))).first()[0]
+    cells = max(1, -(-total // cell_pieces))
+    pieces = sized.withColumn("copy", F.explode(F.expr("sequence(1L, rows)"))).withColumn(
+        "piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity)
     pieces = pieces.withColumn("size", F.least(F.col("n") - F.col("start"), F.lit(capacity)))
-    total = sized.agg(F.count(F.lit(1))).first()[0]
-    cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // cell_pieces))
-    # the row number only spreads rows that are equal in doc_id and text
     spread = pieces.withColumn("cell", F.expr(
-        f"pmod(xxhash64(doc_id, th, monotonically_increasing_id() div 64), {cells})"))
-
-    full = spread.where(F.col("size") == capacity)
-    alone = full.select("doc_id", "piece", "start", "size", "cell",
-                        (-1 - F.monotonically_increasing_id()).alias("bin"), F.lit(0).cast("long").alias("offset"))
+        f"pmod(xxhash64(doc_id, th, copy div 64, piece div 64), {cells})"))
 
     def pack(key, cell):
         return _pack_cell(key, cell, capacity)
 
-    rest = spread.where(F.col("size") < capacity).groupBy("cell").applyInPandas(
+    return spread.groupBy("cell").applyInPandas(
         pack, "doc_id long, piece long, start long, size long, cell long, bin long, offset long")
-    return rest.unionByName(alone)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
