@@ -109,6 +109,31 @@ def test_orphan_flags_wait_for_their_account(spark, tmp_path):
     assert flags.count() == flags.select("event_id").distinct().count()
 
 
+def test_late_events_go_aside_and_state_ends_with_the_watermark(spark, tmp_path):
+    """A late event counts nowhere; the others count as if it weren't there; timers leave no state behind."""
+    from txnlake.config import VelocityConfig
+    from txnlake.streaming.velocity import read_late
+    src, sink, ckpt = str(tmp_path / "src"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    t0, cfg = dt.datetime(2024, 1, 1), VelocityConfig(lateness_seconds=60)
+    row = lambda k, account, second: (k, str(k), account, Decimal(150), "USD",
+                                      t0 + dt.timedelta(seconds=second), "c")
+    batches = [[row(k, ["A1", "A2"][k % 2], k) for k in range(100)] + [row(100, "A3", 200)],
+               # the watermark is at 140 s: 139 s is late, 140 s is not; an account may have late events only
+               [row(101, "A1", 139), row(102, "A1", 140), row(103, "A4", 30), row(104, "A2", 150)],
+               # far ahead: nothing of before can count any more
+               [row(105, "A5", 4000)]]
+    late = {101, 103}
+    for batch in batches:
+        _write_records(spark, batch, src)
+        start_velocity_stream(spark, src, sink, ckpt, cfg).awaitTermination()
+    assert {r.seq for r in read_late(spark, sink).collect()} == late
+    model = fast_model([r for b in batches for r in b if r[0] not in late])
+    alerts = read_alerts(spark, sink).collect()
+    assert {a.seq: (a.count_5m, a.sum_5m) for a in alerts} == model  # every single event is over the sum
+    state = spark.read.format("statestore").option("path", ckpt).option("stateVarName", "window").load()
+    assert {r.key.account_id for r in state.select("key").collect()} == {"A5"}
+
+
 def test_ingest_stream_is_the_same_for_any_split_and_after_a_replay(spark, tmp_path):
     """However requests are dealt into batches, a key's first valid request claims it; replayed batches agree."""
     from pyspark.sql import functions as F

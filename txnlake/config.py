@@ -53,9 +53,14 @@ class VelocityConfig:
     slice_seconds: int = 3600
     # Time to live of an idle account's stream state (None: kept for ever).
     idle_ttl_seconds: int | None = None
+    # How far event time may lie behind the latest seen before an event is late
+    # (None: no event is late, and no watermark is kept).
+    lateness_seconds: int | None = None
 
     def __post_init__(self) -> None:
         if self.window_seconds <= 0:
             raise ValueError("window_seconds must be positive")
         if self.slice_seconds < self.window_seconds:
             raise ValueError("slice_seconds must be >= window_seconds")
+        if self.idle_ttl_seconds and self.lateness_seconds is not None:
+            raise ValueError("state ends by idle time or by the watermark, not by both")

@@ -551,6 +551,17 @@ ORDER BY created_at DESC, account_id, reason""", "vflags", "f_cdc")
         "SELECT seq, account_id, amount, currency, created_at FROM f_cdc WHERE op = 'c'", "f_cdc")
     # the stream's input is time-ordered per account, where it equals the batch rule
     s["velocity_stream"] = s["velocity_alerts"]
+    # the watermark before an arrival: the latest event of those before it, in whole milliseconds, less the lateness
+    s["velocity_late_events"] = with_views("""
+, t AS (SELECT *, epoch_us(created_at) AS us FROM f_cdc),
+ a AS (SELECT seq, account_id, amount, created_at, us, least(2,
+      (us - (SELECT min(us) FROM t)) * 3 // ((SELECT max(us) FROM t) - (SELECT min(us) FROM t) + 1)
+      + CASE WHEN seq % 10 = 3 THEN 1 ELSE 0 END) AS arrival
+    FROM t WHERE op = 'c'),
+ w AS (SELECT n.arrival, max(a.us) // 1000 * 1000 - 21600000000 AS mark
+    FROM (SELECT DISTINCT arrival FROM a) n JOIN a ON a.arrival < n.arrival GROUP BY n.arrival)
+SELECT a.seq, a.account_id, a.amount, a.created_at FROM a JOIN w ON w.arrival = a.arrival AND a.us < w.mark""",
+        "f_cdc").replace("\n, t AS", ", t AS", 1)
     s["velocity_messages"] = with_views(f"""
 SELECT account_id AS key, {_uuid5_sql(name, config.FLAG_NAMESPACE)} AS event_id, account_id,
   strftime(window_start, '%Y-%m-%dT%H:%M:%S+00:00') AS window_start,

@@ -7,17 +7,23 @@ folder, then the batch decoder or the checkpointed stream reads them back.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlake import config
+from txnlake.functions.scalar import epoch_micros
 from txnlake.operators import changelog
+from txnlake.plans import params as P
 from txnlake.session import prepare, scratch_path
 from txnlake.sources import cdc
 from txnlake.sources import fixtures as fx
 from txnlake.sources.buckets import BucketedTable
 from txnlake.sources.requests import read_requests, write_requests
 from txnlake.streaming.ingest import read_outcomes, start_ingest_stream
-from txnlake.streaming.velocity import read_alerts, read_messages, read_orphans, start_velocity_stream
+from txnlake.streaming.velocity import (read_alerts, read_late, read_messages, read_orphans,
+                                        start_velocity_stream)
 
 
 def write_cdc_files(spark: SparkSession, sf: str) -> str:
@@ -96,6 +102,27 @@ def q_flags_orphans(spark: SparkSession, sf: str) -> DataFrame:
     return read_orphans(spark, sink).select("account_id", "window_end", "reason", "count_5m", "sum_5m")
 
 
+def q_velocity_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events behind the watermark of the velocity stream: three arrivals, every tenth event one too late.
+
+    Each arrival is run from the checkpoint of the last, which holds the watermark.
+    """
+    prepare(spark)
+    src, sink = scratch_path(spark, "cdc-records"), scratch_path(spark, "velocity-sink")
+    ckpt, cfg = scratch_path(spark, "velocity-ckpt"), replace(
+        config.VelocityConfig(), lateness_seconds=P.LATENESS_SECONDS)
+    events = fx.cdc_events(spark, sf).withColumn("us", epoch_micros("created_at"))
+    low, high = events.agg(F.min("us"), F.max("us")).first()
+    if low is None:
+        low = high = 0
+    third = F.expr(f"(us - {low}) * 3 div ({high} - {low} + 1)")
+    arrival = F.least(F.lit(2), third + F.when(F.col("seq") % 10 == 3, 1).otherwise(0))
+    for n in range(3):
+        cdc.to_records(events.where(arrival == n).drop("us")).write.mode("append").json(src)
+        start_velocity_stream(spark, src, sink, ckpt, cfg).awaitTermination()
+    return read_late(spark, sink).select("seq", "account_id", "amount", "created_at")
+
+
 def q_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Transaction requests through the stream: three arrivals, each run from the checkpoint of the last."""
     prepare(spark)
@@ -114,6 +141,7 @@ def q_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "flags_orphans": q_flags_orphans,
     "ingest_stream": q_ingest_stream,
+    "velocity_late_events": q_velocity_late_events,
     "velocity_messages": q_velocity_messages,
     "cdc_decode": q_cdc_decode,
     "cdc_table_state": q_cdc_table_state,

@@ -16,7 +16,10 @@ proportion to its events, whatever the window holds.
 
 State per account is the held entries ``(event micros, amount)`` in the
 RocksDB state store (checkpointed, survives restarts and executor loss),
-optionally with a time to live for idle accounts.  Rule, bucket labels and
+optionally with a time to live for idle accounts.  With ``lateness_seconds``
+the stream keeps an event-time watermark: events older than it count nowhere
+and go to the side table ``late``, and a timer per account clears its state
+once the watermark has passed everything that its entries can count for.  Rule, bucket labels and
 flag ids are the batch functions applied to the operator's output; flags are
 written insert-if-absent per micro-batch and alerts per batch id, so a
 replayed batch rewrites the same rows.
@@ -44,6 +47,7 @@ from txnlake.sources.tables import VersionedTable, path_exists
 STATE_SCHEMA = "ts_us LONG, amount STRING"
 OUTPUT_SCHEMA = ("seq LONG, id STRING, account_id STRING, currency STRING, amount DECIMAL(20,6), "
                  "ts_us LONG, count_5m LONG, sum_5m DECIMAL(38,6)")
+LATE_COLUMNS = ["seq", "id", "account_id", "currency", "amount", "created_at"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -120,14 +124,17 @@ class TrailingWindowProcessor(StatefulProcessor):
         self.entries = handle.getListState("window", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable",
-                                                                     ignore_index=True)
+        yield self._advance(pd.concat(list(rows), ignore_index=True))
+
+    def _advance(self, batch: pd.DataFrame) -> pd.DataFrame:
+        """The batch with its windows; the entries still held are the new state."""
+        batch = batch.sort_values("seq", kind="stable", ignore_index=True)
         held = list(self.entries.get()) if self.entries.exists() else []
         times = [int(t) for t, _ in held] + batch["ts_us"].astype("int64").tolist()
         amounts = [_micros(Decimal(a)) for _, a in held] + [_micros(a) for a in batch["amount"]]
         counts, sums, front = window_totals(times, amounts, len(held), self.width)
         self.entries.put([(t, str(_decimal(a))) for t, a in zip(times[front:], amounts[front:])])
-        yield pd.DataFrame({
+        return pd.DataFrame({
             "seq": batch["seq"].astype("int64"), "id": batch["id"],
             "account_id": batch["account_id"], "currency": batch["currency"],
             "amount": batch["amount"], "ts_us": batch["ts_us"].astype("int64"),
@@ -138,6 +145,36 @@ class TrailingWindowProcessor(StatefulProcessor):
         pass
 
 
+class WatermarkedWindowProcessor(TrailingWindowProcessor):
+    """The window over events that are not behind the watermark; late ones pass through, marked.
+
+    The one timer of an account lies where the watermark has left the window
+    of its latest entry: no event that is still on time can count any of them.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        # 0 until a batch has set the watermark
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        late = (batch["ts_us"] < mark) if mark > 0 else pd.Series(False, index=batch.index)
+        if late.any():
+            yield batch[late].assign(count_5m=None, sum_5m=None, late=True)
+        if not late.all():
+            yield self._advance(batch[~late]).assign(late=False)
+            latest = max(int(t) for t, _ in self.entries.get())
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer((latest + self.width) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.entries.clear()
+        return iter(())
+
+
 def _micros(amount: Decimal) -> int:
     """An amount with at most six decimals as a whole number of millionths."""
     return int(amount.scaleb(6))
@@ -149,9 +186,20 @@ def _decimal(micros: int) -> Decimal:
 
 def trailing_window_stream(events: DataFrame, cfg: config.VelocityConfig = config.VelocityConfig()
                            ) -> DataFrame:
-    """Decoded events (stream or batch) -> events with ``count_5m``/``sum_5m``."""
-    prepared = cdc.with_event_micros(events).select(
-        "seq", "id", "account_id", "currency", "amount", "ts_us")
+    """Decoded events (stream or batch) -> events with ``count_5m``/``sum_5m``.
+
+    With ``lateness_seconds`` every row says in ``late`` whether it came behind the watermark.
+    """
+    prepared, names = cdc.with_event_micros(events), ["seq", "id", "account_id", "currency", "amount", "ts_us"]
+    if cfg.lateness_seconds is not None:
+        # the watermark's own column isn't kept: Spark would drop late rows before the processor sees them
+        marked = prepared.withColumn("_event_time", F.timestamp_micros("ts_us")).withWatermark(
+            "_event_time", f"{cfg.lateness_seconds} seconds")
+        out = marked.select(*names).groupBy("account_id").transformWithStateInPandas(
+            statefulProcessor=WatermarkedWindowProcessor(cfg.window_seconds),
+            outputStructType=OUTPUT_SCHEMA + ", late BOOLEAN", outputMode="Append", timeMode="EventTime")
+        return out.withColumn("created_at", micros_to_ts(F.col("ts_us"))).drop("ts_us")
+    prepared = prepared.select(*names)
     out = prepared.groupBy("account_id").transformWithStateInPandas(
         statefulProcessor=TrailingWindowProcessor(cfg.window_seconds, cfg.idle_ttl_seconds),
         outputStructType=OUTPUT_SCHEMA, outputMode="Append",
@@ -195,7 +243,12 @@ def _write_batch(sink: str, cfg: config.VelocityConfig,
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
+        whole = batch
         try:
+            if "late" in batch.columns:
+                batch.where("late").select(*LATE_COLUMNS).write.mode("overwrite").parquet(
+                    f"{sink}/late/batch_id={batch_id}")
+                batch = batch.where("NOT late").drop("late")
             hits = batch_velocity.alerts(batch, cfg)
             hits.write.mode("overwrite").parquet(f"{sink}/alerts/batch_id={batch_id}")
             batch_velocity.alert_messages(hits).write.mode("overwrite").parquet(
@@ -204,7 +257,7 @@ def _write_batch(sink: str, cfg: config.VelocityConfig,
                                                   .withColumn("window_date", F.to_date("window_end"))
             store_flags(spark, sink, new_flags, accounts(spark) if accounts else None)
         finally:
-            batch.unpersist()
+            whole.unpersist()
     return write
 
 
@@ -239,6 +292,11 @@ def read_orphans(spark: SparkSession, sink_dir: str) -> DataFrame | None:
     return VersionedTable(spark, f"{sink_dir}/flags_orphans").read()
 
 
+def read_late(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """Events that came behind the watermark."""
+    return spark.read.parquet(f"{sink_dir}/late").select(*LATE_COLUMNS)
+
+
 def read_alerts(spark: SparkSession, sink_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sink_dir}/alerts")
 
