@@ -531,6 +531,18 @@ UNION ALL SELECT 'risk_flags', count(*) FROM vflags WHERE account_id IN (SELECT
     s["velocity_window"] = with_views("SELECT seq, count_5m, sum_5m FROM vwin", "vwin")
     s["velocity_alerts"] = with_views(
         "SELECT seq, account_id, window_start, window_end, count_5m, sum_5m, reason FROM valerts", "valerts")
+    s["velocity_alerts_day"] = with_views("""
+, w AS (SELECT seq, account_id, currency, created_at, count(*) OVER wr - count(*) OVER wt AS count_5m,
+    CAST(sum(amount) OVER wr - coalesce(sum(amount) OVER wt, 0) AS DECIMAL(38,6)) AS sum_5m
+  FROM f_cdc WHERE op = 'c'
+  WINDOW wr AS (PARTITION BY account_id ORDER BY created_at
+                RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW),
+         wt AS (PARTITION BY account_id, created_at ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+ r AS (SELECT *, CASE WHEN count_5m >= 5 THEN 'VELOCITY_COUNT'
+    WHEN sum_5m >= (CASE currency WHEN 'VND' THEN 2000000 ELSE 100 END) THEN 'VELOCITY_SUM' END AS reason FROM w)
+SELECT seq, account_id, CAST(CAST(created_at AS DATE) AS TIMESTAMP) AS window_start,
+  CAST(CAST(created_at AS DATE) + 1 AS TIMESTAMP) AS window_end, count_5m, sum_5m, reason
+FROM r WHERE reason IS NOT NULL""", "f_cdc").replace("\n, w AS", ", w AS", 1)
     s["velocity_flags"] = with_views(
         "SELECT account_id, window_start, window_end, reason, count_5m, sum_5m FROM vflags", "vflags")
     s["flags_known_account"] = with_views("""
@@ -549,6 +561,9 @@ ORDER BY created_at DESC, account_id, reason""", "vflags", "f_cdc")
         "vflags")
     s["cdc_decode"] = with_views(
         "SELECT seq, account_id, amount, currency, created_at FROM f_cdc WHERE op = 'c'", "f_cdc")
+    s["cdc_decode_guards"] = with_views("""
+SELECT seq, account_id, amount, CASE seq % 10 WHEN 5 THEN 'VND' ELSE currency END AS currency, created_at
+FROM f_cdc WHERE op = 'c' AND seq % 10 >= 5""", "f_cdc")
     # the stream's input is time-ordered per account, where it equals the batch rule
     s["velocity_stream"] = s["velocity_alerts"]
     # the watermark before an arrival: the latest event of those before it, in whole milliseconds, less the lateness

@@ -18,5 +18,7 @@ SERVE_TOP_LIMIT = 10
 SERVE_FLAG_HOURS = 24
 OUTBOX_LIMIT = 10
 CASCADE_MODULUS = 100                        # customers with id % 100 = 0 are deleted
+# Window of the velocity rule where it is run by day
+DAY_SECONDS = 86400
 # Event time a velocity event may lie behind the latest one
 LATENESS_SECONDS = 6 * 3600

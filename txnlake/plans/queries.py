@@ -516,6 +516,13 @@ def q_velocity_alerts(spark, sf):
                                               "count_5m", "sum_5m", "reason")
 
 
+def q_velocity_alerts_day(spark, sf):
+    """The rule over a day's window: both of its branches hit."""
+    cfg = config.VelocityConfig(window_seconds=P.DAY_SECONDS, slice_seconds=P.DAY_SECONDS)
+    return velocity.velocity_hits(fx.cdc_events(spark, sf), cfg).select(
+        "seq", "account_id", "window_start", "window_end", "count_5m", "sum_5m", "reason")
+
+
 def q_velocity_flags(spark, sf):
     return velocity_flags_df(spark, sf).select("account_id", "window_start", "window_end",
                                                "reason", "count_5m", "sum_5m")
@@ -587,6 +594,7 @@ QUERIES = {
     "cascade_delete": q_cascade_delete,
     "velocity_window": q_velocity_window,
     "velocity_alerts": q_velocity_alerts,
+    "velocity_alerts_day": q_velocity_alerts_day,
     "velocity_flags": q_velocity_flags,
     "flags_known_account": q_flags_known_account,
     "serve_risk_flags": q_serve_risk_flags,

@@ -40,6 +40,24 @@ def q_cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.select("seq", "account_id", "amount", "currency", "created_at")
 
 
+def q_cdc_decode_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of which half are unusable: no value, no object, cut off, no amount, an amount that is no number.
+
+    Those are skipped; of the others some have no currency and get the default.
+    """
+    prepare(spark)
+    records, turn, value = cdc.to_records(fx.cdc_events(spark, sf)), F.col("offset") % 10, F.col("value")
+    bad = (F.when(turn == 0, F.lit(None)).when(turn == 1, F.lit("[1, 2]"))
+           .when(turn == 2, F.expr("left(value, length(value) - 3)"))
+           .when(turn == 3, F.regexp_replace(value, '"amount"', '"sum"'))
+           .when(turn == 4, F.regexp_replace(value, '"amount": *"?[-0-9.]+"?', '"amount":"many"'))
+           .when(turn == 5, F.regexp_replace(value, '"currency"', '"money"')).otherwise(value))
+    path = scratch_path(spark, "cdc-records")
+    records.withColumn("value", bad).write.json(path)
+    decoded = cdc.decode(spark.read.schema(cdc.RECORD_SCHEMA).json(path))
+    return decoded.select("seq", "account_id", "amount", "currency", "created_at")
+
+
 def q_cdc_table_state(spark: SparkSession, sf: str) -> DataFrame:
     """Accounts and transactions as their change logs leave them.
 
@@ -143,6 +161,7 @@ STREAM_QUERIES = {
     "ingest_stream": q_ingest_stream,
     "velocity_late_events": q_velocity_late_events,
     "velocity_messages": q_velocity_messages,
+    "cdc_decode_guards": q_cdc_decode_guards,
     "cdc_decode": q_cdc_decode,
     "cdc_table_state": q_cdc_table_state,
     "velocity_stream": q_velocity_stream,
