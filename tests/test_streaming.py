@@ -106,6 +106,12 @@ def test_orphan_flags_wait_for_their_account(spark, tmp_path):
     assert read_orphans(spark, sink).count() == 0
     flags = read_flags(spark, sink)
     assert waiting <= {r.event_id for r in flags.collect()}
+    # by event time nothing is recent; by storing time all is, and in the last batch what had waited
+    from txnlake.operators import marts
+    assert marts.serve_risk_flags(flags).count() == 0
+    assert marts.serve_risk_flags(flags, by="stored_at").count() == flags.count()
+    last = flags.where(flags.stored_at == flags.agg({"stored_at": "max"}).first()[0])
+    assert waiting <= {r.event_id for r in last.collect()}
     assert flags.count() == flags.select("event_id").distinct().count()
 
 

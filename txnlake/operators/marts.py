@@ -78,12 +78,19 @@ def serve_top_merchants(mart: DataFrame, limit: int = 10) -> DataFrame:
                         decimal_text("total_amount").alias("total_amount")))
 
 
-def serve_risk_flags(flags: DataFrame, hours: int = 1, as_of: Column | None = None) -> DataFrame:
-    """Flags created within ``hours`` before ``as_of``, newest first."""
+def serve_risk_flags(flags: DataFrame, hours: int = 1, as_of: Column | None = None,
+                     by: str = "created_at") -> DataFrame:
+    """Flags of the ``hours`` before ``as_of``, newest first.
+
+    ``by`` is the time that counts: ``created_at``, the event's, or ``stored_at``, when the stream
+    stored the flag (a late or parked event's flag is new by that time only).
+    """
+    if by not in ("created_at", "stored_at"):
+        raise ValueError("by must be created_at or stored_at")
     _check_range("hours", hours, 1, 24)
     if as_of is None:
         as_of = F.current_timestamp().cast("timestamp_ntz")
-    return (flags.where(F.col("created_at") >= as_of - F.make_dt_interval(hours=F.lit(hours)))
+    return (flags.withColumn("created_at", F.col(by)).where(F.col("created_at") >= as_of - F.make_dt_interval(hours=F.lit(hours)))
                  .select("event_id", "account_id", "window_start", "window_end", "count_5m",
                          decimal_text("sum_5m").alias("sum_5m"), "reason", "created_at")
                  .orderBy(F.col("created_at").desc(), "account_id", "reason"))

@@ -218,7 +218,8 @@ def store_flags(spark: SparkSession, sink: str, new_flags: DataFrame, accounts:
 
     Flags of unknown accounts wait in ``flags_orphans`` and are tried again
     with every batch.  Known ones are stored before they leave that table, so
-    a crash in between only tries them once more.
+    a crash in between only tries them once more.  ``stored_at`` is the time of
+    the batch that stored a flag.
     """
     parked = VersionedTable(spark, f"{sink}/flags_orphans")
     left = None
@@ -233,6 +234,7 @@ def store_flags(spark: SparkSession, sink: str, new_flags: DataFrame, accounts:
         # hold a duplicate: the date in the join key prunes the stored partitions
         stored = spark.read.parquet(flags_path).select("window_date", "event_id")
         new_flags = new_flags.join(stored, ["window_date", "event_id"], "left_anti")
+    new_flags = new_flags.withColumn("stored_at", F.current_timestamp().cast("timestamp_ntz"))
     new_flags.write.mode("append").partitionBy("window_date").parquet(flags_path)
     if left is not None:
         parked.overwrite(left)
