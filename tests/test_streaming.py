@@ -173,3 +173,96 @@ def test_ingest_stream_is_the_same_for_any_split_and_after_a_replay(spark, tmp_p
         assert claims.count() == claims.select("idem_key").distinct().count() == sum(w[1] == "NEW" for w in want)
         assert stream_ingest.read_transactions(spark, sink).count() == claims.count()
         assert stream_ingest.read_outbox(spark, sink).count() == claims.count()
+
+
+class _Map(dict):
+    """Map state in memory that counts what is read."""
+
+    def __init__(self):
+        super().__init__()
+        self.read, self.written = 0, 0
+
+    def getValue(self, key):
+        self.read += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.written += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+    def containsKey(self, key):
+        return key in self
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+class _Handle:
+    def __init__(self):
+        self.maps, self.timers = {}, []
+
+    def getMapState(self, name, key, value):
+        return self.maps.setdefault(name, _Map())
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def _frame(rows):
+    import pandas as pd
+    us = [int((r[5] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) for r in rows]
+    return pd.DataFrame({"seq": [r[0] for r in rows], "id": [r[1] for r in rows], "account_id": [r[2] for r in rows],
+                         "currency": [r[4] for r in rows], "amount": [r[3] for r in rows], "ts_us": us})
+
+
+def test_chunked_state_equals_the_model_for_any_order_and_split():
+    from txnlake.streaming.velocity import TrailingWindowProcessor
+    for seed in range(30):
+        rows = sorted(_events(150, 1, seed=seed, ordered=seed % 3 == 0, span_s=[300, 900, 3000][seed % 3]))
+        got, size = {}, [1, 7, 40][seed // 3 % 3]
+        processor = TrailingWindowProcessor(300, chunk=[2, 5, 16][seed % 3])
+        processor.init(_Handle())
+        for at in range(0, len(rows), size):
+            for out in processor.handleInputRows(("A",), iter([_frame(rows[at:at + size])]), None):
+                got |= {int(s): (n, x) for s, n, x in zip(out["seq"], out["count_5m"], out["sum_5m"])}
+        assert got == fast_model(rows)
+
+
+def test_a_batch_opens_only_chunks_that_it_can_change():
+    from txnlake.streaming.velocity import TrailingWindowProcessor
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, str(k), "A", Decimal(1), "USD", t0 + dt.timedelta(milliseconds=25 * k), "c") for k in range(13000)]
+    handle = _Handle()
+    processor = TrailingWindowProcessor(300, chunk=100)
+    processor.init(handle)
+    list(processor.handleInputRows(("A",), iter([_frame(rows[:12900])]), None))
+    entries = handle.maps["entries"]
+    assert len(entries) > 100
+    entries.read = entries.written = 0
+    out, = processor.handleInputRows(("A",), iter([_frame(rows[12900:])]), None)
+    assert out["count_5m"].tolist() == [12001] * 100
+    assert entries.read <= 4 and entries.written <= 4
+
+
+def test_an_idle_account_loses_its_state_by_one_timer():
+    from types import SimpleNamespace
+    from txnlake.streaming.velocity import TrailingWindowProcessor
+    handle = _Handle()
+    processor = TrailingWindowProcessor(300, idle_ttl_seconds=60)
+    processor.init(handle)
+    rows = _events(20, 1, seed=1)
+    for at, now in ((0, 1000), (10, 9000)):
+        list(processor.handleInputRows(("A",), iter([_frame(rows[at:at + 10])]), SimpleNamespace(
+            getCurrentProcessingTimeInMs=lambda now=now: now)))
+    assert handle.timers == [69000]
+    list(processor.handleExpiredTimer(("A",), None, None))
+    assert not handle.maps["window"] and not handle.maps["entries"]

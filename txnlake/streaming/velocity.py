@@ -14,9 +14,15 @@ ranks of their times: an arrival adds, a departure subtracts, and the total
 from a cutoff up is read in O(log n).  Either way a micro-batch costs time in
 proportion to its events, whatever the window holds.
 
-State per account is the held entries ``(event micros, amount)`` in the
-RocksDB state store (checkpointed, survives restarts and executor loss),
-optionally with a time to live for idle accounts.  With ``lateness_seconds``
+State per account lies in the RocksDB state store (checkpointed, survives
+restarts and executor loss) on two levels: the held entries in chunks of
+consecutive arrivals, and a summary per chunk (count, total, earliest and
+latest time).  A micro-batch reads the summaries.  A chunk whose earliest time
+is inside the window of every new event counts as a whole, for each of them,
+and is neither read nor written; only chunks in which some entry may leave or
+not count are opened.  So a batch's state traffic follows what arrives and what
+leaves, not what the window holds.  Accounts that are idle for a time to live
+(optional) lose their state by a timer.  With ``lateness_seconds``
 the stream keeps an event-time watermark: events older than it count nowhere
 and go to the side table ``late``, and a timer per account clears its state
 once the watermark has passed everything that its entries can count for.  Rule, bucket labels and
@@ -44,7 +50,11 @@ from txnlake.operators import velocity as batch_velocity
 from txnlake.sources import cdc
 from txnlake.sources.tables import VersionedTable, path_exists
 
-STATE_SCHEMA = "ts_us LONG, amount STRING"
+CHUNK_KEY = "chunk LONG"
+SUMMARY_SCHEMA = "n LONG, total STRING, low LONG, high LONG"
+ENTRIES_SCHEMA = "ts_us ARRAY<LONG>, amounts ARRAY<STRING>"
+#: Entries per chunk: what a batch reads and writes beyond its own rows is a few chunks.
+CHUNK = 512
 OUTPUT_SCHEMA = ("seq LONG, id STRING, account_id STRING, currency STRING, amount DECIMAL(20,6), "
                  "ts_us LONG, count_5m LONG, sum_5m DECIMAL(38,6)")
 LATE_COLUMNS = ["seq", "id", "account_id", "currency", "amount", "created_at"]
@@ -81,10 +91,11 @@ class RankedTotals:
 
 
 def window_totals(times: Sequence[int], amounts: Sequence[int], known: int,
-                  width: int) -> tuple[list[int], list[int], int]:
+                  width: int, barrier: int | None = None) -> tuple[list[int], list[int], int]:
     """Counts and amounts for the entries from index ``known`` on, and the final front.
 
     ``times`` and ``amounts`` are in arrival order, the first ``known`` held from before.
+    Entries from index ``barrier`` on can't leave: one that stays stands before them.
     """
     t = np.asarray(times, dtype=np.int64)
     cut = t[known:] - width
@@ -94,7 +105,7 @@ def window_totals(times: Sequence[int], amounts: Sequence[int], known: int,
         last = range(known + 1, len(t) + 1)
         return ([e - f for e, f in zip(last, front.tolist())],
                 [running[e] - running[f] for e, f in zip(last, front.tolist())],
-                int(front[-1]) if len(front) else 0)
+                min(int(front[-1]) if len(front) else 0, len(t) if barrier is None else barrier))
     order = np.unique(t)
     rank = np.searchsorted(order, t).tolist()
     floor = np.searchsorted(order, cut, "left").tolist()
@@ -104,7 +115,8 @@ def window_totals(times: Sequence[int], amounts: Sequence[int], known: int,
     counts, sums, front = [], [], 0
     for k, low in enumerate(floor, known):
         tree.change(rank[k], 1, amounts[k])
-        for gone in takewhile(lambda i, low=low: rank[i] < low, range(front, k)):
+        for gone in takewhile(lambda i, low=low: rank[i] < low,
+                              range(front, k if barrier is None else min(k, barrier))):
             tree.change(rank[gone], -1, -amounts[gone])
             front = gone + 1
         n, total = tree.from_rank(low)
@@ -116,31 +128,88 @@ def window_totals(times: Sequence[int], amounts: Sequence[int], known: int,
 class TrailingWindowProcessor(StatefulProcessor):
     """Keyed trailing window (count, sum)."""
 
-    def __init__(self, window_seconds: int, idle_ttl_seconds: int | None = None) -> None:
+    def __init__(self, window_seconds: int, idle_ttl_seconds: int | None = None, chunk: int = CHUNK) -> None:
         self.width = window_seconds * 1_000_000
         self.ttl_ms = idle_ttl_seconds * 1000 if idle_ttl_seconds else None
+        self.chunk = chunk
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.entries = handle.getListState("window", STATE_SCHEMA, self.ttl_ms)
+        self.handle = handle
+        self.summaries = handle.getMapState("window", CHUNK_KEY, SUMMARY_SCHEMA)
+        self.entries = handle.getMapState("entries", CHUNK_KEY, ENTRIES_SCHEMA)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield self._advance(pd.concat(list(rows), ignore_index=True))
+        if self.ttl_ms:
+            self._only_timer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.summaries.clear()
+        self.entries.clear()
+        return iter(())
+
+    def _only_timer(self, at_ms: int) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(at_ms)
 
     def _advance(self, batch: pd.DataFrame) -> pd.DataFrame:
-        """The batch with its windows; the entries still held are the new state."""
+        """The batch with its windows; chunks that it can't change stay closed."""
         batch = batch.sort_values("seq", kind="stable", ignore_index=True)
-        held = list(self.entries.get()) if self.entries.exists() else []
-        times = [int(t) for t, _ in held] + batch["ts_us"].astype("int64").tolist()
-        amounts = [_micros(Decimal(a)) for _, a in held] + [_micros(a) for a in batch["amount"]]
-        counts, sums, front = window_totals(times, amounts, len(held), self.width)
-        self.entries.put([(t, str(_decimal(a))) for t, a in zip(times[front:], amounts[front:])])
+        new_times = batch["ts_us"].astype("int64").tolist()
+        new_amounts = [_micros(a) for a in batch["amount"]]
+        summaries = {int(k[0]): v for k, v in self.summaries.iterator()}
+        last_cut = max(new_times) - self.width
+        opened = [c for c in sorted(summaries) if summaries[c][2] < last_cut]
+        closed = sorted(set(summaries) - set(opened))
+        times, amounts, ends = [], [], []
+        barrier = None
+        for c in opened:
+            if barrier is None and closed and c > closed[0]:
+                barrier = len(times)
+            t, x = self.entries.getValue((c,))
+            times += [int(v) for v in t]
+            amounts += [int(v) for v in x]
+            ends.append(len(times))
+        known = len(times)
+        if barrier is None and closed:
+            barrier = known
+        counts, sums, front = window_totals(times + new_times, amounts + new_amounts, known, self.width, barrier)
+        whole = sum(summaries[c][0] for c in closed)
+        total = sum(int(summaries[c][1]) for c in closed)
+        start = 0
+        for c, end in zip(opened, ends):
+            if end <= front:
+                self.summaries.removeKey((c,))
+                self.entries.removeKey((c,))
+            elif start < front:
+                self._store(c, times[front:end], amounts[front:end])
+            start = end
+        gone = max(0, front - known)
+        self._append(max(summaries, default=-1), summaries, new_times[gone:], new_amounts[gone:])
         return pd.DataFrame({
             "seq": batch["seq"].astype("int64"), "id": batch["id"],
             "account_id": batch["account_id"], "currency": batch["currency"],
             "amount": batch["amount"], "ts_us": batch["ts_us"].astype("int64"),
-            "count_5m": pd.Series(counts, dtype="int64"), "sum_5m": [_decimal(x) for x in sums],
+            "count_5m": pd.Series([whole + n for n in counts], dtype="int64"),
+            "sum_5m": [_decimal(total + x) for x in sums],
         })
 
+    def _append(self, last: int, summaries: dict, times: list[int], amounts: list[int]) -> None:
+        """New entries fill the last chunk up, if it is still there, and go on in further ones."""
+        if last in summaries and times and self.summaries.containsKey((last,)):
+            held = self.summaries.getValue((last,))[0]
+            if held < self.chunk:
+                t, x = self.entries.getValue((last,))
+                times, amounts = [int(v) for v in t] + times, [int(v) for v in x] + amounts
+                last -= 1
+        for number, at in enumerate(range(0, len(times), self.chunk), last + 1):
+            self._store(number, times[at:at + self.chunk], amounts[at:at + self.chunk])
+
+    def _store(self, chunk: int, times: list[int], amounts: list[int]) -> None:
+        self.summaries.updateValue((chunk,), (len(times), str(sum(amounts)), min(times), max(times)))
+        self.entries.updateValue((chunk,), (times, [str(x) for x in amounts]))
+
     def close(self) -> None:
         pass
 
@@ -152,10 +221,6 @@ class WatermarkedWindowProcessor(TrailingWindowProcessor):
     of its latest entry: no event that is still on time can count any of them.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.handle = handle
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         # 0 until a batch has set the watermark
@@ -165,14 +230,8 @@ class WatermarkedWindowProcessor(TrailingWindowProcessor):
             yield batch[late].assign(count_5m=None, sum_5m=None, late=True)
         if not late.all():
             yield self._advance(batch[~late]).assign(late=False)
-            latest = max(int(t) for t, _ in self.entries.get())
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((latest + self.width) // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.entries.clear()
-        return iter(())
+            latest = max(int(v[3]) for _, v in self.summaries.iterator())
+            self._only_timer((latest + self.width) // 1000 + 1)
 
 
 def _micros(amount: Decimal) -> int:
@@ -266,20 +325,23 @@ def _write_batch(sink: str, cfg: config.VelocityConfig,
 def start_velocity_stream(spark: SparkSession, source: str | DataFrame, sink_dir: str, checkpoint: str,
                           cfg: config.VelocityConfig = config.VelocityConfig(),
                           available_now: bool = True, max_files_per_trigger: int | None = None,
+                          max_bytes_per_trigger: int = 4 << 30,
                           accounts: Callable[[SparkSession], DataFrame] | None = None):
     """Start the CDC -> velocity -> alerts/flags stream; returns the query.
 
     ``source`` is a folder of JSON record files, or any streaming DataFrame with
     the record columns (for Kafka: ``value`` and header values cast to
-    string).  ``accounts`` gives the accounts as they are when a batch is
+    string).  A folder's backlog is taken in micro-batches of at most
+    ``max_files_per_trigger`` files or, without that, ``max_bytes_per_trigger``;
+    a DataFrame brings its own limits.  ``accounts`` gives the accounts as they are when a batch is
     processed; flags of unknown ones are parked.
     """
     ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if isinstance(source, str):
         reader = spark.readStream.schema(cdc.RECORD_SCHEMA)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger)) if max_files_per_trigger \
+            else reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
         source = reader.json(source)
     windowed = trailing_window_stream(cdc.decode(source), cfg)
     writer = windowed.writeStream.foreachBatch(_write_batch(sink_dir, cfg, accounts)) \
