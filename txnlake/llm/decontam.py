@@ -4,12 +4,11 @@ The token n-grams (``min_match`` words) of the benchmark items are the seeds.
 A document's n-grams are looked up among them; each (document, item) pair
 whose seeds stand on enough of the item's words is tiled: the longest common
 run of unmarked words is marked in both texts again and again, down to
-``min_match`` words.  Runs are found by running Karp-Rabin: word windows of
-the current search length are hashed with a rolling hash and equal hashes are
-compared word by word.  The share
-of an item's words that the tiles cover is its coverage, so passages whose
-parts were reordered count in full.  A pair at ``threshold`` or more is a
-leak.
+``min_match`` words.  Runs are found by running Karp-Rabin: one pass over a
+text gives the hashes of its word windows for every search length, and equal
+hashes are compared word by word.  The share of an item's words that the tiles
+cover is its coverage, so passages whose parts were reordered count in full.
+A pair at ``threshold`` or more is a leak.
 
 The benchmark goes to the tasks in blocks of at most ``block_chars``
 characters, each a bounded broadcast; the corpus is read once per block.
@@ -40,20 +39,42 @@ from txnlake.llm.common import read_table, ready
 
 _EDGE = ".,;:!?\"'()[]{}<>*_#-"
 _BASE = np.uint64(0x100000001B3)
+_INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 
 
 def tokens(text: str | None) -> list[str]:
     return [w for w in (w.strip(_EDGE) for w in (text or "").lower().split()) if w]
 
 
+class RunningHash:
+    """Running Karp-Rabin hash of a word sequence, modulo 2**64.
+
+    One pass keeps the running sum of ``ids[i] * BASE**-i`` (the base is odd, so
+    it has an inverse).  The hash of a window of any length is then a difference
+    of two sums, brought to the window's end by one power: nothing is hashed
+    again for another length.  Equal hashes are still compared word by word.
+    """
+
+    def __init__(self, ids: np.ndarray):
+        size = len(ids)
+        self.powers = np.ones(size + 1, np.uint64)
+        np.cumprod(np.full(size, _BASE, np.uint64), out=self.powers[1:])
+        inverse = np.ones(size, np.uint64)
+        np.cumprod(np.full(max(0, size - 1), _INVERSE, np.uint64), out=inverse[1:])
+        self.sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(ids * inverse, out=self.sums[1:])
+
+    def windows(self, n: int) -> np.ndarray:
+        """The hash of every window of ``n`` words."""
+        size = len(self.sums) - 1
+        if size < n:
+            return np.zeros(0, np.uint64)
+        return (self.sums[n:] - self.sums[:size - n + 1]) * self.powers[n - 1:size]
+
+
 def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """Rolling hash of every window of ``n`` word ids (modulo 2**64)."""
-    if len(ids) < n:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(len(ids) - n + 1, np.uint64)
-    for j in range(n):
-        out = out * _BASE + ids[j:len(ids) - n + 1 + j]
-    return out
+    """Running hash of every window of ``n`` word ids."""
+    return RunningHash(ids).windows(n)
 
 
 def greedy_tiles(item: list, doc: list, min_match: int) -> list[tuple[int, int, int]]:
@@ -67,11 +88,12 @@ def greedy_tiles(item: list, doc: list, min_match: int) -> list[tuple[int, int,
     code: dict = defaultdict(lambda: len(code) + 1)
     a = np.array([code[w] for w in item], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     b = np.array([code[w] for w in doc], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    running_a, running_b = RunningHash(a), RunningHash(b)
     tiles: list[tuple[int, int, int]] = []
     length = min(len(item), len(doc))
     while length >= min_match:
         longest = 0
-        ha, hb = window_hashes(a, length), window_hashes(b, length)
+        ha, hb = running_a.windows(length), running_b.windows(length)
         places = defaultdict(list)
         for j in np.flatnonzero(np.isin(hb, ha)).tolist():
             places[hb[j]].append(j)
@@ -127,11 +149,11 @@ class Seeds:
 
     def seeded(self, words: list[str], threshold: float) -> list[int]:
         """Items whose seeds in the document could reach the threshold."""
-        ids = self.encode(words)
+        running = RunningHash(self.encode(words))
         hits: dict[int, list] = defaultdict(list)
         places: dict[int, int] = defaultdict(int)  # of an item, where a hit seed stands
         for n in self.lengths:
-            h = window_hashes(ids, n)
+            h = running.windows(n)
             if not len(h):
                 continue
             at = np.searchsorted(self.sorted[n], h)
