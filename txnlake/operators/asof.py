@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnlake.session import reliable_checkpoint
+
 SLICE_SECONDS = 30 * 86400
 
 
@@ -210,7 +212,8 @@ def join_histories(left: DataFrame, via: str, right: DataFrame) -> DataFrame:
     fields of both sides; right fields are null while the reference resolves to
     nothing.  Pieces start where a left segment starts or, within one, where a
     right segment starts or ends; both kinds are looked up as of their start,
-    so no pair of versions that don't meet is formed.
+    so no pair of versions that don't meet is formed.  The pieces are written
+    after either look-up (reliable checkpoint), as the next step reads them twice.
     """
     refer = F.col(f"_take.{via}")
     # keys of the left side that ever refer to a right key: as many as there are references
@@ -222,8 +225,9 @@ def join_histories(left: DataFrame, via: str, right: DataFrame) -> DataFrame:
     held = left.select("_key", "_from", "_to", F.struct("_to", *[f"_take.{c}" for c in names]).alias("_take"))
     starts = left.select("_key", "_from", F.col("_to").alias("l__to"),
                          *[F.col(f"_take.{c}").alias(f"l_{c}") for c in names])
-    pieces = starts.unionByName(lookup(inner, F.col("_key"), "_from", held, "l_", how="inner"))
-    pieces = lookup(pieces, F.col(f"l_{via}"), "_from", right, "r_")
+    pieces = reliable_checkpoint(starts.unionByName(
+        lookup(inner, F.col("_key"), "_from", held, "l_", how="inner")))
+    pieces = reliable_checkpoint(lookup(pieces, F.col(f"l_{via}"), "_from", right, "r_"))
     pieces = pieces.withColumn("_slice", time_slice(F.col("_from")))
     cut = _ahead(pieces, ["_key"], F.col("_from"), [F.col("_from")])
     body = F.struct(*[F.col(f"l_{c}").alias(c) for c in names],

@@ -18,6 +18,11 @@ def gmv_daily(fact: DataFrame) -> DataFrame:
         F.sum("amount").cast(SUM_TYPE).alias("total_amount"))
 
 
+def within_days(rows: DataFrame, as_of: Column, days: int = config.TOP_MERCHANTS_DAYS) -> DataFrame:
+    """Rows of the ``days`` before ``as_of`` (and later ones)."""
+    return rows.where(F.col("created_at") >= as_of - F.make_dt_interval(days=F.lit(days)))
+
+
 def top_merchants(fact: DataFrame, dim_merchant: DataFrame, as_of: Column,
                   days: int = config.TOP_MERCHANTS_DAYS, k: int = config.TOP_MERCHANTS_K,
                   by: str = "current") -> DataFrame:
@@ -28,7 +33,7 @@ def top_merchants(fact: DataFrame, dim_merchant: DataFrame, as_of: Column,
     default).  ``by="name"`` joins any version and groups by currency too.
     The limit is the feature (top-k); ordering adds a name tie-break.
     """
-    recent = fact.where(F.col("created_at") >= as_of - F.make_dt_interval(days=F.lit(days)))
+    recent = within_days(fact, as_of, days)
     dims = dim_merchant.select("merchant_sk", "merchant_name_norm", "is_current")
     keys = ["merchant_name_norm"]
     if by == "current":

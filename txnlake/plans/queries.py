@@ -8,6 +8,7 @@ job first, see their docstrings).  Column names equal the oracle SQL's.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,10 +72,11 @@ def dim_account_df(spark: SparkSession, sf: str, store: bool = True) -> DataFram
     return _stored(scd2.build_dim(feed, scd2.ACCOUNT_DIM), store)
 
 
-def dim_merchant_df(spark: SparkSession, sf: str, store: bool = True) -> DataFrame:
-    # the feed is an aggregate of the transaction join, read three times by the
-    # fold (hot-key count, per-key and per-slice branches): store it once
-    feed = materialise(merchant_candidates_df(fx.transactions(spark, sf)))
+def dim_merchant_df(spark: SparkSession, sf: str, store: bool = True, feed: DataFrame | None = None) -> DataFrame:
+    # the feed is an aggregate of the transaction join, read by the fold's
+    # row and slice branches: store it once
+    if feed is None:
+        feed = materialise(merchant_candidates_df(fx.transactions(spark, sf)))
     return _stored(scd2.build_dim(feed, scd2.MERCHANT_DIM), store)
 
 
@@ -88,11 +90,12 @@ def with_sk(dim: DataFrame, spec: scd2.Scd2Spec, sk: str) -> DataFrame:
     return dense_rank_keys(dim, [spec.bk, "version"], out_col=sk)
 
 
-def fact_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def fact_dims(spark: SparkSession, sf: str, merchant_feed: DataFrame | None = None
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three keyed dimensions; independent jobs, submitted concurrently."""
     work = [(dim_account_df, scd2.ACCOUNT_DIM, "account_sk"),
             (dim_customer_df, scd2.CUSTOMER_DIM, "customer_sk"),
-            (dim_merchant_df, scd2.MERCHANT_DIM, "merchant_sk")]
+            (partial(dim_merchant_df, feed=merchant_feed), scd2.MERCHANT_DIM, "merchant_sk")]
     # key assignment checkpoints the dimension itself: no separate store
     acc, cus, mer = _concurrently(*[(lambda b=b, spec=spec, sk=sk:
                                      with_sk(backdate_first_versions(b(spark, sf, store=False)),
@@ -258,8 +261,9 @@ def q_asof_customer(spark, sf):
     acc, cus = d["account"], d["customer"]
     t = staged_transactions(spark, sf, "account_id", "created_at").select("id", "account_id", "created_at")
     found = cus.withColumn("customer", F.col("customer_bk")).withColumnRenamed("version", "customer_version")
-    history = join_histories(segments(acc, "account_bk", ["customer_bk"], overlapping=False), "customer_bk",
-                             segments(found, "customer_bk", ["customer", "customer_version"], overlapping=False))
+    history = materialise(join_histories(
+        segments(acc, "account_bk", ["customer_bk"], overlapping=False), "customer_bk",
+        segments(found, "customer_bk", ["customer", "customer_version"], overlapping=False)))
     j = lookup(t, F.col("account_id"), "created_at", history, "c_")
     return j.select("id", F.col("c_customer").alias("customer_bk"),
                     F.col("c_customer_version").alias("customer_version"))
@@ -346,10 +350,17 @@ def q_mart_gmv_daily(spark, sf):
 
 
 def mart_top_df(spark, sf):
-    dims = fact_dims(spark, sf)
-    fact = fact_df(spark, sf, dims)
-    mer = dims[2]
-    as_of = fx.transactions(spark, sf).agg(F.max("created_at")).scalar()
+    """Keys are resolved for the facts of the mart's days only.
+
+    The mart's time is the last one of any transaction; it comes with the
+    merchant candidates, so the transactions are joined once for both.
+    """
+    seen = materialise(fx.transactions(spark, sf).groupBy("merchant_name", "merchant_category", "country").agg(
+        F.min("created_at").alias("as_of"), F.max("created_at").alias("last_seen")))
+    acc, cus, mer = fact_dims(spark, sf, seen.drop("last_seen"))
+    as_of = seen.agg(F.max("last_seen")).scalar()
+    recent = marts.within_days(staged_transactions(spark, sf), as_of)
+    fact, _ = facts_op.build_fact(recent, acc, cus, mer)
     return marts.top_merchants(fact, mer, as_of)
 
 
