@@ -119,13 +119,19 @@ def decode(records: DataFrame) -> DataFrame:
     return out.where(keep).drop("_amount_text")
 
 
-def _object_or_payload(text: str) -> Column:
-    """A JSON object's fields as text, or those of the object under ``payload``; null if it is neither."""
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds ``value`` as a generated column: filters and projections above don't compute it again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _object_or_payload(df: DataFrame, name: str, text: Column) -> DataFrame:
+    """Adds a JSON object's fields as text, or those of the object under ``payload``; null if it is neither."""
     as_map = "map<string,string>"
-    whole = F.from_json(F.col(text), as_map)
+    df = _once(df, f"{name}_whole", F.from_json(text, as_map))
+    whole = F.col(f"{name}_whole")
     inner = whole.getItem("payload")
-    return F.when(F.coalesce(F.ltrim(inner).startswith("{"), F.lit(False)),
-                  F.from_json(inner, as_map)).otherwise(whole)
+    return _once(df, name, F.when(F.coalesce(F.ltrim(inner).startswith("{"), F.lit(False)),
+                                  F.from_json(inner, as_map)).otherwise(whole)).drop(f"{name}_whole")
 
 
 def decode_rows(records: DataFrame, ddl: str) -> DataFrame:
@@ -138,13 +144,18 @@ def decode_rows(records: DataFrame, ddl: str) -> DataFrame:
     carry the row as it is.  A tombstone's key is the record's key: an object
     with the key column, such an object under ``payload``, or the bare value.
 
+    Every text is parsed once: a parse that a filter or several columns use
+    would otherwise be repeated for each of them.
+
     Dropped: values that are not JSON objects, other operations, changes
     without a key.  A column that is missing or doesn't parse is null.
     """
     fields = T.StructType.fromDDL(ddl).fields
     key = fields[0].name
     r = records.select("partition", "offset", "headers", "key", F.col("value").cast("string").alias("value"))
-    r = r.withColumn("_row", _object_or_payload("value")).withColumn("_key", _object_or_payload("key"))
+    r = _object_or_payload(r, "_row", F.col("value"))
+    # a record's key counts only where the row doesn't name it
+    r = _object_or_payload(r, "_key", F.when(F.col("_row").getItem(key).isNull(), F.col("key")))
     gone = F.col("value").isNull() | (F.lower(F.col("_row").getItem("__deleted")) == "true")
     op = F.lower(F.coalesce(header(F.col("headers"), "op", "__op"), F.col("_row").getItem("__op"), F.lit("c")))
     op = F.when(F.coalesce(gone, F.lit(False)), "d").when(op == "", "c").otherwise(op)

@@ -16,7 +16,7 @@ from txnlake import config
 from txnlake.functions.scalar import epoch_micros
 from txnlake.operators import changelog
 from txnlake.plans import params as P
-from txnlake.session import prepare, scratch_path
+from txnlake.session import prepare, reliable_checkpoint, scratch_path
 from txnlake.sources import cdc
 from txnlake.sources import fixtures as fx
 from txnlake.sources.buckets import BucketedTable
@@ -70,7 +70,8 @@ def q_cdc_table_state(spark: SparkSession, sf: str) -> DataFrame:
     for name, log in logs.items():
         path, ddl = scratch_path(spark, f"cdc-{name}"), cdc.TABLES[name]
         cdc.to_change_records(log(spark, sf), ddl).write.json(path)
-        changes = cdc.decode_rows(spark.read.schema(cdc.RECORD_SCHEMA).json(path), ddl)
+        # decoded once; the bounds, the buckets and the merges of both batches read the stored changes
+        changes = reliable_checkpoint(cdc.decode_rows(spark.read.schema(cdc.RECORD_SCHEMA).json(path), ddl))
         table = BucketedTable(spark, scratch_path(spark, f"state-{name}"), "id")
         half = changes.agg(F.max("_offset") / 2).scalar()
         for batch in (changes.where(F.col("_offset") > half), changes.where(F.col("_offset") <= half)):
