@@ -57,6 +57,7 @@ ENTRIES_SCHEMA = "ts_us ARRAY<LONG>, amounts ARRAY<STRING>"
 CHUNK = 512
 OUTPUT_SCHEMA = ("seq LONG, id STRING, account_id STRING, currency STRING, amount DECIMAL(20,6), "
                  "ts_us LONG, count_5m LONG, sum_5m DECIMAL(38,6)")
+OUTPUT_COLUMNS = ["seq", "id", "account_id", "currency", "amount", "ts_us"]
 LATE_COLUMNS = ["seq", "id", "account_id", "currency", "amount", "created_at"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -139,7 +140,7 @@ class TrailingWindowProcessor(StatefulProcessor):
         self.entries = handle.getMapState("entries", CHUNK_KEY, ENTRIES_SCHEMA)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield self._advance(pd.concat(list(rows), ignore_index=True))
+        yield self._advance(_together(rows))[0]
         if self.ttl_ms:
             self._only_timer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
 
@@ -153,11 +154,16 @@ class TrailingWindowProcessor(StatefulProcessor):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(at_ms)
 
-    def _advance(self, batch: pd.DataFrame) -> pd.DataFrame:
-        """The batch with its windows; chunks that it can't change stay closed."""
-        batch = batch.sort_values("seq", kind="stable", ignore_index=True)
-        new_times = batch["ts_us"].astype("int64").tolist()
-        new_amounts = [_micros(a) for a in batch["amount"]]
+    def _advance(self, batch: pd.DataFrame) -> tuple[pd.DataFrame, int | None, int]:
+        """The batch with its windows, and the latest time held before and after it.
+
+        Chunks that it can't change stay closed.  Every call to the state store is
+        a message, so what is in memory is not asked for again.
+        """
+        if not batch["seq"].is_monotonic_increasing:
+            batch = batch.sort_values("seq", kind="stable", ignore_index=True)
+        new_times = batch["ts_us"].tolist()
+        new_amounts = [_micros(a) for a in batch["amount"].tolist()]
         summaries = {int(k[0]): v for k, v in self.summaries.iterator()}
         last_cut = max(new_times) - self.width
         opened = [c for c in sorted(summaries) if summaries[c][2] < last_cut]
@@ -177,34 +183,36 @@ class TrailingWindowProcessor(StatefulProcessor):
         counts, sums, front = window_totals(times + new_times, amounts + new_amounts, known, self.width, barrier)
         whole = sum(summaries[c][0] for c in closed)
         total = sum(int(summaries[c][1]) for c in closed)
-        start = 0
+        gone = max(0, front - known)
+        last = max(summaries, default=-1)
+        tail, start = None, 0
         for c, end in zip(opened, ends):
-            if end <= front:
+            left = max(start, front)
+            # new entries fill the last chunk up, if it is still there
+            if c == last and end > front and gone < len(new_times) and end - left < self.chunk:
+                tail = times[left:end], amounts[left:end]
+            elif end <= front:
                 self.summaries.removeKey((c,))
                 self.entries.removeKey((c,))
             elif start < front:
                 self._store(c, times[front:end], amounts[front:end])
             start = end
-        gone = max(0, front - known)
-        self._append(max(summaries, default=-1), summaries, new_times[gone:], new_amounts[gone:])
-        return pd.DataFrame({
-            "seq": batch["seq"].astype("int64"), "id": batch["id"],
-            "account_id": batch["account_id"], "currency": batch["currency"],
-            "amount": batch["amount"], "ts_us": batch["ts_us"].astype("int64"),
-            "count_5m": pd.Series([whole + n for n in counts], dtype="int64"),
-            "sum_5m": [_decimal(total + x) for x in sums],
-        })
-
-    def _append(self, last: int, summaries: dict, times: list[int], amounts: list[int]) -> None:
-        """New entries fill the last chunk up, if it is still there, and go on in further ones."""
-        if last in summaries and times and self.summaries.containsKey((last,)):
-            held = self.summaries.getValue((last,))[0]
-            if held < self.chunk:
-                t, x = self.entries.getValue((last,))
-                times, amounts = [int(v) for v in t] + times, [int(v) for v in x] + amounts
-                last -= 1
-        for number, at in enumerate(range(0, len(times), self.chunk), last + 1):
-            self._store(number, times[at:at + self.chunk], amounts[at:at + self.chunk])
+        if tail is None and last in closed and gone < len(new_times) and summaries[last][0] < self.chunk:
+            t, x = self.entries.getValue((last,))
+            tail = [int(v) for v in t], [int(v) for v in x]
+        self._append(last + 1 if tail is None else last, *(tail or ([], [])), new_times[gone:], new_amounts[gone:])
+        before = max((int(v[3]) for v in summaries.values()), default=None)
+        out = batch[OUTPUT_COLUMNS].assign(
+            count_5m=np.array([whole + n for n in counts], dtype=np.int64),
+            sum_5m=[_decimal(total + x) for x in sums])
+        return out, before, max(new_times) if before is None else max(before, *new_times)
+
+    def _append(self, number: int, times: list[int], amounts: list[int],
+                new_times: list[int], new_amounts: list[int]) -> None:
+        """Store new entries from chunk ``number`` on, after those that it holds."""
+        times, amounts = times + new_times, amounts + new_amounts
+        for c, at in enumerate(range(0, len(times), self.chunk), number):
+            self._store(c, times[at:at + self.chunk], amounts[at:at + self.chunk])
 
     def _store(self, chunk: int, times: list[int], amounts: list[int]) -> None:
         self.summaries.updateValue((chunk,), (len(times), str(sum(amounts)), min(times), max(times)))
@@ -219,19 +227,32 @@ class WatermarkedWindowProcessor(TrailingWindowProcessor):
 
     The one timer of an account lies where the watermark has left the window
     of its latest entry: no event that is still on time can count any of them.
+    The latest entry never leaves, so the timer follows from the summaries.
     """
 
+    def _timer(self, latest: int) -> int:
+        return (latest + self.width) // 1000 + 1
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
+        batch = _together(rows)
         # 0 until a batch has set the watermark
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        late = (batch["ts_us"] < mark) if mark > 0 else pd.Series(False, index=batch.index)
+        late = batch["ts_us"].to_numpy() < mark if mark > 0 else np.zeros(len(batch), dtype=bool)
         if late.any():
             yield batch[late].assign(count_5m=None, sum_5m=None, late=True)
-        if not late.all():
-            yield self._advance(batch[~late]).assign(late=False)
-            latest = max(int(v[3]) for _, v in self.summaries.iterator())
-            self._only_timer((latest + self.width) // 1000 + 1)
+            batch = batch[~late].reset_index(drop=True)
+        if len(batch):
+            out, before, after = self._advance(batch)
+            yield out.assign(late=False)
+            if before != after:
+                if before is not None:
+                    self.handle.deleteTimer(self._timer(before))
+                self.handle.registerTimer(self._timer(after))
+
+
+def _together(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    frames = list(rows)
+    return frames[0].reset_index(drop=True) if len(frames) == 1 else pd.concat(frames, ignore_index=True)
 
 
 def _micros(amount: Decimal) -> int:
