@@ -7,10 +7,10 @@ current row and the changes: a change whose tracked attributes differ
 (null-safe, after normalisation) from the state before it closes the open
 version at its ``as_of`` and opens ``version + 1``; an equal change is a
 no-op.  The fold is ``lag`` (change flag) + running count (version) +
-``lead`` (valid_to) over windows partitioned by the business key and a time
-slice, stitched at slice borders with per-slice summaries; every key is
-folded the same way, so no key's changes have to meet in one task.  Only
-keys that appear in the feed are rewritten.
+``lead`` (valid_to) over windows partitioned by the business key.  Keys with
+very many changes (``hotkeys``) are folded by key and time slice, stitched at
+slice borders with per-slice summaries, so that their changes don't have to
+meet in one task.  Only keys that appear in the feed are rewritten.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.functions.scalar import empty_if_null, normalise_name
+from txnlake.operators.hotkeys import HOT_ROWS, hot_keys
 
 DIM_COLUMNS_TAIL = ["valid_from", "valid_to", "is_current", "version"]
 
@@ -102,7 +103,8 @@ def run_time() -> Column:
 
 
 def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
-               slice_seconds: int = SLICE_SECONDS, now: Column | None = None) -> DataFrame:
+               slice_seconds: int = SLICE_SECONDS, now: Column | None = None,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """Return the full dimension after applying ``changes``.
 
     ``changes`` carries the attribute columns, ``as_of`` and the tie-break
@@ -111,9 +113,9 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
 
     A change without ``as_of`` happened at run time (``now``).
 
-    Skew: the fold's windows are partitioned by ``(key, time slice)``; the
-    stitching works on per-slice summaries, whose number per key is bounded
-    by the time span.
+    Skew: the fold's windows are partitioned by ``(key, time slice)`` for keys
+    with more than ``hot_rows`` changes; the stitching works on per-slice
+    summaries, whose number per key is bounded by the time span.
     """
     feed = _feed_rows(changes, spec, now)
     touched = feed.select(spec.bk).distinct()
@@ -131,18 +133,25 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
         F.col("version").cast("int").alias("_base_version"),
         *tb,
     )
-    merged = _fold(existing.unionByName(feed), spec, slice_seconds)
+    # the current row adds at most one to a key's count
+    merged = _fold(existing.unionByName(feed), spec, slice_seconds, hot_keys(feed, spec.bk, hot_rows))
     keep = spec.columns
     return history.select(*keep).unionByName(untouched_open.select(*keep)) \
                   .unionByName(merged.select(*keep))
 
 
-def _fold(rows: DataFrame, spec: Scd2Spec, slice_seconds: int) -> DataFrame:
+def _fold(rows: DataFrame, spec: Scd2Spec, slice_seconds: int, hot: DataFrame | None) -> DataFrame:
     """Fold feed rows (plus the touched current rows) into versions."""
     tbs = [f"_tb{i}" for i in range(len(spec.tiebreak))]
     state = F.struct(*[fn(F.col(a)).alias(a) for a, fn in spec.tracked.items()])
     order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
-    return _fold_by_slice(rows.withColumn("_state", state), spec, order, slice_seconds)
+    rows = rows.withColumn("_state", state)
+    if hot is None:
+        return _fold_whole(rows, spec, order)
+    few = F.broadcast(hot.select(F.col(spec.bk).alias("_hot")))
+    same = F.col(spec.bk).eqNullSafe(F.col("_hot"))
+    return _fold_whole(rows.join(few, same, "left_anti"), spec, order).unionByName(
+        _fold_by_slice(rows.join(few, same, "left_semi"), spec, order, slice_seconds))
 
 
 def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Column) -> DataFrame:
@@ -155,6 +164,16 @@ def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Colum
          .alias("version"))
 
 
+def _fold_whole(rows: DataFrame, spec: Scd2Spec, order: list[Column]) -> DataFrame:
+    w = Window.partitionBy(spec.bk).orderBy(*order)
+    prev = F.lag(F.col("_state")).over(w)
+    kept = rows.withColumn("_changed", prev.isNull() | ~F.col("_state").eqNullSafe(prev)).where("_changed")
+    base = F.coalesce(F.max("_base_version").over(Window.partitionBy(spec.bk)), F.lit(0))
+    running = F.sum("_src").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    kept = kept.withColumn("_next_from", F.lead("as_of").over(w)).withColumn("_version", base + running)
+    return _versions(kept, spec, F.col("_next_from"), F.col("_version"))
+
+
 def _fold_by_slice(rows: DataFrame, spec: Scd2Spec, order: list[Column],
                    slice_seconds: int) -> DataFrame:
     # slice ids grow along the fold order (existing current rows come first)
@@ -193,9 +212,10 @@ def _fold_by_slice(rows: DataFrame, spec: Scd2Spec, order: list[Column],
 
 
 def build_dim(changes: DataFrame, spec: Scd2Spec, slice_seconds: int = SLICE_SECONDS,
-              now: Column | None = None) -> DataFrame:
+              now: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """First load of a dimension from a feed (no existing rows to merge with)."""
-    return _fold(_feed_rows(changes, spec, now), spec, slice_seconds).select(*spec.columns)
+    feed = _feed_rows(changes, spec, now)
+    return _fold(feed, spec, slice_seconds, hot_keys(feed, spec.bk, hot_rows)).select(*spec.columns)
 
 
 def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -13,29 +13,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.session import ensure_checkpoint_dir, reliable_checkpoint
 
+#: Rows that are worth a range of their own.
+RANGE_ROWS = 20_000
+
 
 def dense_rank_keys(df: DataFrame, order_by: Sequence[str], out_col: str = "sk",
                     start_after: Column | int = 0, partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = start_after + 1..N following ``order_by`` (must be unique)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the range-bound sampling job and the shuffle both read the input: keep
-    # it for the duration so its plan runs once
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ranged = reliable_checkpoint(src.repartitionByRange(n, *order_by)
-                                        .sortWithinPartitions(*order_by)
-                                        .withColumn("_pid", F.spark_partition_id())
-                                        .withColumn("_mid", F.monotonically_increasing_id()))
-    finally:
-        src.unpersist()
+    # the range-bound sampling job and the shuffle both read the input: store
+    # it so its plan runs once
+    src = reliable_checkpoint(df)
+    n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                 -(-src.count() // RANGE_ROWS)))
+    ranged = reliable_checkpoint(src.repartitionByRange(n, *order_by)
+                                    .sortWithinPartitions(*order_by)
+                                    .withColumn("_pid", F.spark_partition_id())
+                                    .withColumn("_mid", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a window over it is tiny by construction
     offsets = counts.select(
