@@ -34,13 +34,15 @@ def resolve_keys(txns: DataFrame, dim_account: DataFrame, dim_customer: DataFram
     Dimensions carry ``*_sk`` columns.  Unresolvable keys stay NULL.  Account and
     customer histories are joined in dimension space and written once (reliable
     checkpoint), so the facts are looked up twice.  ``overlapping`` says that versions of a key may
-    overlap; a dimension's load refuses such versions.
+    overlap; a dimension's load refuses such versions.  ``txns`` is a stored table: its keys
+    are counted ahead of either look-up.
     """
     history = reliable_checkpoint(account_history(dim_account, dim_customer, overlapping))
     t = lookup(txns, F.col("account_id"), "created_at", history, "_h_")
     t = t.withColumnRenamed("_h_account_sk", "account_sk").withColumnRenamed("_h_customer_sk", "customer_sk")
     merchants = segments(dim_merchant, "merchant_name_norm", ["merchant_sk"], overlapping)
-    return lookup(t.drop("_h_customer_bk"), normalise_name(F.col("merchant_name")), "created_at", merchants, "")
+    return lookup(t.drop("_h_customer_bk"), normalise_name(F.col("merchant_name")), "created_at", merchants, "",
+                  seen=txns)
 
 
 def build_fact(txns: DataFrame, dim_account: DataFrame, dim_customer: DataFrame,

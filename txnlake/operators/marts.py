@@ -18,9 +18,13 @@ def gmv_daily(fact: DataFrame) -> DataFrame:
         F.sum("amount").cast(SUM_TYPE).alias("total_amount"))
 
 
+def is_recent(as_of: Column, days: int = config.TOP_MERCHANTS_DAYS) -> Column:
+    """``created_at`` lies in the ``days`` before ``as_of`` (or later)."""
+    return F.col("created_at") >= as_of - F.make_dt_interval(days=F.lit(days))
+
+
 def within_days(rows: DataFrame, as_of: Column, days: int = config.TOP_MERCHANTS_DAYS) -> DataFrame:
-    """Rows of the ``days`` before ``as_of`` (and later ones)."""
-    return rows.where(F.col("created_at") >= as_of - F.make_dt_interval(days=F.lit(days)))
+    return rows.where(is_recent(as_of, days))
 
 
 def top_merchants(fact: DataFrame, dim_merchant: DataFrame, as_of: Column,

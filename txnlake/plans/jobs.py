@@ -43,6 +43,7 @@ from txnlake.operators import changelog, marts, quality, scd2
 from txnlake.operators import facts as facts_op
 from txnlake.operators import incremental as inc
 from txnlake.operators.surrogate import dense_rank_keys
+from txnlake.session import reliable_checkpoint
 from txnlake.sources.buckets import BucketedTable
 from txnlake.sources.tables import (AppendTable, RunLog, VersionedTable, WatermarkTable, delete_path,
                                     path_exists)
@@ -243,7 +244,7 @@ class _Run:
             rows = rows.unionByName(waiting.select(*rows.columns)).dropDuplicates(["id"])
         dims = self.dims()
         self.resolved.overwrite(facts_op.with_created_date(facts_op.resolve_keys(
-            rows, dims["dim_account"], dims["dim_customer"], dims["dim_merchant"])))
+            reliable_checkpoint(rows), dims["dim_account"], dims["dim_customer"], dims["dim_merchant"])))
 
     def split(self) -> tuple[DataFrame, DataFrame]:
         rows = self.resolved.read()

@@ -85,9 +85,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+    # orders last: the rows then lie by order, as the copies of a transaction do
+    j = (li.join(s, li.l_suppkey == s.s_suppkey)
            .join(p, li.l_partkey == p.p_partkey)
-           .join(s, li.l_suppkey == s.s_suppkey))
+           .join(o, li.l_orderkey == o.o_orderkey))
     prio = F.col("o_orderpriority")
     flag = F.col("l_returnflag")
     return j.select(
@@ -107,7 +108,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _country_of(F.col("s_nationkey")).alias("country"),
         F.col("l_shipdate").alias("created_at"),
         F.when(flag == "A", F.col("l_shipdate") + F.expr("INTERVAL 2 DAYS")).alias("settled_at"),
-        "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
+        "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_orderkey",
     )
 
 
