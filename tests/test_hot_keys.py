@@ -46,13 +46,15 @@ def test_lookup_of_keys_with_few_rows_is_one_window(spark):
 def test_fold_by_slices_equals_the_model(spark):
     rng = random.Random(5)
     start = dt.datetime(2020, 1, 1)
-    rows = [(rng.choice(["A", "A", "B", "C"]), "1", "VND", "VN", rng.choice(["ACTIVE", "CLOSED"]),
+    rows = [(rng.choice(["A", "A", "B", "C", None]), "1", "VND", "VN", rng.choice(["ACTIVE", "CLOSED"]),
              start + dt.timedelta(hours=rng.randrange(20_000)), n) for n in range(200)]
     feed = spark.createDataFrame(rows, "id STRING, customer_bk STRING, currency STRING, country STRING, "
                                        "status STRING, as_of TIMESTAMP_NTZ, seq LONG")
     whole, cut, mixed = (sorted(map(tuple, scd2.build_dim(feed, scd2.ACCOUNT_DIM, hot_rows=most).collect()), key=str)
                          for most in (1000, 0, 60))
     assert whole == cut == mixed and len(whole) > 60
+    # a change without a key has no version
+    assert {r[0] for r in whole} == {"A", "B", "C"}
 
 
 def test_stored_transactions_are_the_staged_ones(spark, tmp_path):

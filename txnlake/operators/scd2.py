@@ -141,17 +141,16 @@ def scd2_merge(current: DataFrame, changes: DataFrame, spec: Scd2Spec,
 
 
 def _fold(rows: DataFrame, spec: Scd2Spec, slice_seconds: int, hot: DataFrame | None) -> DataFrame:
-    """Fold feed rows (plus the touched current rows) into versions."""
+    """Fold feed rows (plus the touched current rows) into versions; rows without a key have none."""
     tbs = [f"_tb{i}" for i in range(len(spec.tiebreak))]
     state = F.struct(*[fn(F.col(a)).alias(a) for a, fn in spec.tracked.items()])
     order = [F.col("_src"), F.col("as_of")] + [F.col(c) for c in tbs]
-    rows = rows.withColumn("_state", state)
+    rows = rows.where(F.col(spec.bk).isNotNull()).withColumn("_state", state)
     if hot is None:
         return _fold_whole(rows, spec, order)
-    few = F.broadcast(hot.select(F.col(spec.bk).alias("_hot")))
-    same = F.col(spec.bk).eqNullSafe(F.col("_hot"))
-    return _fold_whole(rows.join(few, same, "left_anti"), spec, order).unionByName(
-        _fold_by_slice(rows.join(few, same, "left_semi"), spec, order, slice_seconds))
+    few = F.broadcast(hot)
+    return _fold_whole(rows.join(few, spec.bk, "left_anti"), spec, order).unionByName(
+        _fold_by_slice(rows.join(few, spec.bk, "left_semi"), spec, order, slice_seconds))
 
 
 def _versions(kept: DataFrame, spec: Scd2Spec, next_from: Column, version: Column) -> DataFrame:
